@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, licenses, pack, prefix_tokens, quality, shard
+from . import chat, cover_dedup, decontaminate, licenses, pack, prefix_tokens, quality, shard, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op2_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard.stratified_shards(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), width=400).drop("spans")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -39,6 +43,10 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(table(spark, sf_dir, "documents"), _vocabulary("word_bpe_49k.json"), window=4096, end_id=2)
 
 
+def op7_cover_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_dedup.remove_passages(table(spark, sf_dir, "documents"), width=35).drop("spans")
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
@@ -47,6 +55,6 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_stratified_shards, op4_quality_rules, op5_chat_format, op6_pack, op8_license_scan, op10_decontaminate)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_stratified_shards, op3_suffix_dedup, op4_quality_rules, op5_chat_format, op6_pack, op7_cover_dedup, op8_license_scan, op10_decontaminate)}
 
 ORACLE_SQL: dict[str, str] = {}
