@@ -54,8 +54,9 @@ def windows(words: Column, sizes: list[int]) -> Column:
     return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.concat(*[one(h, n) for n in sizes]))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, coverage: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, item_id, n_windows, n_matched, n_slots of each document and item it holds in whole or large part.
+def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, coverage: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", with_hash: bool = False) -> DataFrame:
+    """doc_id, item_id, n_windows, n_matched, n_slots of each document and item it holds in whole or large part;
+    with_hash adds xxhash64 of the text.
 
     A match is a shift between document and item along which at least `coverage` of the item's
     windows of `size` template words agree (shorter items: one window, the item), where half the
@@ -106,5 +107,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, coverage:
     return (
         checked.groupBy("doc_id", "text_hash", "item_id")
         .agg(F.max(F.struct(F.col("n_matched"), F.col("n_windows"), F.size("slots").alias("n_slots"))).alias("best"))
-        .select("doc_id", *(["text_hash"] if "text_hash" in keep else []), "item_id", F.col("best.n_windows").cast("long").alias("n_windows"), F.col("best.n_matched").cast("long").alias("n_matched"), F.col("best.n_slots").cast("long").alias("n_slots"))
+        .select("doc_id", *["text_hash"] * with_hash, "item_id", F.col("best.n_windows").cast("long").alias("n_windows"), F.col("best.n_matched").cast("long").alias("n_matched"), F.col("best.n_slots").cast("long").alias("n_slots"))
     )
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of docs that hold no benchmark item, with their columns."""
+    scratch = Scratch(docs.sparkSession, "leaks")
+    leaks = contaminated(docs, benchmark, id_col=id_col, text_col=text_col, with_hash=True, **options)
+    leaks = scratch.write(leaks.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "leaks")
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("_key"), F.xxhash64(F.col(text_col).cast("string")).alias("_text"))
+    return rows.join(leaks, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash")), "left_anti").select("_row.*")

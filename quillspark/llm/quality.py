@@ -64,8 +64,8 @@ def _repeated(w: Column) -> Column:
     return F.when(F.size(w) < 4, zero).otherwise(let(hashes, windows))
 
 
-def metrics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, stratum and the counts of each text, in one pass without a shuffle."""
+def metrics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang", with_row: bool = False) -> DataFrame:
+    """doc_id, stratum and the counts of each text, in one pass without a shuffle; with_row adds the row itself."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     words = let(
         words_of(text),
@@ -77,13 +77,13 @@ def metrics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", str
     )
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
-        *keep,
+        *[F.struct("*").alias("row")] * with_row,
         (F.coalesce(F.col(stratum_col).cast("string"), F.lit("")) if stratum_col else F.lit("")).alias("stratum"),
         F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         F.regexp_count(text, F.lit("\\p{Lu}")).cast("long").alias("n_upper"),
         words.alias("w"),
         lines.alias("l"),
-    ).select("doc_id", *keep, "stratum", "w.n_words", "w.word_chars", "n_symbols", "l.n_dup_lines", "w.n_repeat_words", "l.n_lines", "n_upper")
+    ).select("doc_id", *["row"] * with_row, "stratum", "w.n_words", "w.word_chars", "n_symbols", "l.n_dup_lines", "w.n_repeat_words", "l.n_lines", "n_upper")
 
 
 def most_false(n: Column, risk: float, error: Column) -> Column:
@@ -138,18 +138,18 @@ def thresholds(counts: DataFrame, labels: DataFrame, risk: float = 0.05, delta:
     return tested.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == name, F.col("cutoff"))).alias(name) for name in RULES])
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.05, delta: float = 0.05, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang", scratch: Scratch | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the counts, base_failed and kept of each row.
+def quality_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.05, delta: float = 0.05, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang", with_row: bool = False) -> DataFrame:
+    """doc_id, the counts, base_failed and kept of each row; with_row adds the row itself.
 
     Null and empty texts have no words and fail the base rule. A null stratum is a stratum of its
     own. Null ids have no label but are judged; repeated rows are judged each. Without labels, or
     with too few, the base rule alone decides. Other columns are not read.
     """
-    scratch = scratch or Scratch(docs.sparkSession, "quality")
-    counts = scratch.write(metrics(docs, id_col, text_col, stratum_col, keep), "metrics")
+    scratch = Scratch(docs.sparkSession, "quality")
+    counts = scratch.write(metrics(docs, id_col, text_col, stratum_col, with_row), "metrics")
     cuts = scratch.write(thresholds(counts, labels, risk, delta, id_col), "thresholds")
     base = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     passed = ~base
     for name, score in RULES.items():
         passed = passed & F.coalesce(_level(score()) < F.col(name), F.lit(True))
-    return counts.join(cuts, "stratum", "left").select("doc_id", *keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), passed.alias("kept"))
+    return counts.join(cuts, "stratum", "left").select("doc_id", *["row"] * with_row, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), passed.alias("kept"))

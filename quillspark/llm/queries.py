@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, cover_dedup, decontaminate, licenses, pack, prefix_tokens, quality, shard, suffix_dedup
+from . import chat, cover_dedup, decontaminate, licenses, pack, prefix_tokens, quality, shard, sketch_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,10 +51,14 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op9_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch_dedup.near_duplicates(table(spark, sf_dir, "documents"), n_words=4, similarity=80)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_stratified_shards, op3_suffix_dedup, op4_quality_rules, op5_chat_format, op6_pack, op7_cover_dedup, op8_license_scan, op10_decontaminate)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_stratified_shards, op3_suffix_dedup, op4_quality_rules, op5_chat_format, op6_pack, op7_cover_dedup, op8_license_scan, op9_sketch_dedup, op10_decontaminate)}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -13,8 +13,10 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import Scratch
 from .repeats import covered, repeated_windows, runs_of, text_classes
@@ -112,6 +114,18 @@ def _finish(width: int):
     return run
 
 
+def _removed(docs: DataFrame, width: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(doc_id and class of each row, what becomes of each class)."""
+    scratch = Scratch(docs.sparkSession, "suffix-dedup")
+    members, reps = text_classes(docs, scratch, id_col, text_col)
+    found = repeated_windows(reps, ByteWindows(width), scratch)
+    out = "cls binary, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans binary"
+    done = reps.join(found.hint("shuffle_hash"), "cls", "left").select("cls", "copies", "body", "n", "data").mapInArrow(_finish(width), out)
+    done = scratch.write(done, "done")
+    scratch.drop("settled")
+    return members, done
+
+
 def remove_repeats(docs: DataFrame, width: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and spans (pairs of 32-bit start and end offsets) per row.
 
@@ -120,12 +134,34 @@ def remove_repeats(docs: DataFrame, width: int = 400, id_col: str = "doc_id", te
     also with one id, are occurrences of their own. Null ids are kept. An empty table gives no rows.
     Other columns are not read.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "suffix-dedup")
-    members, reps = text_classes(docs, scratch, id_col, text_col)
-    found = repeated_windows(reps, ByteWindows(width), scratch)
-    out = "cls binary, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans binary"
-    done = reps.join(found.hint("shuffle_hash"), "cls", "left").select("cls", "copies", "body", "n", "data").mapInArrow(_finish(width), out)
-    done = scratch.write(done, "done")
-    scratch.drop("settled")
+    members, done = _removed(docs, width, id_col, text_col)
     return members.join(done, "cls").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
+
+
+def without_repeats(docs: DataFrame, width: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with each text cut to what is kept of it; all columns and rows stay.
+
+    Bytes of a character that is cut through go. A null text stays null.
+    """
+    _, done = _removed(docs, width, id_col, text_col)
+    spans = done.filter("n_removed > 0").select(F.col("cls").alias("_cls"), F.col("spans").alias("_spans"))
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        out = []
+        for text, data in zip(texts, spans):
+            if text is None or data is None:
+                out.append(text)
+                continue
+            raw, kept, at = text.encode(), [], 0
+            for i, j in np.frombuffer(data, dtype="<i4").reshape(-1, 2):
+                kept.append(raw[at:i])
+                at = j
+            out.append(b"".join([*kept, raw[at:]]).decode("utf-8", "ignore"))
+        return pd.Series(out, dtype=object)
+
+    body = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
+    cls = F.substring(F.unhex(F.sha2(body, 256)), 1, 16)
+    rows = docs.select(F.struct("*").alias("_row"), F.col(text_col).cast("string").alias("_text"), cls.alias("_key"))
+    joined = rows.join(spans, F.col("_key") == F.col("_cls"), "left")
+    return joined.select(F.col("_row").withField(text_col, F.when(F.col("_spans").isNull(), F.col("_text")).otherwise(cut("_text", "_spans"))).alias("_row")).select("_row.*")
