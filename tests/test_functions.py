@@ -1,0 +1,101 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from quillspark.functions import json_repair
+from quillspark.functions.cost import priced, prices
+from quillspark.functions.hashes import difference_hash, hamming
+from quillspark.functions.numbers import number_from_text, number_from_variant, numbers_match
+from quillspark.functions.text import is_placeholder, is_recent_date, is_tax_number, norm_code, norm_text, texts_match
+
+
+def column(spark, values, kind, f):
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(values)], f"k int, v {kind}")
+    return [r.x for r in df.select("k", f(F.col("v")).alias("x")).orderBy("k").collect()]
+
+
+def test_numbers_from_text(spark):
+    cases = {"1,50,000": 150000.0, "Rs 200": 200.0, "Rs. 200": 0.2, "₹ 1,234.50": 1234.5, "-": None, ".": None, "-.": None, " ": None, "": None, "12-3": None, "1.2.3": None, "-7": -7.0, "१२३": 123.0, "5.": 5.0, None: None}
+    assert column(spark, list(cases), "string", number_from_text) == list(cases.values())
+
+
+def test_numbers_from_variants(spark):
+    cases = {"3": 3.0, "2.5": 2.5, "true": None, "null": None, '"4,000"': 4000.0, '"x"': None}
+    assert column(spark, list(cases), "string", lambda c: number_from_variant(F.parse_json(c))) == list(cases.values())
+
+
+def test_numbers_match(spark):
+    rows = [(100.4, 100.0, True), (100.6, 100.0, False), (0.0, 0.0, True), (0.1, 0.0, False), (None, 1.0, False), (1.005, 1.0, True)]
+    df = spark.createDataFrame(rows, "a double, b double, want boolean")
+    assert all(r.got == r.want for r in df.withColumn("got", numbers_match(F.col("a"), F.col("b"))).collect())
+
+
+def test_text(spark):
+    assert column(spark, ["A-b  C!", None, "गुजरात"], "string", norm_text) == ["a b c", "", ""]
+    assert column(spark, ["XX-01 ab", None], "string", norm_code) == ["xx01ab", ""]
+    assert column(spark, [" N/A ", "fine", None, "0000"], "string", is_placeholder) == [True, False, False, True]
+    assert column(spark, ["29abcde1234f1z5", "29ABCDE1234F1Z", None], "string", is_tax_number) == [True, False, False]
+    rows = [("Acme Stores", "acme stores", True), ("Acme", "Acme Ltd", False), ("Acmes", "Acmes Ltd", True), ("", "", False), (None, "x", False)]
+    df = spark.createDataFrame(rows, "a string, b string, want boolean")
+    assert all(r.got == r.want for r in df.withColumn("got", texts_match(F.col("a"), F.col("b"))).collect())
+
+
+def test_dates(spark):
+    cases = {"2024-02-03": True, "2024-2-3": False, "2024-02-30": False, "2014-12-31": False, "2024-03-12": True, "2024-03-13": False, None: False}
+    assert column(spark, list(cases), "string", lambda c: is_recent_date(c, F.lit("2024-03-10").cast("date"))) == list(cases.values())
+
+
+def test_hashes(spark):
+    assert column(spark, [[1.0, 2.0, 1.0, 3.0]], "array<double>", difference_hash) == [0b101]
+    assert column(spark, [-1, 0, 7], "bigint", lambda c: hamming(c, F.lit(0).cast("long"))) == [64, 0, 3]
+
+
+def test_cost(spark):
+    calls = spark.createDataFrame([("gpt-4o", 4249, 0, 0, 0), ("gpt-4o", 1000, 100, 10, 200), ("-", 5, 5, 5, 5)], "model string, input_tokens long, output_tokens long, cache_write_tokens long, cache_read_tokens long")
+    got = sorted(float(r.cost_usd) for r in priced(calls, prices(spark)).collect())
+    assert got == [0.0, 0.003775, 0.0106225]
+    with pytest.raises(Exception, match="unknown model"):
+        priced(calls.withColumn("model", F.lit("other")), prices(spark)).collect()
+
+
+CASES = [
+    ('{"a": 1}', {"a": 1}, ""),
+    ('```json\n{"a": 1}\n```', {"a": 1}, "unfenced"),
+    ('Sure: {"a": 1} done', {"a": 1}, "trimmed"),
+    ('{"rows": [{"w": "brake', {"rows": [{"w": "brake"}]}, "repaired_truncated"),
+    ('{"rows": [1, 2,', {"rows": [1, 2]}, "repaired_truncated"),
+    ("[1, 2]", [1, 2], ""),
+    ("no value", None, "no_json_object"),
+    ("", None, "empty_response"),
+    (None, None, "empty_response"),
+]
+
+
+@pytest.mark.parametrize(("text", "value", "note"), CASES)
+def test_recover(text, value, note):
+    got, told = json_repair.recover(text)
+    assert (json.loads(got) if got else None, told) == (value, note)
+
+
+def test_unfixable():
+    assert json_repair.recover('{"a": "b\\')[1].startswith("unparseable")
+    assert json_repair.recover('{"a":')[1].startswith("unparseable")
+
+
+def test_recovery_in_a_plan(spark):
+    df = spark.createDataFrame([(k, t) for k, (t, _, _) in enumerate(CASES)], "k int, text string")
+    got = {r.k: (json.loads(r.v) if r.v else None, r.parse_note) for r in json_repair.with_json(df).select("k", F.to_json("value").alias("v"), "parse_note").collect()}
+    assert got == {k: (value, note) for k, (_, value, note) in enumerate(CASES)}
+
+
+def test_expand_rows(spark):
+    columns = ["sr_no", "work_done", "struck_through"]
+    text = '[["1", "oil", 0], ["2"], {"work_done": "x"}, 7, ["3", "belt", "0", "more"]]'
+    [rows] = column(spark, [text], "string", lambda c: json_repair.expand_rows(F.parse_json(c), columns))
+    assert [json.loads(r) for r in rows] == [
+        {"sr_no": "1", "work_done": "oil", "struck_through": False},
+        {"sr_no": "2", "work_done": None, "struck_through": False},
+        {"work_done": "x"},
+        {"sr_no": "3", "work_done": "belt", "struck_through": True},
+    ]
