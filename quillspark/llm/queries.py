@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, cover_dedup, decontaminate, licenses, pack, prefix_tokens, quality, shard, sketch_dedup, suffix_dedup
+from . import chat, cover_dedup, decontaminate, licenses, oracles, pack, prefix_tokens, quality, shard, sketch_dedup, suffix_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,4 +61,4 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_stratified_shards, op3_suffix_dedup, op4_quality_rules, op5_chat_format, op6_pack, op7_cover_dedup, op8_license_scan, op9_sketch_dedup, op10_decontaminate)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = dict(oracles.ORACLES)
