@@ -82,8 +82,8 @@ def parts_for(df: DataFrame, bytes_each: int = 24 << 20) -> int:
 
 def words_of(text: Column) -> Column:
     """Words of ASCII-blank separated text, as an array; empty for null and blank texts."""
-    bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))
-    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE_RUN))
+    none = F.array().cast("array<string>")
+    return let(F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES)), lambda bare: F.when(bare == "", none).otherwise(F.split(bare, SPACE_RUN)))
 
 
 def let(value: Column, body) -> Column:

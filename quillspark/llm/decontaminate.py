@@ -13,45 +13,72 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, let, words_of
+from .common import SPACES, Scratch, let
 
-# Units that count after a number, and the placeholders.
+# Units that count after a number, what is cut from the ends of a word, and the placeholders.
 UNITS = "mm cm m km mg g kg t ml l s ms min h hours minutes seconds days weeks months years % $ € £ dollars euros pounds cents miles feet inches metres meters litres liters grams kilograms kilometres kilometers percent degrees people".split()
-NUMBER, NAME, UNIT = "<num>", "<name>", "<unit>"
+OUTER = "!\"#&'()*+,-./:;<=>?@[\\]^_`{|}~«»‹›“”„‘’‚…–—¿¡·•"
+NUMBER, NAME, UNIT = "\x01", "\x02", "\x03"
+
+BLANK = "[\\x20\\x09-\\x0D]"
+OUTER_CLASS = "[" + "".join("\\" + c if ord(c) < 128 else c for c in OUTER) + "]"
+#: Words are parted at blanks, together with the punctuation at their ends.
+GAP = f"{OUTER_CLASS}*{BLANK}+{OUTER_CLASS}*"
+ENDS = f"(?={OUTER_CLASS}*(?:{BLANK}|$))"
+#: A capital after a word that ends no sentence; the leading blank lets the search skip to blanks.
+NAME_AT = " (?<=[\\p{L}\\p{N},'] )\\p{Lu}\\p{Ll}[\\p{L}\\p{N}'-]*"
+NUMBER_AT = f"(?<={BLANK}|^|{OUTER_CLASS})[$€£]?[0-9][0-9.,:/-]*%?{ENDS}"
+UNIT_AT = f"(?<={NUMBER}{OUTER_CLASS}{{0,3}}{BLANK})(?:" + "|".join(u.replace("$", "\\$") for u in UNITS) + f"){ENDS}"
 
 #: Benchmark windows up to which they are broadcast; beyond, both sides are shuffled by hash.
 BROADCAST_ROWS = 2_000_000
 
 
-def bare(w: Column) -> Column:
-    """w without punctuation at its ends."""
-    return F.regexp_replace(w, "^[^\\p{L}\\p{N}$€£%]+|[^\\p{L}\\p{N}$€£%]+$", "")
+def _split(text: Column) -> Column:
+    none = F.array().cast("array<string>")
+    return let(F.btrim(text, F.lit(OUTER + SPACES)), lambda bare: F.when(bare == "", none).otherwise(F.split(bare, GAP)))
 
 
-def template(raw: Column) -> Column:
-    """Template words of an array of words."""
+def plain_words(text: Column) -> Column:
+    """Lower-cased words of a text without punctuation at their ends."""
+    return _split(F.lower(F.coalesce(text, F.lit(""))))
 
-    def one(w: Column, i: Column) -> Column:
-        before = F.get(raw, i - 1)
-        plain = bare(w)
-        number = F.lower(plain).rlike("^[$€£]?[0-9][0-9.,:/-]*%?$")
-        # The word before ends no sentence, so a capital here is no start of one.
-        inside = (i > 0) & ~before.rlike("[.!?:;\"')]$")
-        name = inside & plain.rlike("^\\p{Lu}\\p{Ll}")
-        after = (i > 0) & before.rlike("[0-9]") & F.lower(plain).isin(UNITS)
-        return F.when(number, NUMBER).when(after, UNIT).when(name, NAME).otherwise(F.lower(plain))
 
-    return F.transform(raw, one)
+def template(text: Column) -> Column:
+    """The template words of a text, one for each of its plain words.
+
+    Placeholders are put into the whole text before it is split: a few passes of a pattern over a
+    text cost less than an expression per word. Texts without digits are spared two of them.
+    """
+    whole = F.coalesce(text, F.lit(""))
+    typed = F.regexp_replace(F.regexp_replace(whole, NUMBER_AT, NUMBER), UNIT_AT, UNIT)
+    numbered = F.when(whole.rlike("[0-9]"), typed).otherwise(whole)
+    return _split(F.lower(F.regexp_replace(numbered, NAME_AT, " " + NAME)))
 
 
 def windows(words: Column, sizes: list[int]) -> Column:
-    """(hash, place) of all windows of template words, of each size."""
+    """(hash, place) of all windows of template words, of each size.
+
+    Hashes of windows of 2, 4, 8, ... words come from two of half the size; other sizes from two
+    that overlap.
+    """
+    cells = "array<struct<h:bigint,p:int>>"
+
+    def joined(h: Column, shift: int) -> Column:
+        """Hashes of pairs `shift` apart."""
+        n = F.size(h) - shift
+        return F.when(n < 1, F.array().cast("array<bigint>")).otherwise(F.zip_with(F.slice(h, 1, n), F.slice(h, shift + 1, n), lambda a, b: F.xxhash64(a, b)))
+
+    def placed(h: Column) -> Column:
+        return F.transform(h, lambda x, p: F.struct(x.alias("h"), p.alias("p"))).cast(cells)
 
-    def one(h: Column, n: int) -> Column:
-        cells = F.transform(F.sequence(F.lit(0), F.size(h) - n), lambda p: F.struct(F.xxhash64(F.slice(h, p + 1, n)).alias("h"), p.alias("p")))
-        return F.when(F.size(h) < n, F.array().cast("array<struct<h:bigint,p:int>>")).otherwise(cells)
+    def grow(h: Column, width: int) -> Column:
+        here = [let(h if n == width else joined(h, n - width), placed) for n in sizes if width <= n < 2 * width]
+        if 2 * width <= max(sizes):
+            here.append(let(joined(h, width), lambda g: grow(g, 2 * width)))
+        return F.concat(*here) if len(here) > 1 else here[0]
 
-    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.concat(*[one(h, n) for n in sizes]))
+    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: grow(h, 1))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, coverage: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", with_hash: bool = False) -> DataFrame:
@@ -66,8 +93,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, coverage:
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontaminate")
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), words_of(F.col(item_text_col).cast("string")).alias("raw")).filter(F.size("raw") > 0)
-    items = scratch.write(items.select("item_id", "raw", template(F.col("raw")).alias("words")), "items")
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
+    items = scratch.write(items.select("item_id", plain_words(F.col("text")).alias("raw"), template(F.col("text")).alias("words")).filter(F.size("words") > 0), "items")
     sizes = sorted(r.n for r in items.select(F.least(F.size("words"), F.lit(size)).alias("n")).distinct().collect()) or [size]
     cells = items.select("item_id", F.size("words").alias("len"), F.explode(F.array(*[F.struct(F.lit(n).alias("n"), windows(F.col("words"), [n]).alias("c")) for n in sizes])).alias("s"))
     cells = cells.filter(F.col("s.n") == F.least(F.col("len"), F.lit(size))).select("item_id", "len", "s.n", F.explode("s.c").alias("c")).select("item_id", "n", (F.col("len") - F.col("n") + 1).alias("n_windows"), F.col("c.h").alias("h"), F.col("c.p").alias("q"))
@@ -75,7 +102,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, coverage:
     side = F.broadcast(cells) if cells.count() <= BROADCAST_ROWS else cells
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter(F.col("text").isNotNull())
-    probe = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(let(words_of(F.col("text")), lambda raw: let(template(raw), lambda w: windows(w, sizes)))).alias("c"))
+    probe = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(windows(template(F.col("text")), sizes)).alias("c"))
     hits = probe.select("doc_id", "text_hash", F.col("c.h").alias("h"), F.col("c.p").alias("p")).join(side, "h")
     runs = (
         hits.groupBy("doc_id", "text_hash", "item_id", "n", "n_windows", (F.col("p") - F.col("q")).alias("shift"))
@@ -90,10 +117,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, coverage:
     key = [texts["doc_id"].eqNullSafe(few["doc_id"]), F.xxhash64(texts["text"]) == few["text_hash"]]
     both = texts.join(few, key).select(few["doc_id"], "text_hash", "item_id", "n_windows", "n_matched", "shift", "lo", "hi", "text").join(items, "item_id")
     pairs = let(
-        words_of(F.col("text")),
+        plain_words(F.col("text")),
         lambda raw: F.transform(
             F.sequence("lo", "hi"),
-            lambda q: F.struct(F.get("words", q).alias("kind"), F.lower(bare(F.get("raw", q))).alias("theirs"), F.lower(bare(F.get(raw, q + F.col("shift")))).alias("ours")),
+            lambda q: F.struct(F.get("words", q).alias("kind"), F.get("raw", q).alias("theirs"), F.get(raw, q + F.col("shift")).alias("ours")),
         ),
     )
     slot = lambda x: x["kind"].isin(NUMBER, NAME, UNIT)
