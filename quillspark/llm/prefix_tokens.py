@@ -30,7 +30,7 @@ CHUNK = re.compile(f" ?[^{BLANK}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 #: Entries kept in each worker's memo of chunks; it is emptied when full, so memory is bounded.
-MEMO = 300_000
+MEMO = 800_000
 
 
 def _byte_names() -> dict[str, int]:
