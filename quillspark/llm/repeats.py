@@ -184,10 +184,7 @@ def _settle(parts: int):
             same = h[1:] == h[:-1]
             twice[1:] |= same
             twice[:-1] |= same
-            flagged = cells["flag"][order] > 0
-            order = order[twice]
-            cells = {k: v[order] for k, v in cells.items()}
-            del flagged
+            cells = {k: v[order[twice]] for k, v in cells.items()}
         if len(cells["h"]):
             group, context = _runs(cells["h"]), _runs(cells["h"], cells["ctx"])
             first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
