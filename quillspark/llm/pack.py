@@ -141,12 +141,8 @@ def plan(histogram: dict[int, int], window: int) -> list[tuple[list[tuple[int, i
             else:
                 items, room, rest = [], window, None
                 fit = window // length
-                if left >= fit:
-                    used, each = (left, 1) if len(heap) or left < 2 * fit else (left // fit, fit)
-                    if used == left:
-                        each = 1
-                else:
-                    used, each = 1, left
+                # A new pack has the most room until it is full: the open ones have less than this length.
+                used, each = (left // fit, fit) if left >= fit else (1, left)
                 left -= each * used
             if rest is not None:
                 serial += 1

@@ -66,6 +66,18 @@ def test_plan_places_every_length(seed):
     assert placed == Counter(histogram)
 
 
+@pytest.mark.parametrize(("hot", "n"), [(300, 10_000), (60, 200_000), (1500, 10_000)])
+def test_plan_fills_packs_with_a_hot_length(hot, n):
+    rnd = random.Random(hot)
+    histogram = Counter(min(4095, max(1, int(rnd.lognormvariate(6, 1.2)))) for _ in range(20_000))
+    histogram[hot] += n
+    least = -(-sum(k * v for k, v in histogram.items()) // 4096)
+    # Of 1500 tokens, two fit in a window: pieces of that length alone can't fill it.
+    fewest = max(least, n // (4096 // hot))
+    assert sum(packs for _, packs in pack.plan(histogram, 4096)) <= 1.02 * fewest
+    assert sum(packs for _, packs in pack.plan({4000: 1, 60: 1000}, 4096)) == 16
+
+
 def test_pack(spark):
     rnd = random.Random(4)
     rows = [(k, " ".join(rnd.choice(["one", "two", "three"]) for _ in range(rnd.randint(0, 300)))) for k in range(120)]
