@@ -2,15 +2,15 @@
 
 Words become template words: numbers, names in mid-sentence and units after a number are typed
 placeholders, everything else is lower-cased without outer punctuation. Windows of template words
-are hash-joined with those of the benchmark. A document and an item that share windows along one
-shift are then checked word by word: the filler of each placeholder must map one to one, so a
+are hash-joined with those of the benchmark. A document and an item that share windows along
+shifts close to each other are then checked word by word: along each shift, the filler of each placeholder must map one to one, so a
 question with other numbers or names is caught while a chance meeting of placeholders is not.
 DataFrame expressions only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACES, Scratch, let
@@ -81,14 +81,32 @@ def windows(words: Column, sizes: list[int]) -> Column:
     return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: grow(h, 1))
 
 
+PAIR = ["doc_id", "text_hash", "item_id"]
+
+
+def _bands(runs: DataFrame) -> DataFrame:
+    """band: shifts of a document and an item, each at most the item's length from the next, are one band."""
+    by_shift = Window.partitionBy(*PAIR).orderBy("shift")
+    apart = F.col("shift") - F.lag("shift").over(by_shift) > F.col("n_windows") + F.col("n") - 1
+    return runs.withColumn("apart", F.coalesce(apart.cast("int"), F.lit(0))).withColumn("band", F.sum("apart").over(by_shift)).drop("apart")
+
+
+def _whole(runs: DataFrame, coverage: float) -> DataFrame:
+    """Runs of bands in which at least `coverage` of the item's windows are found, and n_matched, how many."""
+    band = Window.partitionBy(*PAIR, "band")
+    found = runs.withColumn("n_matched", F.size(F.array_distinct(F.flatten(F.collect_list("qs").over(band)))))
+    return found.filter(F.col("n_matched") >= F.ceil(coverage * F.col("n_windows")))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, coverage: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", with_hash: bool = False) -> DataFrame:
     """doc_id, item_id, n_windows, n_matched, n_slots of each document and item it holds in whole or large part;
     with_hash adds xxhash64 of the text.
 
-    A match is a shift between document and item along which at least `coverage` of the item's
-    windows of `size` template words agree (shorter items: one window, the item), where half the
-    words of the matched stretch at least are no placeholders, and where fillers map one to one. Of
-    several shifts of a pair the best counts. Null and empty texts match nothing; null ids are kept;
+    A match is a band of shifts between document and item, each at most the item's length from the
+    next, along which together at least `coverage` of the item's windows of `size` template words
+    agree (shorter items: one window, the item). A word put in or left out starts another shift.
+    Along each shift, half the matched words at least must be no placeholders, and fillers must map
+    one to one. Of several bands of a pair the best counts. Null and empty texts match nothing; null ids are kept;
     repeated rows give one row per (id, text). Items with equal texts match each.
     """
     spark = docs.sparkSession
@@ -105,35 +123,46 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, coverage:
     probe = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(windows(template(F.col("text")), sizes)).alias("c"))
     hits = probe.select("doc_id", "text_hash", F.col("c.h").alias("h"), F.col("c.p").alias("p")).join(side, "h")
     runs = (
-        hits.groupBy("doc_id", "text_hash", "item_id", "n", "n_windows", (F.col("p") - F.col("q")).alias("shift"))
-        .agg(F.count_distinct("q").alias("n_matched"), F.min("q").alias("lo"), (F.max("q") + F.first("n") - 1).alias("hi"))
-        .filter(F.col("n_matched") >= F.ceil(coverage * F.col("n_windows")))
+        hits.groupBy(*PAIR, "n", "n_windows", (F.col("p") - F.col("q")).alias("shift"))
+        .agg(F.sort_array(F.collect_set("q")).alias("qs"))
     )
-    runs = scratch.write(runs, "runs")
+    runs = scratch.write(_whole(_bands(runs), coverage), "runs")
 
-    # Slots: the words of both sides along the shift. Only documents with a run are read again.
+    # Slots: the words of both sides along each shift. Only documents with a run are read again, and split once.
     small = runs.count() <= BROADCAST_ROWS // 10
-    few = F.broadcast(runs) if small else runs
+    few = runs.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("item_id", "n", "n_windows", "shift", "qs")).alias("runs"))
+    few = F.broadcast(few) if small else few
     key = [texts["doc_id"].eqNullSafe(few["doc_id"]), F.xxhash64(texts["text"]) == few["text_hash"]]
-    both = texts.join(few, key).select(few["doc_id"], "text_hash", "item_id", "n_windows", "n_matched", "shift", "lo", "hi", "text").join(items, "item_id")
-    pairs = let(
-        plain_words(F.col("text")),
-        lambda raw: F.transform(
-            F.sequence("lo", "hi"),
-            lambda q: F.struct(F.get("words", q).alias("kind"), F.get("raw", q).alias("theirs"), F.get(raw, q + F.col("shift")).alias("ours")),
-        ),
+    again = texts.join(few, key).select(few["doc_id"], "text_hash", plain_words(F.col("text")).alias("ours"), "runs")
+    lo, hi = F.element_at("qs", 1), F.element_at("qs", -1) + F.col("n") - 1
+    both = (
+        again.select("doc_id", "text_hash", "ours", F.explode("runs").alias("r"))
+        .select("doc_id", "text_hash", "r.*", "ours")
+        .withColumn("lo", lo)
+        .withColumn("ours", F.slice("ours", F.col("lo") + F.col("shift") + 1, hi - F.col("lo") + 1))
+        .join(items, "item_id")
     )
+
+    def pairs(qs: Column) -> Column:
+        """The words that windows at qs cover, on both sides."""
+        covered = F.array_distinct(F.flatten(F.transform(qs, lambda q: F.sequence(q, q + F.col("n") - 1))))
+        return F.transform(covered, lambda k: F.struct(F.get("words", k).alias("kind"), F.get("raw", k).alias("theirs"), F.get("ours", k - F.col("lo")).alias("ours")))
+
     slot = lambda x: x["kind"].isin(NUMBER, NAME, UNIT)
     checked = (
-        both.withColumn("pairs", pairs)
+        both.withColumn("pairs", pairs(F.col("qs")))
         .withColumn("slots", F.array_distinct(F.filter("pairs", slot)))
         .withColumn("n_plain", F.size(F.filter("pairs", lambda x: ~slot(x))))
         .filter(2 * F.col("n_plain") >= F.size("pairs"))
         .filter((F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["kind"], x["theirs"]))))) & (F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["kind"], x["ours"]))))))
+        .select(*PAIR, "n", "n_windows", "shift", "qs", "slots")
     )
     return (
-        checked.groupBy("doc_id", "text_hash", "item_id")
-        .agg(F.max(F.struct(F.col("n_matched"), F.col("n_windows"), F.size("slots").alias("n_slots"))).alias("best"))
+        _whole(_bands(checked), coverage)
+        .groupBy(*PAIR, "n_windows", "band", "n_matched")
+        .agg(F.size(F.array_distinct(F.flatten(F.collect_list("slots")))).alias("n_slots"))
+        .groupBy(*PAIR)
+        .agg(F.max(F.struct(F.col("n_matched"), F.col("n_windows"), F.col("n_slots"))).alias("best"))
         .select("doc_id", *["text_hash"] * with_hash, "item_id", F.col("best.n_windows").cast("long").alias("n_windows"), F.col("best.n_matched").cast("long").alias("n_matched"), F.col("best.n_slots").cast("long").alias("n_slots"))
     )
 

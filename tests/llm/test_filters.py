@@ -119,6 +119,20 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(df, bench.limit(0)).count() == 0
 
 
+def leaks(spark, texts, items):
+    """(doc, item, n_windows, n_matched) of texts and items, both numbered from 0."""
+    docs, bench = (spark.createDataFrame(list(enumerate(rows)), f"{c} long, text string") for c, rows in (("doc_id", texts), ("item_id", items)))
+    return sorted((r.doc_id, r.item_id, r.n_windows, r.n_matched) for r in decontaminate.contaminated(docs, bench).collect())
+
+
+def test_items_with_words_put_in_or_left_out(spark):
+    words = [f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(40)]
+    one, two = [*words[:20], "new", *words[20:]], [*words[:14], "new", *words[14:27], "new", *words[27:]]
+    less, far = words[:19] + words[20:], [*words[:20], *["new"] * 60, *words[20:]]
+    got = leaks(spark, [" ".join(["intro", *w, "end"]) for w in (words, one, two, less, far, words[:20])], [" ".join(words)])
+    assert got == [(0, 0, 33, 33), (1, 0, 33, 26), (2, 0, 33, 19), (3, 0, 33, 25)]
+
+
 def test_windows_of_any_size(spark):
     words = [f"w{k}" for k in range(12)] + [f"w{k}" for k in range(12)]
     for n in (1, 2, 3, 5, 8, 12):
