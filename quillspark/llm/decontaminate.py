@@ -1,8 +1,8 @@
 """Benchmark decontamination by template windows.
 
-Words become template words: numbers, names in mid-sentence and units after a number are typed
-placeholders, everything else is lower-cased without outer punctuation. Windows of template words
-are hash-joined with those of the benchmark. A document and an item that share windows along
+Words become template words: numbers, names (capitalised words, but for common ones that start
+sentences) and units after a number are typed placeholders, everything else is lower-cased without
+outer punctuation. Windows of template words, and of plain lower-cased ones, are hash-joined with those of the benchmark. A document and an item that share windows along
 shifts close to each other are then checked word by word: along each shift, the filler of each placeholder must map one to one, so a
 question with other numbers or names is caught while a chance meeting of placeholders is not.
 DataFrame expressions only.
@@ -25,8 +25,15 @@ OUTER_CLASS = "[" + "".join("\\" + c if ord(c) < 128 else c for c in OUTER) + "]
 #: Words are parted at blanks, together with the punctuation at their ends.
 GAP = f"{OUTER_CLASS}*{BLANK}+{OUTER_CLASS}*"
 ENDS = f"(?={OUTER_CLASS}*(?:{BLANK}|$))"
-#: A capital after a word that ends no sentence; the leading blank lets the search skip to blanks.
-NAME_AT = " (?<=[\\p{L}\\p{N},'] )\\p{Lu}\\p{Ll}[\\p{L}\\p{N}'-]*"
+#: Words that sentences start with and that are no names, in the corpus's languages.
+COMMON = (
+    "A About After All Also Although An And Any Are Around As At Because Before Both But By Can Could Did Do Does During Each Every Find First For From Give Given Had Has Have He Her Here His How However I If In Is It Its Let Many More Most My No Not Now Of On One Only Or Our She Should Since So Some Such Than That The Their Then There These They This Those Three Through To Two Under Until Was We Were What When Where Which While Who Whose Why With Without Would You Your "
+    "Aber Als Am Auch Auf Aus Bei Da Das Dem Den Der Des Die Dies Diese Dieser Ein Eine Einem Einen Einer Er Es Für Hat Ich Ihr Im Ist Jede Jeder Kann Man Mit Nach Nicht Noch Nur Oder Sie Sind So Und Unter Von Vor Wann Warum Was Welche Wenn Wer Wie Wir Wird Wo Zu Zum Zur "
+    "Al Algunos Como Cómo Con Cuando Cuándo Cuál Cuánto Cuántos De Del Después Dónde El Ella En Entre Era Es Esta Este Esto Hay La Las Los Más No Para Pero Por Porque Que Qué Quién Se Según Si Sin Sobre Su Sus También Todo Todos Un Una Y Ya "
+    "À Au Aux Avec Ce Ces Cette Chaque Comme Comment Combien Dans Des Du Elle Et Il Ils Je Le Les Leur Mais Nous On Où Ou Par Pour Pourquoi Quand Quel Quelle Qui Sa Ses Son Sur Tous Tout Une Vous"
+).split()
+#: A capitalised word that is none of these, wherever it stands.
+NAME_AT = f"((?:{BLANK}|^){OUTER_CLASS}*)(?!(?:" + "|".join(sorted(set(COMMON))) + ")(?![\\p{L}\\p{N}'-]))\\p{Lu}\\p{Ll}[\\p{L}\\p{N}'-]*"
 NUMBER_AT = f"(?<={BLANK}|^|{OUTER_CLASS})[$€£]?[0-9][0-9.,:/-]*%?{ENDS}"
 UNIT_AT = f"(?<={NUMBER}{OUTER_CLASS}{{0,3}}{BLANK})(?:" + "|".join(u.replace("$", "\\$") for u in UNITS) + f"){ENDS}"
 
@@ -53,27 +60,23 @@ def template(text: Column) -> Column:
     whole = F.coalesce(text, F.lit(""))
     typed = F.regexp_replace(F.regexp_replace(whole, NUMBER_AT, NUMBER), UNIT_AT, UNIT)
     numbered = F.when(whole.rlike("[0-9]"), typed).otherwise(whole)
-    return _split(F.lower(F.regexp_replace(numbered, NAME_AT, " " + NAME)))
+    return _split(F.lower(F.regexp_replace(numbered, NAME_AT, "$1" + NAME)))
 
 
-def windows(words: Column, sizes: list[int]) -> Column:
-    """(hash, place) of all windows of template words, of each size.
+def _hashed(words: Column, sizes: list[int], each, typed: str) -> Column:
+    """each(hashes) of the windows of each size, in one array of the type named, smaller sizes first.
 
     Hashes of windows of 2, 4, 8, ... words come from two of half the size; other sizes from two
     that overlap.
     """
-    cells = "array<struct<h:bigint,p:int>>"
 
     def joined(h: Column, shift: int) -> Column:
         """Hashes of pairs `shift` apart."""
         n = F.size(h) - shift
         return F.when(n < 1, F.array().cast("array<bigint>")).otherwise(F.zip_with(F.slice(h, 1, n), F.slice(h, shift + 1, n), lambda a, b: F.xxhash64(a, b)))
 
-    def placed(h: Column) -> Column:
-        return F.transform(h, lambda x, p: F.struct(x.alias("h"), p.alias("p"))).cast(cells)
-
     def grow(h: Column, width: int) -> Column:
-        here = [let(h if n == width else joined(h, n - width), placed) for n in sizes if width <= n < 2 * width]
+        here = [each(h if n == width else joined(h, n - width)).cast(typed) for n in sorted(sizes) if width <= n < 2 * width]
         if 2 * width <= max(sizes):
             here.append(let(joined(h, width), lambda g: grow(g, 2 * width)))
         return F.concat(*here) if len(here) > 1 else here[0]
@@ -81,6 +84,29 @@ def windows(words: Column, sizes: list[int]) -> Column:
     return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: grow(h, 1))
 
 
+def windows(words: Column, sizes: list[int]) -> Column:
+    """(hash, place) of all windows of template words, of each size."""
+
+    def placed(h: Column) -> Column:
+        return F.transform(h, lambda x, p: F.struct(x.alias("h"), p.alias("p")))
+
+    return _hashed(words, sizes, lambda h: let(h, placed), "array<struct<h:bigint,p:int>>")
+
+
+def window_hashes(words: Column, sizes: list[int]) -> Column:
+    """Hashes of all windows, without their places: these follow from the number of words, see place()."""
+    return _hashed(words, sizes, lambda h: h, "array<bigint>")
+
+
+def place(at: Column, n_words: Column, n: Column, typed: Column, sizes: list[int]) -> Column:
+    """Where the window of n words at `at` starts, in window_hashes() of plain and, after these, of template
+    words; null if no window of that size and kind is there."""
+    count = lambda k: F.greatest(n_words - k + 1, F.lit(0))
+    below = sum((F.when(n > k, count(k)).otherwise(0) for k in sizes), F.lit(0))
+    p = at - below - F.when(typed, sum((count(k) for k in sizes), F.lit(0))).otherwise(0)
+    return F.when((p >= 0) & (p < count(n)), p)
+
+
 PAIR = ["doc_id", "text_hash", "item_id"]
 
 
@@ -103,8 +129,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, coverage:
     with_hash adds xxhash64 of the text.
 
     A match is a band of shifts between document and item, each at most the item's length from the
-    next, along which together at least `coverage` of the item's windows of `size` template words
-    agree (shorter items: one window, the item). A word put in or left out starts another shift.
+    next, along which together at least `coverage` of the item's windows of `size` words
+    agree, as template or as plain words (shorter items: one window, the item). A word put in or left out starts another shift.
     Along each shift, half the matched words at least must be no placeholders, and fillers must map
     one to one. Of several bands of a pair the best counts. Null and empty texts match nothing; null ids are kept;
     repeated rows give one row per (id, text). Items with equal texts match each.
@@ -114,14 +140,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, coverage:
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
     items = scratch.write(items.select("item_id", plain_words(F.col("text")).alias("raw"), template(F.col("text")).alias("words")).filter(F.size("words") > 0), "items")
     sizes = sorted(r.n for r in items.select(F.least(F.size("words"), F.lit(size)).alias("n")).distinct().collect()) or [size]
-    cells = items.select("item_id", F.size("words").alias("len"), F.explode(F.array(*[F.struct(F.lit(n).alias("n"), windows(F.col("words"), [n]).alias("c")) for n in sizes])).alias("s"))
-    cells = cells.filter(F.col("s.n") == F.least(F.col("len"), F.lit(size))).select("item_id", "len", "s.n", F.explode("s.c").alias("c")).select("item_id", "n", (F.col("len") - F.col("n") + 1).alias("n_windows"), F.col("c.h").alias("h"), F.col("c.p").alias("q"))
+    # Windows of plain words, and those of template words that differ from them.
+    both_kinds = lambda n: F.arrays_zip(windows(F.col("raw"), [n]).alias("plain"), windows(F.col("words"), [n]).alias("typed"))
+    cells = items.select("item_id", F.size("words").alias("len"), F.explode(F.array(*[F.struct(F.lit(n).alias("n"), both_kinds(n).alias("c")) for n in sizes])).alias("s"))
+    cells = cells.filter(F.col("s.n") == F.least(F.col("len"), F.lit(size))).select("item_id", "s.n", (F.col("len") - F.col("s.n") + 1).alias("n_windows"), F.explode("s.c").alias("c"))
+    kinds = F.array(F.struct(F.lit(False).alias("typed"), F.col("c.plain.h").alias("h")), F.struct(F.lit(True).alias("typed"), F.col("c.typed.h").alias("h")))
+    cells = cells.select("item_id", "n", "n_windows", F.col("c.plain.p").alias("q"), F.explode(kinds).alias("k"), F.col("c.plain.h").alias("plain"))
+    cells = cells.filter(~F.col("k.typed") | (F.col("k.h") != F.col("plain"))).select("item_id", "n", "n_windows", "q", "k.typed", "k.h")
     cells = scratch.write(cells, "cells")
     side = F.broadcast(cells) if cells.count() <= BROADCAST_ROWS else cells
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter(F.col("text").isNotNull())
-    probe = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), F.explode(windows(template(F.col("text")), sizes)).alias("c"))
-    hits = probe.select("doc_id", "text_hash", F.col("c.h").alias("h"), F.col("c.p").alias("p")).join(side, "h")
+    split = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), plain_words(F.col("text")).alias("raw"), template(F.col("text")).alias("words"))
+    probe = split.select("doc_id", "text_hash", F.size("raw").alias("n_words"), F.posexplode(F.concat(window_hashes(F.col("raw"), sizes), window_hashes(F.col("words"), sizes))).alias("at", "h"))
+    hits = probe.join(side, "h").withColumn("p", place(F.col("at"), F.col("n_words"), F.col("n"), F.col("typed"), sizes)).filter("p is not null")
     runs = (
         hits.groupBy(*PAIR, "n", "n_windows", (F.col("p") - F.col("q")).alias("shift"))
         .agg(F.sort_array(F.collect_set("q")).alias("qs"))

@@ -133,6 +133,26 @@ def test_items_with_words_put_in_or_left_out(spark):
     assert got == [(0, 0, 33, 33), (1, 0, 33, 26), (2, 0, 33, 19), (3, 0, 33, 25)]
 
 
+def test_names_by_the_word_and_plain_copies(spark):
+    sum_ = "Alice has 3 apples. Bob gives her 5 more. How many apples does Alice have now?"
+    met = "the man met Alice and then Bob went home with Carol and saw Dave"
+    texts = [sum_.replace("Alice", "Robert").replace("Bob", "Conrad").replace("3", "8").replace("5", "9"), met.replace(" Alice", "\nAlice").replace(" Bob", "\r\nBob").replace(" Carol", "\tCarol"), met.lower(), "see Tiny item here", "see tiny item here", "(Alice) and 'Bob' met"]
+    got = leaks(spark, texts, [sum_, met, "Tiny item here", "Conrad and Dora met"])
+    assert got == [(0, 0, 9, 9), (1, 1, 7, 7), (2, 1, 7, 7), (3, 2, 1, 1), (4, 2, 1, 1), (5, 3, 1, 1)]
+
+
+def test_places_of_windows(spark):
+    words, sizes = ["a", "b", "a", "c", "d"], [2, 3, 7]
+    df = spark.createDataFrame([(words, [w.upper() for w in words])], "w array<string>, t array<string>")
+    both = F.posexplode(F.concat(decontaminate.window_hashes(F.col("w"), sizes), decontaminate.window_hashes(F.col("t"), sizes)))
+    got = df.select(both.alias("at", "h")).collect()
+    for typed, name in ((False, "w"), (True, "t")):
+        for n in sizes:
+            want = [(c.p, c.h) for c in df.select(F.explode(decontaminate.windows(F.col(name), [n])).alias("c")).select("c.*").collect()]
+            at = decontaminate.place(F.col("at"), F.lit(5), F.lit(n), F.lit(typed), sizes)
+            assert [(r.p, r.h) for r in spark.createDataFrame(got, "at int, h long").select(at.alias("p"), "h").filter("p is not null").collect()] == want
+
+
 def test_windows_of_any_size(spark):
     words = [f"w{k}" for k in range(12)] + [f"w{k}" for k in range(12)]
     for n in (1, 2, 3, 5, 8, 12):
