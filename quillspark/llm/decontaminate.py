@@ -132,7 +132,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, coverage:
     next, along which together at least `coverage` of the item's windows of `size` words
     agree, as template or as plain words (shorter items: one window, the item). A word put in or left out starts another shift.
     Along each shift, half the matched words at least must be no placeholders, and fillers must map
-    one to one. Of several bands of a pair the best counts. Null and empty texts match nothing; null ids are kept;
+    one to one; else only windows that are equal word for word count. Of several bands of a pair the best counts. Null and empty texts match nothing; null ids are kept;
     repeated rows give one row per (id, text). Items with equal texts match each.
     """
     spark = docs.sparkSession
@@ -181,12 +181,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, coverage:
         return F.transform(covered, lambda k: F.struct(F.get("words", k).alias("kind"), F.get("raw", k).alias("theirs"), F.get("ours", k - F.col("lo")).alias("ours")))
 
     slot = lambda x: x["kind"].isin(NUMBER, NAME, UNIT)
+    # Where fillers differ too much, windows that are equal word for word still count.
+    equal = F.filter("qs", lambda q: F.slice("ours", q - F.col("lo") + 1, F.col("n")) == F.slice("raw", q + 1, F.col("n")))
+    slots = lambda qs: F.array_distinct(F.filter(pairs(qs), slot))
     checked = (
         both.withColumn("pairs", pairs(F.col("qs")))
         .withColumn("slots", F.array_distinct(F.filter("pairs", slot)))
         .withColumn("n_plain", F.size(F.filter("pairs", lambda x: ~slot(x))))
-        .filter(2 * F.col("n_plain") >= F.size("pairs"))
-        .filter((F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["kind"], x["theirs"]))))) & (F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["kind"], x["ours"]))))))
+        .withColumn("sound", (2 * F.col("n_plain") >= F.size("pairs")) & (F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["kind"], x["theirs"]))))) & (F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["kind"], x["ours"]))))))
+        .withColumn("qs", F.when(F.col("sound"), F.col("qs")).otherwise(equal))
+        .filter(F.size("qs") > 0)
+        .withColumn("slots", F.when(F.col("sound"), F.col("slots")).otherwise(slots(F.col("qs"))))
         .select(*PAIR, "n", "n_windows", "shift", "qs", "slots")
     )
     return (

@@ -141,6 +141,13 @@ def test_names_by_the_word_and_plain_copies(spark):
     assert got == [(0, 0, 9, 9), (1, 1, 7, 7), (2, 1, 7, 7), (3, 2, 1, 1), (4, 2, 1, 1), (5, 3, 1, 1)]
 
 
+def test_equal_fillers_need_no_plain_words(spark):
+    title, sums, table = "Great Northern Railway Timetable Summer Season Edition Nineteen Twelve London", "What is 12 + 7 - 3 * 4 + 9?", "12 km 7 kg 3 km 14 kg 5 km 6 kg"
+    other = "Small Southern Canal Pricelist Winter Months Reprint Eighteen Eleven Paris"
+    got = leaks(spark, [f"see {title} there", f"{sums} Yes.", f"row {table} row", other, "9 km 8 kg 4 km 11 kg 2 km 3 kg"], [title, sums, table])
+    assert [g[:2] for g in got] == [(0, 0), (1, 1), (2, 2)] and all(g[2] == g[3] for g in got)
+
+
 def test_places_of_windows(spark):
     words, sizes = ["a", "b", "a", "c", "d"], [2, 3, 7]
     df = spark.createDataFrame([(words, [w.upper() for w in words])], "w array<string>, t array<string>")
