@@ -148,6 +148,14 @@ def test_equal_fillers_need_no_plain_words(spark):
     assert [g[:2] for g in got] == [(0, 0), (1, 1), (2, 2)] and all(g[2] == g[3] for g in got)
 
 
+def test_fillers_of_an_item_may_become_equal(spark):
+    pens = "so the shop on the corner sold {} red pens and {} blue pens to the same people before lunch today"
+    texts = [pens.format(14, 14), pens.format(14, 16), pens.format(12, 15)]
+    assert leaks(spark, texts, [pens.format(12, 15)]) == [(0, 0, 14, 14), (1, 0, 14, 14), (2, 0, 14, 14)]
+    # Equal ones of the item must stay equal.
+    assert leaks(spark, [texts[1]], [pens.format(12, 12)]) == []
+
+
 def test_places_of_windows(spark):
     words, sizes = ["a", "b", "a", "c", "d"], [2, 3, 7]
     df = spark.createDataFrame([(words, [w.upper() for w in words])], "w array<string>, t array<string>")
