@@ -33,7 +33,7 @@ COMMON = (
     "À Au Aux Avec Ce Ces Cette Chaque Comme Comment Combien Dans Des Du Elle Et Il Ils Je Le Les Leur Mais Nous On Où Ou Par Pour Pourquoi Quand Quel Quelle Qui Sa Ses Son Sur Tous Tout Une Vous"
 ).split()
 #: A capitalised word that is none of these, wherever it stands.
-NAME_AT = f"((?:{BLANK}|^){OUTER_CLASS}*)(?!(?:" + "|".join(sorted(set(COMMON))) + ")(?![\\p{L}\\p{N}'-]))\\p{Lu}\\p{Ll}[\\p{L}\\p{N}'-]*"
+NAME_AT = f"({BLANK}{OUTER_CLASS}*+)(?=\\p{{Lu}}\\p{{Ll}})(?!(?:" + "|".join(sorted(set(COMMON))) + ")(?![\\p{L}\\p{N}'-]))[\\p{L}\\p{N}'-]+"
 NUMBER_AT = f"(?<={BLANK}|^|{OUTER_CLASS})[$€£]?[0-9][0-9.,:/-]*%?{ENDS}"
 UNIT_AT = f"(?<={NUMBER}{OUTER_CLASS}{{0,3}}{BLANK})(?:" + "|".join(u.replace("$", "\\$") for u in UNITS) + f"){ENDS}"
 
@@ -60,7 +60,7 @@ def template(text: Column) -> Column:
     whole = F.coalesce(text, F.lit(""))
     typed = F.regexp_replace(F.regexp_replace(whole, NUMBER_AT, NUMBER), UNIT_AT, UNIT)
     numbered = F.when(whole.rlike("[0-9]"), typed).otherwise(whole)
-    return _split(F.lower(F.regexp_replace(numbered, NAME_AT, "$1" + NAME)))
+    return _split(F.lower(F.regexp_replace(F.concat(F.lit(" "), numbered), NAME_AT, "$1" + NAME)))
 
 
 def _hashed(words: Column, sizes: list[int], each, typed: str) -> Column:
