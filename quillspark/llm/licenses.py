@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import let
+from .license_texts import PARAGRAPHS
 
 # Licences by SPDX identifier with the names that notices give them, the wordings of
 # notices, and openings of licence texts, all public.
@@ -51,12 +52,14 @@ TEXTS = [
 
 
 def templates() -> list[tuple[str, str]]:
-    """(licence, text) of all templates: every notice wording with every name, and the longer texts."""
-    return [(spdx, w.format(name)) for spdx, name in NAMES for w in WORDINGS] + TEXTS
+    """(licence, text) of all templates: every notice wording with every name, the longer texts, and the paragraphs of licences."""
+    return [(spdx, w.format(name)) for spdx, name in NAMES for w in WORDINGS] + TEXTS + PARAGRAPHS
 
 
 #: What parts words: everything but ASCII letters and digits.
 GAP = "[^a-z0-9]+"
+#: Blanks that part sentences within a line.
+SENTENCE = "(?<=[.!?][\"')\\]]{0,2})[ \t]+"
 
 
 def _bigrams(words):
@@ -75,7 +78,8 @@ def license_scan(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", te
     """doc_id, unit, place, license, dice: the best template of each line, paragraph or text that reaches `least`.
 
     Units are the lines of a text (unit `line`, place from 0), its paragraphs between blank lines if
-    they have more than one line (`paragraph`), and the whole text if it has more than one paragraph
+    they have more than one line (`paragraph`), the sentences of lines that have several (`sentence`,
+    counted over the text's lines of that kind), and the whole text if it has more than one paragraph
     (`text`). Dice is twice the shared distinct bigrams over the sum of both counts, so a template
     of t bigrams needs t * least / (2 - least) to t * (2 - least) / least in the unit; that bound
     prunes units before any bigram is made, and pairs in the join. Ties go to the licence that sorts
@@ -102,8 +106,10 @@ def license_scan(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", te
     lines = F.split("text", "\n")
     paragraphs = F.split("text", "\n[ \t]*\n")
     empty = F.array().cast("array<string>")
+    sentences = F.flatten(F.transform(F.filter(lines, lambda s: s.rlike(f"{SENTENCE}[^ \t]")), lambda s: F.split(s, SENTENCE)))
     units = F.concat(
         F.transform(lines, lambda s, k: F.struct(F.lit("line").alias("unit"), k.cast("long").alias("place"), s.alias("body"))),
+        F.transform(sentences, lambda s, k: F.struct(F.lit("sentence").alias("unit"), k.cast("long").alias("place"), s.alias("body"))),
         F.transform(F.when(F.col("text").contains("\n"), paragraphs).otherwise(empty), lambda s, k: F.struct(F.when(s.contains("\n"), "paragraph").alias("unit"), k.cast("long").alias("place"), s.alias("body"))),
         F.when(F.size(paragraphs) > 1, F.array(F.struct(F.lit("text").alias("unit"), F.lit(0).cast("long").alias("place"), F.col("text").alias("body")))).otherwise(F.array()),
     )

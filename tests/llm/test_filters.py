@@ -78,6 +78,19 @@ def test_licenses(spark):
     assert licenses.license_scan(df.limit(0)).count() == 0
 
 
+def test_licence_texts_and_notices_inside_lines(spark):
+    names = dict(licenses.NAMES)
+    assert {spdx for spdx, _ in licenses.PARAGRAPHS} >= set(names) - {"ISC"}
+    rows = [(k, f"head\n\n{text}\n\nend") for k, (_, text) in enumerate(licenses.PARAGRAPHS)]
+    rows += [(-1, "A long sentence stands in front of this one here. Released under the MIT License. And one more stands behind it, as long."), (-2, "No notice. None here.")]
+    got = {}
+    for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).filter("unit in ('line', 'sentence')").collect():
+        got.setdefault(r.doc_id, set()).add((r.unit, r.license, r.dice))
+    for k, (spdx, _) in enumerate(licenses.PARAGRAPHS):
+        assert ("line", spdx, 1.0) in got[k]
+    assert got[-1] == {("sentence", "MIT", 1.0)} and -2 not in got
+
+
 def test_license_scan_equals_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     grams = lambda t: (lambda w: set(zip(w, w[1:])))(re.sub("[^a-z0-9]+", " ", t.lower()).split())
