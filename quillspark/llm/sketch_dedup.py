@@ -12,7 +12,7 @@ BANDS bands of ROWS coordinates: sets of similarity 0.8 share no band with proba
 
 Members of a band's bucket are first compared with one of them, then, round by round, with a random
 one of another component, until most of what can meet has met. Then the sketches of members of
-different components are compared within the bucket, and whoever agrees in enough coordinates for a
+different components are compared within crowds, connected over all open buckets, and whoever agrees in enough coordinates for a
 link not to be ruled out is compared on full sets. So a bucket of n copies costs a few times n
 comparisons of texts, and texts that share a passage alone are parted by their sketches.
 """
@@ -312,10 +312,12 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, similarity: int = 80, id_
 
     Shingles are n_words lower-cased words (A-Z only); a text of fewer words has its whole sequence
     as one, one without words has none and links with nothing. Texts whose sets have a Jaccard
-    similarity of `similarity` per cent or more are linked; component_id is the least id reachable.
+    similarity of `similarity` per cent (80 at least) or more are linked; component_id is the least id reachable.
     Null texts are empty. Null ids count as the largest and stay null. Rows that repeat are in one
     component. An empty table gives no rows. Other columns are not read.
     """
+    if similarity < 80:
+        raise ValueError("bands and the sketch filter are made for a similarity of 80 or more; less would lose links")
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     scratch = Scratch(spark, "sketch-dedup")
@@ -348,6 +350,7 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, similarity: int = 80, id_
         tried = tried.unionByName(pairs)
 
     # The last pass: whoever can still meet through open buckets, in blocks, by sketch and then in full.
+    # A crowd is connected over all open buckets; each text goes to every block of its crowd.
     if state.pairs:
         inside, _ = _open(cells, labels)
         inside = scratch.write(inside.select("bucket", "num"), "inside")

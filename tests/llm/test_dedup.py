@@ -144,6 +144,11 @@ def test_near_duplicates(spark):
     assert sorted(map(tuple, sketch_dedup.near_duplicates(df, 4, 80).collect())) == components(rows, 4, 80)
 
 
+def test_less_than_80_is_refused(spark):
+    with pytest.raises(ValueError, match="80"):
+        sketch_dedup.near_duplicates(spark.createDataFrame(near_corpus(), DOCS), 4, 79)
+
+
 def test_one_of_each(spark):
     rows = [(1, "one two three four five six", "a"), (2, "One two three four five six", "b"), (2, "seven eight nine", "c"), (3, None, "d"), (4, "", "e"), (1, "one two three four five six", "a")]
     got = sketch_dedup.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, cls string")).collect()
