@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
+from math import ceil
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -83,15 +85,21 @@ def license_scan(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", te
     (`text`). Dice is twice the shared distinct bigrams over the sum of both counts, so a template
     of t bigrams needs t * least / (2 - least) to t * (2 - least) / least in the unit; that bound
     prunes units before any bigram is made, and pairs in the join. Ties go to the licence that sorts
-    first. Templates are a list of fixed size, broadcast. A map over partitions until the few matches
-    are counted per unit. Null and empty texts give no rows; a repeated row is scanned once per
+    first. Templates are a list of fixed size, broadcast. A map over partitions until the best of the
+    few matches of each unit is taken. Null and empty texts give no rows; a repeated row is scanned once per
     (id, text). Other columns are not read.
     """
     spark = docs.sparkSession
     rows = spark.createDataFrame([(k, spdx, text) for k, (spdx, text) in enumerate(known if known is not None else templates())], "template int, license string, body string")
     rows = rows.select("template", "license", _bigrams(_words(F.col("body"))).alias("grams")).filter(F.size("grams") > 0)
     sizes = [r.n for r in rows.select(F.size("grams").alias("n")).collect()]  # of the templates alone
-    rows = rows.select("license", "template", F.size("grams").alias("t"), F.explode("grams").alias("gram"))
+    # A unit that reaches `least` shares so many grams with the template that it holds one of its rarest few,
+    # here those that the fewest templates have.
+    bodies = rows.collect()
+    seen = Counter(g for r in bodies for g in r.grams)
+    probes = [(r.template, sorted(r.grams, key=lambda g: (seen[g], -len(g), g))[: len(r.grams) - ceil(len(r.grams) * least / (2 - least) - 1e-9) + 1]) for r in bodies]
+    probes = spark.createDataFrame([(k, g) for k, some in probes for g in some], "template int, gram string")
+    rows = rows.select("license", "template", F.size("grams").alias("t"), F.col("grams").alias("theirs"))
     # Runs of sizes that some template allows.
     spans: list[list[int]] = []
     for n in sorted(set(sizes)):
@@ -125,13 +133,15 @@ def license_scan(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", te
         .select("doc_id", "unit", "place", F.xxhash64("body").alias("body_hash"), let(_words(F.col("body")), lambda w: _bigrams(w)).alias("grams"))
         .withColumn("n", F.size("grams"))
         .filter(allowed(F.col("n")) & (F.col("n") <= longest))
-        .select("doc_id", "unit", "place", "body_hash", "n", F.explode("grams").alias("gram"))
-        .join(F.broadcast(rows), "gram")
+        # Probes whose grams the unit holds; of the pairs that are left, all grams are compared.
+        .select("doc_id", "unit", "place", "body_hash", "n", "grams", F.explode("grams").alias("gram"))
+        .join(F.broadcast(probes), "gram")
+        .join(F.broadcast(rows), "template")
         .filter((F.col("n") >= F.col("t") * (least / (2 - least))) & (F.col("n") <= F.col("t") * ((2 - least) / least)))
+        .withColumn("shared", F.size(F.array_intersect("grams", "theirs")))
     )
     return (
-        found.groupBy("doc_id", "unit", "place", "body_hash", "n", "template", "license", "t")
-        .agg(F.count_distinct("gram").alias("shared"))
+        found
         .withColumn("dice", 2.0 * F.col("shared") / (F.col("n") + F.col("t")))
         .filter(F.col("dice") >= least)
         .groupBy("doc_id", "unit", "place", "body_hash")
