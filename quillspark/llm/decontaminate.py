@@ -17,7 +17,10 @@ from .common import SPACES, Scratch, let
 
 # Units that count after a number, what is cut from the ends of a word, and the placeholders.
 UNITS = "mm cm m km mg g kg t ml l s ms min h hours minutes seconds days weeks months years % $ € £ dollars euros pounds cents miles feet inches metres meters litres liters grams kilograms kilometres kilometers percent degrees people".split()
-OUTER = "!\"#&'()*+,-./:;<=>?@[\\]^_`{|}~«»‹›“”„‘’‚…–—¿¡·•"
+OUTER = "!\"#&'()*+,-./:;<=>?@[\\]^_`{|}~«»¿¡·"
+# Typographic marks, and the plain ones that stand for them. Classes of Latin-1 marks alone are table lookups.
+TYPOGRAPHIC = "‹›“”„‘’‚…–—•"
+PLAIN_MARKS = "<>\"\"\"'''.--*"
 NUMBER, NAME, UNIT = "\x01", "\x02", "\x03"
 
 BLANK = "[\\x20\\x09-\\x0D]"
@@ -33,38 +36,49 @@ COMMON = (
     "À Au Aux Avec Ce Ces Cette Chaque Comme Comment Combien Dans Des Du Elle Et Il Ils Je Le Les Leur Mais Nous On Où Ou Par Pour Pourquoi Quand Quel Quelle Qui Sa Ses Son Sur Tous Tout Une Vous"
 ).split()
 #: A capitalised word that is none of these, wherever it stands.
-NAME_AT = f"({BLANK}{OUTER_CLASS}*+)(?=\\p{{Lu}}\\p{{Ll}})(?!(?:" + "|".join(sorted(set(COMMON))) + ")(?![\\p{L}\\p{N}'-]))[\\p{L}\\p{N}'-]+"
-NUMBER_AT = f"(?<={BLANK}|^|{OUTER_CLASS})[$€£]?[0-9][0-9.,:/-]*%?{ENDS}"
-UNIT_AT = f"(?<={NUMBER}{OUTER_CLASS}{{0,3}}{BLANK})(?:" + "|".join(u.replace("$", "\\$") for u in UNITS) + f"){ENDS}"
+NAME_AT = f"({BLANK}{OUTER_CLASS}*+)((?=\\p{{Lu}}\\p{{Ll}})(?!(?:" + "|".join(sorted(set(COMMON))) + f")(?![\\p{{L}}\\p{{N}}'-]))[\\p{{L}}\\p{{N}}'-]++){ENDS}"
+NUMBER_AT = f"(?<={BLANK}|^|{OUTER_CLASS})([$€£]?[0-9][0-9.,:/-]*%?){ENDS}"
+UNIT_AT = f"({NUMBER}[$€£]?[0-9][0-9.,:/-]*+%?+{OUTER_CLASS}{{0,3}}{BLANK})(" + "|".join(u.replace("$", "\\$") for u in UNITS) + f"){ENDS}"
 
 #: Benchmark windows up to which they are broadcast; beyond, both sides are shuffled by hash.
 BROADCAST_ROWS = 2_000_000
 
 
+def usual(text: Column) -> Column:
+    """text with plain marks instead of typographic ones."""
+    return F.when(text.rlike("[‐-›]"), F.translate(text, TYPOGRAPHIC, PLAIN_MARKS)).otherwise(text)
+
+
 def _split(text: Column) -> Column:
     none = F.array().cast("array<string>")
     return let(F.btrim(text, F.lit(OUTER + SPACES)), lambda bare: F.when(bare == "", none).otherwise(F.split(bare, GAP)))
 
 
-def plain_words(text: Column) -> Column:
-    """Lower-cased words of a text without punctuation at their ends."""
-    return _split(F.lower(F.coalesce(text, F.lit(""))))
+def marked_words(text: Column) -> Column:
+    """Lower-cased words of a text without punctuation at their ends; numbers, names and units have their placeholder in front.
 
+    Marks are put into the whole text before it is split: a few passes of a pattern over a text cost
+    less than an expression per word. Texts without digits are spared two of them.
+    """
+    typed = lambda s: F.regexp_replace(F.regexp_replace(s, NUMBER_AT, NUMBER + "$1"), UNIT_AT, "$1" + UNIT + "$2")
+    numbered = let(usual(F.coalesce(text, F.lit(""))), lambda s: F.when(s.rlike("[0-9]"), typed(s)).otherwise(s))
+    return _split(F.lower(F.regexp_replace(F.concat(F.lit(" "), numbered), NAME_AT, "$1" + NAME + "$2")))
 
-def template(text: Column) -> Column:
-    """The template words of a text, one for each of its plain words.
 
-    Placeholders are put into the whole text before it is split: a few passes of a pattern over a
-    text cost less than an expression per word. Texts without digits are spared two of them.
-    """
-    whole = F.coalesce(text, F.lit(""))
-    typed = F.regexp_replace(F.regexp_replace(whole, NUMBER_AT, NUMBER), UNIT_AT, UNIT)
-    numbered = F.when(whole.rlike("[0-9]"), typed).otherwise(whole)
-    return _split(F.lower(F.regexp_replace(F.concat(F.lit(" "), numbered), NAME_AT, "$1" + NAME)))
+def _is_marked(word: Column) -> Column:
+    return word < F.lit("\x04")
+
 
+def plain(word: Column) -> Column:
+    return F.when(_is_marked(word), F.substring(word, 2, 1 << 30)).otherwise(word)
 
-def _hashed(words: Column, sizes: list[int], each, typed: str) -> Column:
-    """each(hashes) of the windows of each size, in one array of the type named, smaller sizes first.
+
+def template(word: Column) -> Column:
+    return F.when(_is_marked(word), F.substring(word, 1, 1)).otherwise(word)
+
+
+def _hashed(words: Column, sizes: list[int], each, typed: str, kind=lambda w: w) -> Column:
+    """each(hashes) of the windows of kind(word) of each size, in one array of the type named, smaller sizes first.
 
     Hashes of windows of 2, 4, 8, ... words come from two of half the size; other sizes from two
     that overlap.
@@ -81,7 +95,7 @@ def _hashed(words: Column, sizes: list[int], each, typed: str) -> Column:
             here.append(let(joined(h, width), lambda g: grow(g, 2 * width)))
         return F.concat(*here) if len(here) > 1 else here[0]
 
-    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: grow(h, 1))
+    return let(F.transform(words, lambda w: F.xxhash64(kind(w))), lambda h: grow(h, 1))
 
 
 def windows(words: Column, sizes: list[int]) -> Column:
@@ -93,9 +107,9 @@ def windows(words: Column, sizes: list[int]) -> Column:
     return _hashed(words, sizes, lambda h: let(h, placed), "array<struct<h:bigint,p:int>>")
 
 
-def window_hashes(words: Column, sizes: list[int]) -> Column:
+def window_hashes(words: Column, sizes: list[int], kind=lambda w: w) -> Column:
     """Hashes of all windows, without their places: these follow from the number of words, see place()."""
-    return _hashed(words, sizes, lambda h: h, "array<bigint>")
+    return _hashed(words, sizes, lambda h: h, "array<bigint>", kind)
 
 
 def place(at: Column, n_words: Column, n: Column, typed: Column, sizes: list[int]) -> Column:
@@ -137,35 +151,44 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, coverage:
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontaminate")
+    both_kinds = [F.transform("marked", plain).alias("raw"), F.transform("marked", template).alias("words")]
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
-    items = scratch.write(items.select("item_id", plain_words(F.col("text")).alias("raw"), template(F.col("text")).alias("words")).filter(F.size("words") > 0), "items")
+    items = scratch.write(items.select("item_id", marked_words(F.col("text")).alias("marked")).select("item_id", *both_kinds).filter(F.size("words") > 0), "items")
     sizes = sorted(r.n for r in items.select(F.least(F.size("words"), F.lit(size)).alias("n")).distinct().collect()) or [size]
     # Windows of plain words, and those of template words that differ from them.
-    both_kinds = lambda n: F.arrays_zip(windows(F.col("raw"), [n]).alias("plain"), windows(F.col("words"), [n]).alias("typed"))
-    cells = items.select("item_id", F.size("words").alias("len"), F.explode(F.array(*[F.struct(F.lit(n).alias("n"), both_kinds(n).alias("c")) for n in sizes])).alias("s"))
+    windows_of = lambda n: F.arrays_zip(windows(F.col("raw"), [n]).alias("plain"), windows(F.col("words"), [n]).alias("typed"))
+    cells = items.select("item_id", F.size("words").alias("len"), F.explode(F.array(*[F.struct(F.lit(n).alias("n"), windows_of(n).alias("c")) for n in sizes])).alias("s"))
     cells = cells.filter(F.col("s.n") == F.least(F.col("len"), F.lit(size))).select("item_id", "s.n", (F.col("len") - F.col("s.n") + 1).alias("n_windows"), F.explode("s.c").alias("c"))
     kinds = F.array(F.struct(F.lit(False).alias("typed"), F.col("c.plain.h").alias("h")), F.struct(F.lit(True).alias("typed"), F.col("c.typed.h").alias("h")))
     cells = cells.select("item_id", "n", "n_windows", F.col("c.plain.p").alias("q"), F.explode(kinds).alias("k"), F.col("c.plain.h").alias("plain"))
     cells = cells.filter(~F.col("k.typed") | (F.col("k.h") != F.col("plain"))).select("item_id", "n", "n_windows", "q", "k.typed", "k.h")
     cells = scratch.write(cells, "cells")
-    side = F.broadcast(cells) if cells.count() <= BROADCAST_ROWS else cells
-
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter(F.col("text").isNotNull())
-    split = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), plain_words(F.col("text")).alias("raw"), template(F.col("text")).alias("words"))
+    few_cells = cells.count() <= BROADCAST_ROWS
+
+    # Documents with any window of the benchmark; only these are looked at window by window.
+    whole = F.col(text_col).cast("string")
+    texts = docs.filter(whole.isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(whole).alias("text_hash"), whole.alias("text"))
+    hashes = let(marked_words(F.col("text")), lambda w: F.concat(window_hashes(w, sizes, plain), window_hashes(w, sizes, template)))
+    known = cells.select("h").distinct()
+    near = texts.select("doc_id", "text_hash", F.explode(hashes).alias("h")).join(F.broadcast(known) if few_cells else known, "h", "left_semi")
+    near = scratch.write(near.select("doc_id", "text_hash").distinct(), "near")
+    near = F.broadcast(near) if near.count() <= BROADCAST_ROWS // 10 else near
+    near = near.select(F.col("doc_id").alias("near_id"), F.col("text_hash").alias("near_hash"))
+    split = texts.join(near, F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("text_hash") == F.col("near_hash")), "left_semi")
+    split = split.select("doc_id", "text_hash", marked_words(F.col("text")).alias("marked")).select("doc_id", "text_hash", *both_kinds)
+    split = scratch.write(split.dropDuplicates(["doc_id", "text_hash"]), "split")
     probe = split.select("doc_id", "text_hash", F.size("raw").alias("n_words"), F.posexplode(F.concat(window_hashes(F.col("raw"), sizes), window_hashes(F.col("words"), sizes))).alias("at", "h"))
-    hits = probe.join(side, "h").withColumn("p", place(F.col("at"), F.col("n_words"), F.col("n"), F.col("typed"), sizes)).filter("p is not null")
+    hits = probe.join(F.broadcast(cells) if few_cells else cells, "h").withColumn("p", place(F.col("at"), F.col("n_words"), F.col("n"), F.col("typed"), sizes)).filter("p is not null")
     runs = (
         hits.groupBy(*PAIR, "n", "n_windows", (F.col("p") - F.col("q")).alias("shift"))
         .agg(F.sort_array(F.collect_set("q")).alias("qs"))
     )
     runs = scratch.write(_whole(_bands(runs), coverage), "runs")
 
-    # Slots: the words of both sides along each shift. Only documents with a run are read again, and split once.
-    small = runs.count() <= BROADCAST_ROWS // 10
-    few = runs.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("item_id", "n", "n_windows", "shift", "qs")).alias("runs"))
-    few = F.broadcast(few) if small else few
-    key = [texts["doc_id"].eqNullSafe(few["doc_id"]), F.xxhash64(texts["text"]) == few["text_hash"]]
-    again = texts.join(few, key).select(few["doc_id"], "text_hash", plain_words(F.col("text")).alias("ours"), "runs")
+    # Slots: the words of both sides along each shift.
+    runs_of = runs.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("item_id", "n", "n_windows", "shift", "qs")).alias("runs"))
+    ours = split.select(F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"), F.col("raw").alias("ours"))
+    again = runs_of.join(ours, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")))
     lo, hi = F.element_at("qs", 1), F.element_at("qs", -1) + F.col("n") - 1
     both = (
         again.select("doc_id", "text_hash", "ours", F.explode("runs").alias("r"))
