@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -59,6 +60,9 @@ class Scratch:
         return self.spark.table(table)
 
     def drop(self, name: str | None = None) -> None:
+        for table in [t for t in self.tables if name is None or t.startswith(f"q_{name}_")]:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            self.tables.remove(table)
         to = self.path if name is None else f"{self.path}/{name}"
         path = self.spark._jvm.org.apache.hadoop.fs.Path(to)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
@@ -94,6 +98,25 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def tidy() -> None:
+    """Give memory that a task has freed back to the system; a Python worker outlives its tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidied(run):
+    """A map over Arrow batches that tidies up after its task."""
+
+    def map_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            tidy()
+
+    return map_
+
+
 def by_size(batch: pa.RecordBatch, size: int, column: int = 1) -> Iterator[pa.RecordBatch]:
     """Slices of batch that hold about size bytes of texts each, one text at least."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))

@@ -1,7 +1,6 @@
 """Packing token sequences into fixed windows: shortest-pack-first over the length histogram.
 
-Documents are tokenized once, in a map over partitions that keeps each worker's memo of chunks
-bounded. Only (id, start, length, checksum) rows go on. Whole windows stand alone; the histogram of
+Documents are tokenized once, in a map over partitions (see word_bpe.py). Only (id, start, length, checksum) rows go on. Whole windows stand alone; the histogram of
 what is left has at most `window` entries whatever the corpus holds, and the plan made from it on the
 driver counts packing patterns, not documents. Patterns go back to documents by rank within a
 length; ranks come from counts per (length, hash bucket), so a length shared by a third of all rows
@@ -11,93 +10,44 @@ is spread over many tasks.
 from __future__ import annotations
 
 import heapq
-import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, by_size
+from .common import Scratch, by_size, tidy
+from .word_bpe import WordEncoder, encoder
 
-# What Unicode calls white space. No pre-token of the vocabulary's pattern crosses it.
-CHUNK = re.compile("[^\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
-
-#: Entries kept in each worker's memo of chunks; it is emptied when full.
-MEMO = 400_000
+#: Entries kept in each worker's memos; one is emptied when full.
+MEMO = 200_000
 #: Bytes of text that are split and encoded at once.
-TEXT_BYTES = 1 << 20
+TEXT_BYTES = 2 << 20
 #: Rows of a hash bucket that ranks are counted in, about.
 BUCKET_ROWS = 2048
 
 
-class ChunkIds(dict):
-    """Token ids of blank-separated chunks, as little-endian unsigned 32-bit bytes."""
-
-    #: A private-use character, by itself between blanks, parts the chunks that are encoded at once.
-    PART = "\ue000"
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.encode_batch = Tokenizer.from_file(path).encode_batch_fast
-        self.part = self._one(self.PART)
-
-    def _one(self, text: str) -> bytes:
-        return np.asarray(self.encode_batch([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self._one(chunk)
-        if len(chunk) <= 64:
-            self[chunk] = ids
-        return ids
-
-    def learn(self, chunks: set[str]) -> None:
-        """Encode those of chunks that aren't known in one call; to the tokenizer a call costs more than a chunk."""
-        new = [c for c in chunks if c not in self and len(c) <= 64 and self.PART not in c]
-        if len(self) + len(new) > MEMO:
-            self.clear()
-            new = [c for c in chunks if len(c) <= 64 and self.PART not in c]
-        if not new:
-            return
-        ids = np.frombuffer(self._one(f" {self.PART} ".join(new)), "<u4")
-        part = np.frombuffer(self.part, "<u4")
-        n = len(part)
-        found = np.ones(max(0, len(ids) - n + 1), dtype=bool)
-        for k in range(n):
-            found &= ids[k : len(ids) - n + 1 + k] == part[k]
-        at = np.flatnonzero(found)
-        if len(at) != len(new) - 1:
-            raise ValueError("chunks and ids do not match")
-        data, starts = ids.tobytes(), [0, *(4 * (at + n)).tolist()]
-        self.update(zip(new, (data[i:j] for i, j in zip(starts, [*(4 * at).tolist(), len(data)]))))
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        # str.split() also splits at four control characters that are no white space to the tokenizer.
-        split = [CHUNK.findall(t) if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
-        self.learn(set().union(*split))
-        return [b"".join(map(self.__getitem__, s)) for s in split]
-
-
-@lru_cache(maxsize=2)
-def chunk_ids(path: str) -> ChunkIds:
-    return ChunkIds(path)
-
-
 def pieces(docs: DataFrame, path: str, window: int = 4096, end_id: int = 2, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens of each piece: whole windows and what is left of each document."""
     end = np.uint32(end_id).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = chunk_ids(path)
+        known = encoder(path, MEMO)
+        try:
+            yield from encoded(batches, known)
+        finally:
+            # The worker may go on with other work.
+            known.clear()
+            tidy()
+
+    def encoded(batches: Iterator[pa.RecordBatch], known: WordEncoder) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             for some in by_size(batch, TEXT_BYTES):
-                for key, data in zip(some.column(0).to_pylist(), known.ids([v or "" for v in some.column(1).to_pylist()])):
-                    data += end
+                for key, ids in zip(some.column(0).to_pylist(), known.ids([v or "" for v in some.column(1).to_pylist()])):
+                    data = ids.tobytes() + end
                     n = len(data) // 4
                     for start in range(0, n, window):
                         part = data[4 * start : 4 * (start + window)]
