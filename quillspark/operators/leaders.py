@@ -4,13 +4,17 @@ A row is dropped if an earlier kept row has its bytes or a hash within `threshol
 dropped never drop others. This differs from connected components: of a chain A, B, C with A near B
 and B near C alone, C stays.
 
-Candidates come from bands: hashes that differ in at most t bits agree on one of t + 1 bands. The order
-is resolved by a fixpoint: a row without earlier neighbours, or whose earlier neighbours are all
+Candidates come from bands: of m bands, hashes that differ in at most t bits differ in at most t // m bits
+of some band. One side goes to all values within that many bits of its own, the other to its own alone;
+a few wide bands with neighbours leave far fewer chance meetings than t + 1 narrow ones. The order is resolved by a fixpoint: a row without earlier neighbours, or whose earlier neighbours are all
 dropped, is kept; a row with a kept earlier neighbour is dropped.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import comb
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,28 +22,45 @@ from ..functions.hashes import hamming
 from ..sources.tables import written
 
 
-def bands(h: Column, threshold: int, bits: int = 64) -> Column:
-    """(band number, bits of that band) for threshold + 1 bands over a 64-bit hash."""
-    n = threshold + 1
-    cuts = [bits * k // n for k in range(n + 1)]
-    mask = lambda width: (1 << width) - 1
-    part = lambda k: F.shiftrightunsigned(h, cuts[k]).bitwiseAND(F.lit(mask(cuts[k + 1] - cuts[k])))
-    return F.array(*[F.struct(F.lit(k).alias("band"), part(k).alias("bits")) for k in range(n)])
+#: Neighbours of a band's value that one side is sent to at most.
+MOST_NEIGHBOURS = 1000
+
+
+def cuts_for(threshold: int, bits: int) -> list[int]:
+    """Where bands begin and end: as few as keep the neighbours of a value within bounds."""
+    for m in range(2, threshold + 3):
+        width = -(-bits // m)
+        if sum(comb(width, d) for d in range(threshold // m + 1)) <= MOST_NEIGHBOURS:
+            break
+    return [bits * k // m for k in range(m + 1)]
+
+
+def _parts(h: Column, cuts: list[int]) -> list[Column]:
+    return [F.shiftrightunsigned(h, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)) for lo, hi in zip(cuts, cuts[1:])]
+
+
+def _masks(width: int, most: int) -> Column:
+    """All numbers of width bits with at most `most` set, as a literal."""
+    return F.array(*[F.lit(sum(1 << b for b in some)).cast("long") for d in range(most + 1) for some in combinations(range(width), d)])
 
 
 def near_pairs(hashes: DataFrame, threshold: int, bits: int = 64) -> DataFrame:
     """Pairs (a, b) of distinct hashes at most threshold bits apart, a < b. hashes has one column h, without repeats.
 
     Working on distinct hashes, a value shared by a third of all rows counts once. Each pair is
-    taken in the first band it shares, so no distinct is needed.
+    taken in the first band in which it is near, so no distinct is needed.
     """
-    cells = hashes.select("h", F.explode(bands(F.col("h"), threshold, bits)).alias("c")).select("h", "c.band", "c.bits")
-    other = cells.select(F.col("h").alias("b"), "band", "bits")
-    pairs = cells.withColumnRenamed("h", "a").join(other, ["band", "bits"]).filter("a < b").filter(hamming(F.col("a"), F.col("b")) <= threshold)
-    x = F.col("a").bitwiseXOR(F.col("b"))
-    cuts = [bits * k // (threshold + 1) for k in range(threshold + 2)]
-    same = lambda k: F.shiftrightunsigned(x, cuts[k]).bitwiseAND(F.lit((1 << (cuts[k + 1] - cuts[k])) - 1)) == 0
-    first = F.coalesce(*[F.when(same(k), F.lit(k)) for k in range(threshold + 1)])
+    cuts = cuts_for(threshold, bits)
+    near = threshold // (len(cuts) - 1)
+    cell = lambda k, part: F.struct(F.lit(k).alias("band"), part.alias("bits"))
+    neighbours = lambda k, part: F.transform(_masks(cuts[k + 1] - cuts[k], near), lambda m: cell(k, part.bitwiseXOR(m)))
+    around = [neighbours(k, part) for k, part in enumerate(_parts(F.col("h"), cuts))]
+    own = F.array(*[cell(k, part) for k, part in enumerate(_parts(F.col("h"), cuts))])
+    left = hashes.select(F.col("h").alias("a"), F.explode(F.concat(*around)).alias("c")).select("a", "c.band", "c.bits")
+    right = hashes.select(F.col("h").alias("b"), F.explode(own).alias("c")).select("b", "c.band", "c.bits")
+    pairs = left.join(right, ["band", "bits"]).filter("a < b").filter(hamming(F.col("a"), F.col("b")) <= threshold)
+    apart = _parts(F.col("a").bitwiseXOR(F.col("b")), cuts)
+    first = F.coalesce(*[F.when(F.bit_count(part) <= near, F.lit(k)) for k, part in enumerate(apart)])
     return pairs.filter(F.col("band") == first).select("a", "b")
 
 

@@ -30,12 +30,13 @@ def latest(results: DataFrame, order_col: str | None = None) -> DataFrame:
     return results.groupBy("doc_id").agg(F.max_by(F.struct(*cols), order_col).alias("r")).select("doc_id", "r.*")
 
 
-def verdicts(gold: DataFrame, results: DataFrame) -> DataFrame:
+def verdicts(gold: DataFrame, results: DataFrame, order_col: str | None = None) -> DataFrame:
     """doc_id, class, expect, got_class, status, verdict per gold row. results: doc_id, doc_class, status, data (variant).
 
-    A gold row without a result is no_result and counts nowhere.
+    A gold row without a result is no_result and counts nowhere. Of several results of a document the
+    last by order_col counts.
     """
-    r = results.select("doc_id", F.col("doc_class").alias("got_class"), "status", "data")
+    r = latest(results, order_col).select("doc_id", F.col("doc_class").alias("got_class"), "status", "data")
     refused = F.col("status") == "refused"
     known = F.col("found").isNotNull()
     refuse = F.col("expect") == "refuse"
@@ -105,12 +106,12 @@ def field_scores(judged: DataFrame, field_gold: DataFrame) -> DataFrame:
     return scored.groupBy("doc_id").agg(F.sum("correct").alias("correct"), F.sum("total").alias("total"))
 
 
-def score(gold: DataFrame, results: DataFrame, field_gold: DataFrame | None = None) -> DataFrame:
+def score(gold: DataFrame, results: DataFrame, field_gold: DataFrame | None = None, order_col: str | None = None) -> DataFrame:
     """One row of counters, ratios to four places (null of none) and lists of ids.
 
     Routing, refusal and field accuracy stay apart, and hallucinations are listed: an average would hide them.
     """
-    judged = verdicts(gold, results)
+    judged = verdicts(gold, results, order_col)
     v = F.col("verdict")
     has = lambda *names: v.isin(*names)
     ids = lambda cond: F.sort_array(F.collect_list(F.when(cond, F.col("doc_id"))))

@@ -11,9 +11,9 @@ CLASSES = ["work_report", "vendor_bill", "meter_reading", "not_a_document"]
 FIELDS = {
     "work_report": [("depot", "string|null", False), ("report_date", "date|null", True), ("entries", "array<work_entry>", True), ("page_label", "string|null", False)],
     "vendor_bill": [
-        ("vendor_name", "string", True), ("vendor_gstin", "string|null", False), ("vendor_phone", "string|null", False), ("invoice_no", "string|null", True),
+        ("vendor_name", "string|null", True), ("vendor_gstin", "string|null", False), ("vendor_phone", "string|null", False), ("invoice_no", "string|null", True),
         ("invoice_date", "date|null", True), ("buyer_name", "string|null", False), ("vehicle_no", "string|null", False), ("line_items", "array<line_item>", True),
-        ("subtotal", "number|null", False), ("tax_amount", "number|null", False), ("total_amount", "number", True), ("amount_in_words", "string|null", False), ("currency", "string", False),
+        ("subtotal", "number|null", False), ("tax_amount", "number|null", False), ("total_amount", "number|null", True), ("amount_in_words", "string|null", False), ("currency", "string", False),
     ],
     "meter_reading": [
         ("reading_type", "enum", True), ("odometer_km", "number|null", False), ("trip_km", "number|null", False), ("fuel_level_pct", "number|null", False), ("amount_rs", "number|null", False),
@@ -30,6 +30,20 @@ ROUTER = ("gpt-4o-mini", 384, 70)
 MOST_PIXELS, BOOST = 1568, 1.35
 
 
+#: What to look out for in each class, and what a quality flag means for reading.
+HINTS = {
+    "work_report": "One entry per written line of work; lines struck through are entries too, and marked so.",
+    "vendor_bill": "Amounts as printed, without currency signs; the total is the sum to be paid, taxes included.",
+    "meter_reading": "Digits of the display alone, with the decimal point where the display has one; null for what it does not show.",
+}
+QUALITY_NOTES = {
+    "truncated_file_recovered": "The lower part of the image may be missing.",
+    "low_sharpness": "The image is blurred: give null rather than a guess.",
+    "underexposed": "The image is dark.",
+    "very_low_resolution": "The image is small: letters that look alike can't be told apart.",
+}
+
+
 def policies(spark: SparkSession) -> DataFrame:
     """The three-row dimension of model, size, quality and answer length by class."""
     return spark.createDataFrame(POLICIES, "doc_class string, model string, max_dim int, jpeg_q int, max_tokens int")
@@ -63,8 +77,8 @@ def router_prompt() -> str:
 
 
 def extraction_prompt(doc_class: str, subtype: str | None = None, flags: list[str] | None = None) -> str:
-    note = f"Image quality: {', '.join(flags)}." if flags else ""
-    return "\n".join(x for x in (field_prompt(doc_class, subtype), "Answer with JSON: doc_class, confidence, data, refusal {reason, observed}.", note) if x)
+    notes = [QUALITY_NOTES[f] for f in flags or () if f in QUALITY_NOTES]
+    return "\n".join(x for x in (field_prompt(doc_class, subtype), HINTS[doc_class], "Answer with JSON: doc_class, confidence, data, refusal {reason, observed}.", *notes) if x)
 
 
 def baseline_prompt() -> str:
@@ -73,4 +87,4 @@ def baseline_prompt() -> str:
 
 def cache_material() -> dict:
     """Every choice that can change an answer, for the cache's fingerprint."""
-    return {"router": ROUTER, "policies": POLICIES, "prompts": [router_prompt(), baseline_prompt(), *(extraction_prompt(c, s) for c in FIELDS for s in (None, *SUBTYPES))], "sizes": [MOST_PIXELS, BOOST]}
+    return {"router": ROUTER, "policies": POLICIES, "prompts": [router_prompt(), baseline_prompt(), *(extraction_prompt(c, s, list(QUALITY_NOTES)) for c in FIELDS for s in (None, *SUBTYPES))], "sizes": [MOST_PIXELS, BOOST]}

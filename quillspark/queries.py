@@ -21,6 +21,9 @@ from .operators import leaders, rollups, rules, scoring
 from .plans import classes, runs
 from .sources import cache, files
 
+#: Words of a dimension up to which it is one broadcast row.
+MOST_KNOWN = 50_000
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -174,14 +177,15 @@ s AS (SELECT doc_id, sha256(text) AS digest, CAST(list_sum(list_transform(range(
 
 
 @query(
-    f"""WITH RECURSIVE {SIMHASH_SQL}, o AS (SELECT *, ROW_NUMBER() OVER (ORDER BY doc_id) AS n FROM s),
-fold AS (SELECT CAST(0 AS BIGINT) AS n, CAST([] AS STRUCT(d BIGINT, h BIGINT, g VARCHAR)[]) AS kept, CAST(NULL AS BIGINT) AS doc_id, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS BIGINT) AS duplicate_of
+    # Edges first; then a fold, in order, over those that have an earlier neighbour, carrying whoever was dropped.
+    f"""WITH RECURSIVE {SIMHASH_SQL},
+e AS (SELECT b.doc_id AS hi, list({{'d': a.doc_id, 'x': a.digest = b.digest}} ORDER BY a.doc_id) AS ns FROM s a JOIN s b ON a.doc_id < b.doc_id AND (a.digest = b.digest OR bit_count(xor(a.h, b.h)) <= 5) GROUP BY b.doc_id),
+o AS (SELECT *, ROW_NUMBER() OVER (ORDER BY hi) AS n FROM e),
+fold AS (SELECT CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS dropped, CAST(NULL AS BIGINT) AS doc_id, CAST(NULL AS STRUCT(d BIGINT, x BOOLEAN)[]) AS alive
   UNION ALL
-  SELECT n, CASE WHEN dup IS NULL THEN list_append(kept, {{'d': doc_id, 'h': h, 'g': digest}}) ELSE kept END, doc_id, CASE WHEN ex IS NOT NULL THEN 'duplicate:exact' WHEN dup IS NOT NULL THEN 'duplicate:near' END, dup
-  FROM (SELECT o.n, f.kept, o.doc_id, o.h, o.digest, list_filter(f.kept, lambda k: k.g = o.digest)[1].d AS ex,
-      COALESCE(list_filter(f.kept, lambda k: k.g = o.digest)[1].d, list_filter(f.kept, lambda k: bit_count(xor(k.h, o.h)) <= 5)[1].d) AS dup
-    FROM fold f JOIN o ON o.n = f.n + 1))
-SELECT doc_id, reason, duplicate_of FROM fold WHERE n > 0"""
+  SELECT o.n, CASE WHEN len(list_filter(ns, lambda v: NOT list_contains(dropped, v.d))) > 0 THEN list_append(dropped, hi) ELSE dropped END, hi, list_filter(ns, lambda v: NOT list_contains(dropped, v.d)) FROM fold f JOIN o ON o.n = f.n + 1),
+r AS (SELECT doc_id, CASE WHEN len(list_filter(alive, lambda v: v.x)) > 0 THEN 'duplicate:exact' ELSE 'duplicate:near' END AS reason, COALESCE(list_filter(alive, lambda v: v.x)[1].d, alive[1].d) AS duplicate_of FROM fold WHERE n > 0 AND len(alive) > 0)
+SELECT s.doc_id, r.reason, r.duplicate_of FROM s LEFT JOIN r USING (doc_id)"""
 )
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"), simhash60(F.col("text")).alias("h"))
@@ -301,10 +305,15 @@ d AS (SELECT doc_id, list_distinct(list_filter(string_split(trim(regexp_replace(
 SELECT doc_id, len(list_filter(ws, lambda w: list_contains(known, w))) AS n_hit, len(list_filter(ws, lambda w: NOT list_contains(known, w))) AS n_missing FROM d, b"""
 )
 def set_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents against those of the benchmark: per row where the known words are few, else joined by word."""
     known = table(spark, sf_dir, "benchmark").select(F.explode(scoring.words(F.col("text"))).alias("w")).distinct()
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.explode_outer(F.array_distinct(scoring.words(F.col("text")))).alias("w"))
-    hits = docs.join(known.withColumn("hit", F.lit(1)), "w", "left")
-    return hits.groupBy("doc_id").agg(F.count("hit").alias("n_hit"), (F.count("w") - F.count("hit")).alias("n_missing"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", scoring.words(F.col("text")).alias("ws"))
+    if known.count() <= MOST_KNOWN:
+        few = known.agg(F.collect_list("w").alias("known"), F.lit(1).alias("k"))
+        both = docs.withColumn("k", F.lit(1)).join(F.broadcast(few), "k").select("doc_id", scoring.set_overlap(F.col("ws"), F.col("known")).alias("o"))
+        return both.select("doc_id", F.size("o.hit").cast("long").alias("n_hit"), F.size("o.missing").cast("long").alias("n_missing"))
+    rows = docs.select("doc_id", F.explode_outer(F.array_distinct("ws")).alias("w")).join(known.withColumn("hit", F.lit(1)), "w", "left")
+    return rows.groupBy("doc_id").agg(F.count("hit").alias("n_hit"), (F.count("w") - F.count("hit")).alias("n_missing"))
 
 
 # ---- cache, union, runs ----
@@ -351,16 +360,24 @@ def compact_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("event_id", F.get_json_object("o", "$.description").alias("description"), F.get_json_object("o", "$.qty").cast("long").alias("qty"), F.get_json_object("o", "$.hsn").alias("hsn"))
 
 
-@query()
+@query(
+    """WITH d AS (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS t FROM conversations GROUP BY conv_id),
+e AS (SELECT *, length(t) AS n, substr(t, 1, 12) AS v, CASE WHEN length(t) < 60 THEN 'rejected' ELSE ['work_report', 'vendor_bill', 'meter_reading', 'not_a_document'][conv_id % 4 + 1] END AS c FROM d),
+i AS (SELECT *, list_filter([CASE WHEN c = 'work_report' THEN 'entries_not_a_list' END, CASE WHEN c = 'vendor_bill' AND trim(v) = '' THEN 'missing_vendor_name' END], lambda x: x IS NOT NULL) AS l FROM e)
+SELECT CAST(conv_id AS VARCHAR) AS doc_id, CASE WHEN c = 'rejected' THEN 'not_a_document' ELSE c END AS doc_class, CASE WHEN c IN ('rejected', 'not_a_document') THEN 'refused' ELSE 'extracted' END AS status,
+  CASE WHEN c = 'rejected' THEN 1.0 WHEN c = 'not_a_document' THEN 0.9 ELSE ROUND(CAST(0.95 AS DOUBLE) - CASE WHEN len(l) = 0 THEN 0 WHEN c = 'work_report' THEN 0.5 ELSE 0.15 END, 3) END::DOUBLE AS confidence,
+  CASE WHEN c IN ('work_report', 'vendor_bill', 'meter_reading') THEN '{"odometer_km":' || n || ',"total_amount":' || n || ',"vendor_name":' || CAST(to_json(v) AS VARCHAR) || '}' END AS data,
+  c <> 'work_report' AS passed, array_to_string(l, ';') AS issues FROM i"""
+)
 def optimized_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Screening, routing, extraction and validation over replayed responses: conversations stand for the model."""
-    docs = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").cast("string").alias("doc_id")).agg(F.min_by("text", "turn").alias("text"))
+    """Screening, routing, extraction and validation over replayed responses: whole conversations stand for files and for the model."""
+    turns = F.array_sort(F.collect_list(F.struct("turn", "text")))
+    docs = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(turns.alias("turns")).select(F.col("conv_id").cast("string").alias("doc_id"), "conv_id", F.array_join("turns.text", "\n").alias("text"))
     inbox = docs.select("doc_id", F.sha2("text", 256).alias("sha256"), F.when(F.length("text") < 60, "not_an_image:unrecognised_format").alias("reject_reason"), F.lit(None).cast("string").alias("duplicate_of"), F.array().cast("array<string>").alias("quality_flags"))
-    chosen = F.element_at(F.array(*[F.lit(c) for c in classes.CLASSES]), (F.pmod(F.xxhash64("doc_id"), F.lit(4)) + 1).cast("int"))
+    chosen = F.element_at(F.array(*[F.lit(c) for c in classes.CLASSES]), (F.pmod(F.col("conv_id"), F.lit(4)) + 1).cast("int"))
     route = F.to_json(F.struct(chosen.alias("class"), F.lit(0.9).alias("confidence")))
     data = F.to_json(F.struct(F.lit(0.95).alias("confidence"), F.struct(F.length("text").alias("total_amount"), F.substring("text", 1, 12).alias("vendor_name"), F.length("text").alias("odometer_km")).alias("data")))
     stage = F.explode(F.array(F.struct(F.lit("route").alias("stage"), route.alias("text")), F.struct(F.lit("extract").alias("stage"), data.alias("text"))))
     responses = docs.select("doc_id", stage.alias("s")).select("doc_id", "s.stage", "s.text")
     out = runs.run_optimized(inbox, responses, "2024-01-15")
     return out.select("doc_id", "doc_class", "status", "confidence", F.to_json("data").alias("data"), "validation.passed", F.array_join("validation.issues", ";").alias("issues"))
-

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # Suffixes of the inbox; of these, batch requests leave out the first.
 SUFFIXES = ["heic", "jpg", "jpeg", "png", "webp", "bmp", "gif"]
+BATCH_SUFFIXES = SUFFIXES[1:]
 LOW_SHARPNESS, DARK, FEW_MEGAPIXELS = 150.0, 90.0, 0.15
 
 

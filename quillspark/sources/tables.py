@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
@@ -20,9 +22,16 @@ def shared_folder(spark: SparkSession) -> str:
     return made
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df, computed once and read from Parquet: lineage is cut, and lost executors lose nothing."""
+    """df, computed once and read from Parquet: lineage is cut, and lost executors lose nothing. The table goes when the driver ends."""
     spark = df.sparkSession
     to = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_delete, spark, to)
     df.write.parquet(to)
     return spark.read.schema(df.schema).parquet(to)
