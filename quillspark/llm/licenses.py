@@ -76,6 +76,59 @@ def _words(text):
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, " "))
 
 
+# Words that any English text has.
+FUNCTION_WORDS = frozenset("a about all also an and any are as at be been but by can for from had has have he her his how if in into is it its may more no not of on one or other our out she so some such than that the their them then there these they this to under up was we were what when which who will with would you your".split())
+
+
+def _needed(n: int, least: float) -> int:
+    """Bigrams of a template of n that a unit must share at the very least to reach a Dice coefficient of `least`."""
+    return ceil(n * least / (2 - least) - 1e-9)
+
+
+def key_words(grams: list[list[str]], least: float) -> set[str]:
+    """Words such that a unit that reaches `least` with any of the templates holds one of them.
+
+    Of a template's bigrams so many have a key word that a unit without it shares too few. Taken
+    greedily: the word that covers most of what is still open for what it costs. Short words cost more
+    than long ones, and function words most, as they are in any text.
+    """
+    at: dict[str, list[tuple[int, str]]] = {}
+    for k, some in enumerate(grams):
+        for g in some:
+            for w in set(g.split(" ")):
+                at.setdefault(w, []).append((k, g))
+    open_ = [len(some) - _needed(len(some), least) + 1 for some in grams]
+    covered, keys = set(), set()
+    cost = {w: 10_000 if w in FUNCTION_WORDS else 1 if len(w) > 5 else 8 if len(w) > 4 else 30 for w in at}
+    while any(n > 0 for n in open_):
+
+        def gain(w: str) -> float:
+            new = Counter(k for k, g in at[w] if (k, g) not in covered)
+            return sum(min(n, open_[k]) for k, n in new.items() if open_[k] > 0) / cost[w]
+
+        best = max(sorted(set(at) - keys), key=gain)
+        keys.add(best)
+        for cell in at[best]:
+            if cell not in covered:
+                covered.add(cell)
+                open_[cell[0]] -= 1
+    return keys
+
+
+def _pattern(words: set[str]) -> str:
+    """A regular expression that finds any of words in lower-cased text, as a tree by letters."""
+
+    def tree(some: list[str]) -> str:
+        end, rest = "" in some, sorted({w[0] for w in some if w})
+        branches = [c + tree([w[1:] for w in some if w[:1] == c]) for c in rest]
+        if len(branches) < 2 and not end:
+            return "".join(branches)
+        return f"(?:{'|'.join(branches)}){'?+' * end}"
+
+    first = "".join(sorted({w[0] for w in words}))
+    return f"(?<![a-z0-9])(?=[{first}]){tree(sorted(words))}(?![a-z0-9])"
+
+
 def license_scan(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", known: list[tuple[str, str]] | None = None) -> DataFrame:
     """doc_id, unit, place, license, dice: the best template of each line, paragraph or text that reaches `least`.
 
@@ -84,20 +137,24 @@ def license_scan(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", te
     counted over the text's lines of that kind), and the whole text if it has more than one paragraph
     (`text`). Dice is twice the shared distinct bigrams over the sum of both counts, so a template
     of t bigrams needs t * least / (2 - least) to t * (2 - least) / least in the unit; that bound
-    prunes units before any bigram is made, and pairs in the join. Ties go to the licence that sorts
+    prunes templates before their bigrams are compared. Texts and units without a key word (see
+    key_words()) can't reach `least` with any template and are left out before they are split into words. Ties go to the licence that sorts
     first. Templates are a list of fixed size, broadcast. A map over partitions until the best of the
     few matches of each unit is taken. Null and empty texts give no rows; a repeated row is scanned once per
-    (id, text). Other columns are not read.
+    (id, text). Texts are read whole, of any length. An empty table gives no rows, and so do no templates. Other columns are not read.
     """
     spark = docs.sparkSession
     rows = spark.createDataFrame([(k, spdx, text) for k, (spdx, text) in enumerate(known if known is not None else templates())], "template int, license string, body string")
     rows = rows.select("template", "license", _bigrams(_words(F.col("body"))).alias("grams")).filter(F.size("grams") > 0)
     sizes = [r.n for r in rows.select(F.size("grams").alias("n")).collect()]  # of the templates alone
-    # A unit that reaches `least` shares so many grams with the template that it holds one of its rarest few,
-    # here those that the fewest templates have.
+    # A unit that reaches `least` shares so many grams with the template that it holds one of its probes: as many of
+    # those with a key word as that takes, first those that the fewest templates have.
     bodies = rows.collect()
     seen = Counter(g for r in bodies for g in r.grams)
-    probes = [(r.template, sorted(r.grams, key=lambda g: (seen[g], -len(g), g))[: len(r.grams) - ceil(len(r.grams) * least / (2 - least) - 1e-9) + 1]) for r in bodies]
+    keys = key_words([r.grams for r in bodies], least)
+    holds = (lambda text: F.lower(text).rlike(_pattern(keys))) if keys else (lambda text: F.lit(False))
+    keyed = [(r.template, len(r.grams), [g for g in r.grams if not keys.isdisjoint(g.split(" "))]) for r in bodies]
+    probes = [(k, sorted(some, key=lambda g: (seen[g], -len(g), g))[: n - _needed(n, least) + 1]) for k, n, some in keyed]
     probes = spark.createDataFrame([(k, g) for k, some in probes for g in some], "template int, gram string")
     rows = rows.select("license", "template", F.size("grams").alias("t"), F.col("grams").alias("theirs"))
     # Runs of sizes that some template allows.
@@ -126,10 +183,11 @@ def license_scan(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", te
     shortest = min((lo for lo, _ in spans), default=1) * 2 + 1
     found = (
         docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-        .filter(F.col("text").isNotNull())
+        .filter(holds(F.col("text")))
         .select("doc_id", F.explode(units).alias("u"))
         .select("doc_id", "u.unit", "u.place", "u.body")
         .filter(F.col("unit").isNotNull() & (F.octet_length("body") >= shortest))
+        .filter(holds(F.col("body")))
         .select("doc_id", "unit", "place", F.xxhash64("body").alias("body_hash"), let(_words(F.col("body")), lambda w: _bigrams(w)).alias("grams"))
         .withColumn("n", F.size("grams"))
         .filter(allowed(F.col("n")) & (F.col("n") <= longest))

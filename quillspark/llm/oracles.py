@@ -30,12 +30,17 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - COALESCE(n, 0)
 GRAMS = "list_distinct(list_transform(range(1, len({w})), lambda i: {w}[i] || ' ' || {w}[i + 1]))"
 BARE = "list_filter(string_split(regexp_replace(lower(body), '[^a-z0-9]+', ' ', 'g'), ' '), lambda x: x <> '')"
 
+#: What ends a sentence, where blanks and more follow.
+ENDS = "[.!?][\"'')\\]]{0,2}"
+
 OP8 = f"""WITH raw AS (SELECT * FROM (VALUES {", ".join(f"({k}, {_literal(spdx)}, {_literal(text)})" for k, (spdx, text) in enumerate(templates()))}) v(template, license, body)),
 t AS (SELECT template, license, {GRAMS.format(w="w")} AS g FROM (SELECT *, {BARE} AS w FROM raw)),
 tg AS (SELECT template, license, len(g) AS t, unnest(g) AS gram FROM t),
 units AS (
   SELECT doc_id, 'line' AS unit, unnest(range(0, len(l))) AS place, unnest(l) AS body FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)
   UNION ALL SELECT doc_id, 'paragraph', place, body FROM (SELECT doc_id, unnest(range(0, len(p))) AS place, unnest(p) AS body FROM (SELECT doc_id, regexp_split_to_array(text, '\\n[ \\t]*\\n') AS p FROM documents)) WHERE contains(body, chr(10))
+  UNION ALL SELECT doc_id, 'sentence', unnest(range(0, len(l))), unnest(l) FROM (SELECT doc_id, flatten(list_transform(list_filter(string_split(text, chr(10)), lambda s: regexp_matches(s, '{ENDS}[ \t]+[^ \t]')),
+    lambda s: string_split(regexp_replace(s, '({ENDS})[ \t]+', '\1' || chr(1), 'g'), chr(1)))) AS l FROM documents)
   UNION ALL SELECT doc_id, 'text', 0, text FROM documents WHERE len(regexp_split_to_array(text, '\\n[ \\t]*\\n')) > 1),
 u AS (SELECT doc_id, unit, place, {GRAMS.format(w="w")} AS g FROM (SELECT *, {BARE} AS w FROM units)),
 ug AS (SELECT doc_id, unit, place, len(g) AS n, unnest(g) AS gram FROM u),
