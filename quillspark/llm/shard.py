@@ -1,7 +1,8 @@
 """Shards that all hold the corpus's mixture of sources: proportional stratified interleaving.
 
-Rows are shuffled by a seeded hash within each source, and a row's fractional rank is its place there
-over the source's count. Sorted by fractional rank, every run of rows holds sources in proportion, so
+Rows are shuffled by a seeded hash within each source, and a row's fractional rank is its place there,
+moved by a seeded phase of the source below one row, over the source's count. The phases keep sources
+of equal size from arriving in bunches. Sorted by fractional rank, every run of rows holds sources in proportion, so
 cutting the order into equal runs gives shards with the mixture. Both orders come from counts per
 hash bucket and ranks within buckets, so no task sorts a whole source and no source, however large,
 meets in one task.
@@ -27,8 +28,11 @@ def _hash60(seed: int, *cols) -> F.Column:
 def stratified_shards(docs: DataFrame, shards: int = 24, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard of each row; law is `rows`.
 
-    Shard sizes differ by one row at most, and each source's rows in a shard differ from their share
-    by few. The assignment depends on ids and the seed alone. A null source is a source of its own; a
+    Shard sizes differ by one row at most. Of K sources, one with a share p of all rows has less than
+    1 + p * (K + 1) rows more or less than its share in any shard: up to any place in the order each
+    source is less than one row off its share, and a cut moves by what all sources are off together.
+    With phases that are not in step this is about the root of K, not K. The assignment depends on ids,
+    texts' checksums and the seed alone. A null source is a source of its own; a
     null text has size 8 and the checksum of the empty text. Null ids, repeated ids and repeated rows
     keep a slot each; those alike in every column used are interchangeable. An empty table gives no
     rows. Other columns are not read.
@@ -42,7 +46,7 @@ def stratified_shards(docs: DataFrame, shards: int = 24, seed: int = 17, id_col:
             F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")).alias("stratum"),
             (F.octet_length(text) + 8).cast("long").alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
-            _hash60(seed, F.col(id_col)).alias("h"),
+            _hash60(seed, F.col(id_col), F.crc32(text.cast("binary"))).alias("h"),
         ),
         "rows",
     )
@@ -59,16 +63,17 @@ def stratified_shards(docs: DataFrame, shards: int = 24, seed: int = 17, id_col:
         "bucket",
         F.coalesce(F.sum("n").over(whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
         F.sum("n").over(whole).alias("total"),
+        (_hash60(seed, F.col("stratum")) / F.lit(float(1 << 60))).alias("phase"),
     )
     placed = (
         rows.withColumn("row", F.row_number().over(Window.partitionBy("stratum", "bucket").orderBy(*order)))
         .join(per, ["stratum", "bucket"])
-        .withColumn("part", (2 * (F.col("before") + F.col("row")) - 1).cast("double") / (2 * F.col("total")).cast("double"))
+        .withColumn("part", ((F.col("before") + F.col("row") - 1).cast("double") + F.col("phase")) / F.col("total").cast("double"))
         .withColumn("slice", F.floor(F.col("part") * k).cast("int"))
     )
 
     # Place in the interleaved order, in the same way. At most MOST_BUCKETS sums meet in one task.
-    placed = scratch.write(placed.drop("bucket", "row", "before", "total"), "placed")
+    placed = scratch.write(placed.drop("bucket", "row", "before", "total", "phase"), "placed")
     cuts = placed.groupBy("slice").agg(F.count("*").alias("n"))
     cuts = cuts.select("slice", F.coalesce(F.sum("n").over(Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     final = placed.withColumn("row", F.row_number().over(Window.partitionBy("slice").orderBy("part", "stratum", *order))).join(cuts, "slice")
