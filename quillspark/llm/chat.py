@@ -21,8 +21,9 @@ OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 def maximal_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(turns with their place, the conversations that stay).
 
-    Running hashes are the exclusive or of two 64-bit hashes per turn, each over (place, role, text),
-    so the order of turns counts. What goes from a conversation to the joins is 16 bytes a turn.
+    Running hashes are the exclusive or of two 64-bit hashes per turn, with a start of their own each,
+    of the SHA-256 digest of (place, role, text): the order of turns counts, and different turns are
+    not taken for one, by chance or by design. What goes from a conversation to the joins is 16 bytes a turn.
     Prefixes are first brought to one row each with the longest conversation that has it: a first
     turn that a third of all conversations share is one row then.
     """
@@ -36,7 +37,8 @@ def maximal_conversations(turns: DataFrame, conv_col: str = "conv_id", turn_col:
     ).withColumn("place", F.row_number().over(order))
     placed = scratch.write(placed, "placed")
 
-    cell = [F.xxhash64("place", "role", "text", F.lit(k)) for k in (1, 2)]
+    turn = F.sha2(F.concat_ws("|", "place", F.octet_length("role"), "role", "text"), 256)
+    cell = [F.xxhash64(F.lit(k), turn) for k in (1, 2)]
     so_far = Window.partitionBy("conv_id").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     runs = (
         placed.select("conv_id", "place", cell[0].alias("a"), cell[1].alias("b"))
@@ -54,7 +56,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
 
     Turns go by turn number; those that share one go by role and text. Null roles and texts render as
     empty; turns without a number come first. All turns with a null conv_id are one conversation,
-    with a null id. Repeated rows are turns of their own. An empty table gives no rows. Other columns are not read.
+    with a null id. Repeated rows are turns of their own. An empty table gives no rows. Texts are kept whole, of any length. Other columns are not read.
     """
     placed, kept = maximal_conversations(turns, conv_col, turn_col, role_col, text_col)
     kept = kept.withColumnRenamed("conv_id", "kept_id")
