@@ -35,6 +35,10 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+#: Narrow rows of a written table that are worth a task of their own.
+ROWS_A_FILE = 100_000
+
+
 class Scratch:
     """Written tables of one run of an operator, in a folder of their own in the shared folder.
 
@@ -48,7 +52,10 @@ class Scratch:
         self.tables: list[str] = []
         atexit.register(self._end)
 
-    def write(self, df: DataFrame, name: str, buckets: tuple[int, str] | None = None) -> DataFrame:
+    def write(self, df: DataFrame, name: str, buckets: tuple[int, str] | None = None, rows: int | None = None) -> DataFrame:
+        """df, computed once and read back. Of a table of few `rows` (an upper bound) the tasks and files are few."""
+        if rows is not None:
+            df = df.coalesce(max(1, min(df.sparkSession.sparkContext.defaultParallelism * 100, -(-rows // ROWS_A_FILE))))
         to = f"{self.path}/{name}"
         writer = df.write.option("compression", "zstd").mode("error")
         if buckets is None:
@@ -59,6 +66,11 @@ class Scratch:
         self.tables.append(table)
         return self.spark.table(table)
 
+    def size(self, name: str) -> int:
+        """Bytes of a written table; only the file system is asked."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
     def drop(self, name: str | None = None) -> None:
         for table in [t for t in self.tables if name is None or t.startswith(f"q_{name}_")]:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
@@ -72,16 +84,9 @@ class Scratch:
             self.drop()
 
 
-def parts_for(df: DataFrame, bytes_each: int = 24 << 20) -> int:
-    """Into how many parts to deal df's texts: the session's shuffle partitions, or more where the input is large.
-
-    The size is the optimiser's estimate for the scan, so nothing runs. Parquet of text is taken to
-    unpack to twice its size.
-    """
-    spark = df.sparkSession
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, min(100_000, -(-2 * size // bytes_each))) if size < 1 << 60 else least
+def parts_for(spark: SparkSession, size: int, bytes_each: int = 24 << 20) -> int:
+    """Into how many parts to deal `size` bytes: the session's shuffle partitions, or more so that a part stays small."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // bytes_each))
 
 
 def words_of(text: Column) -> Column:

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from .common import Scratch
 
 
-def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """node and root, the least node it can reach, of every node of links(a, b) but the roots themselves.
+def components(links: DataFrame, scratch: Scratch, name: str, rows: int | None = None) -> DataFrame:
+    """node and root, the least node it can reach, of every node of links(a, b) but the roots themselves; rows is a bound of the links.
 
     Each step is a minimum per node and a join, on distributed tables; only two numbers per round
     come to the driver, to see that nothing changed. Rounds follow the logarithm of the longest path.
     """
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
-    edges = scratch.write(edges, f"{name}-0")
+    edges = scratch.write(edges, f"{name}-0", rows=rows)
     seen, k = None, 0
     while True:
         mark = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
@@ -31,6 +31,7 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         small = large.join(down, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
         k += 1
-        new = scratch.write(small, f"{name}-{k}")
+        # A step makes at most two edges of one.
+        new = scratch.write(small, f"{name}-{k}", rows=2 * mark.n)
         scratch.drop(f"{name}-{k - 1}")
         edges = new

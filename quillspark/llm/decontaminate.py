@@ -2,9 +2,10 @@
 
 Words become template words: numbers, names (capitalised words, but for common ones that start
 sentences) and units after a number are typed placeholders, everything else is lower-cased without
-outer punctuation. Windows of template words, and of plain lower-cased ones, are hash-joined with those of the benchmark. A document and an item that share windows along
-shifts close to each other are then checked word by word: along each shift, each filler of the item must have one filler in the document, so a
-question with other numbers or names is caught while a chance meeting of placeholders is not.
+outer punctuation. Windows of template words, and of plain lower-cased ones, are hash-joined with those
+of the benchmark. A document and an item that share windows along shifts close to each other are then
+checked word by word: along each shift, each filler of the item must have one filler in the document, so
+a question with other numbers or names is caught while a chance meeting of placeholders is not.
 DataFrame expressions only.
 """
 
@@ -143,11 +144,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, coverage:
     with_hash adds xxhash64 of the text.
 
     A match is a band of shifts between document and item, each at most the item's length from the
-    next, along which together at least `coverage` of the item's windows of `size` words
-    agree, as template or as plain words (shorter items: one window, the item). A word put in or left out starts another shift.
-    Along each shift, half the matched words at least must be no placeholders, and a filler of the
-    item must have one filler in the document, which others may share; else only windows that are equal word for word count. Of several bands of a pair the best counts. Null and empty texts match nothing; null ids are kept;
-    repeated rows give one row per (id, text). Items with equal texts match each.
+    next, along which together at least `coverage` of the item's windows of `size` words agree, as
+    template or as plain words (shorter items: one window, the item). A word put in or left out starts
+    another shift. Along each shift, half the matched words at least must be no placeholders, and a
+    filler of the item must have one filler in the document, which others may share; else only windows
+    that are equal word for word count. Of several bands of a pair the best counts. Null and empty
+    texts match nothing; null ids are kept;
+    repeated rows give one row per (id, text). Items with equal texts match each. Texts are read whole, of
+    any length. An empty table or benchmark gives no rows. Other columns are not read.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontaminate")

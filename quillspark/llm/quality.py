@@ -143,7 +143,8 @@ def quality_rules(docs: DataFrame, labels: DataFrame, risk: float = 0.05, delta:
 
     Null and empty texts have no words and fail the base rule. A null stratum is a stratum of its
     own. Null ids have no label but are judged; repeated rows are judged each. Without labels, or
-    with too few, the base rule alone decides. Other columns are not read.
+    with too few, the base rule alone decides. Texts are read whole, of any length. Equal scores are on
+    one side of a cutoff. An empty table gives no rows. Other columns are not read.
     """
     scratch = Scratch(docs.sparkSession, "quality")
     counts = scratch.write(metrics(docs, id_col, text_col, stratum_col, with_row), "metrics")

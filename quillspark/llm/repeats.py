@@ -5,13 +5,16 @@ also starts anywhere else. Each window holds an anchor at a place that its conte
 decides, so equal windows share an anchor at the same place in them:
 
 1. Equal texts become one class with a count; only one of each goes on.
-2. Per anchor go its hash, the stretch of windows that hold it, and a hash of that stretch (its
-   context) to the bucket of the anchor's hash. Within a map task, equal contexts are brought to one
+2. Per anchor go its hash, the stretch of windows that hold it, and 96 bits of the BLAKE2b digest of that
+   stretch (its context) to the bucket of the anchor's hash. Different contexts with one digest can
+   neither be met by chance nor be made. Within a map task, equal contexts are brought to one
    record first, so an anchor shared by a third of the corpus sends one record a task and context.
 3. In the bucket, anchors with equal contexts repeat with all their windows. Where one anchor has
    several contexts, one stretch of each is asked for.
 4. Those stretches, cut from the texts, meet in the bucket of the anchor's hash. Windows at the same
-   place relative to the anchor are suffix-sorted, and neighbours are compared symbol by symbol.
+   place relative to the anchor are suffix-sorted, and neighbours are compared symbol by symbol. Of an
+   anchor with very many contexts, windows go by their own digests instead, to as many buckets as
+   there are different windows, those of a task that are equal as one record.
 5. Per class, the repeated windows are united.
 
 Between steps go binary blocks of packed columns, a few per task and bucket, not rows per anchor.
@@ -21,6 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 from typing import Protocol
 
 import numpy as np
@@ -29,16 +33,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
-from .rolling import SuffixOrder, mix
+from .common import Scratch, parts_for, tidied
+from .rolling import LENGTH_SALT, SuffixOrder, mix
 
-FULL, ASK, CELL = 1, 2, 0
+FULL, ASK, CELL, PIECES = 1, 2, 0, 3
 #: Anchors that a task collects before it sends them on; windows that are sorted at once.
-FLUSH, SORT_AT_ONCE = 1_500_000, 250_000
+FLUSH, SORT_AT_ONCE = 500_000, 250_000
+#: Different contexts of an anchor beyond which their windows are not sorted in one task but dealt out by digest.
+HOT = 2000
 BLOCKS = "part int, kind int, n int, data binary"
 
 KINDS = {
-    CELL: (("num", "<i8"), ("a", "<i4"), ("lo", "<u2"), ("hi", "<u2"), ("h", "<u8"), ("ctx", "<u8"), ("flag", "u1")),
+    CELL: (("num", "<i8"), ("a", "<i4"), ("lo", "<u2"), ("hi", "<u2"), ("h", "<u8"), ("ctx", "<u8"), ("ctx2", "<u4"), ("flag", "u1")),
     FULL: (("num", "<i8"), ("p", "<i4"), ("hi", "<u2")),
     ASK: (("num", "<i8"), ("a", "<i4"), ("lo", "<u2"), ("hi", "<u2"), ("h", "<u8"), ("flag", "u1")),
 }
@@ -48,12 +54,23 @@ class Symbols(Protocol):
     """What differs between bytes and words."""
 
     width: int
-    dtype: str
+    #: What parts packed stretches.
+    gap: bytes
 
     def anchors(self, bodies: list[bytes]) -> Iterator[dict[str, np.ndarray]]:
-        """Blocks of anchors: doc, a, lo (anchor less first window), hi (last less first window), h, ctx."""
+        """Blocks of anchors: doc, a, lo (anchor less first window), hi (last less first window), h, ctx, ctx2."""
 
-    def symbols(self, body: bytes) -> np.ndarray: ...
+    #: Contexts of an anchor beyond which it is hot.
+    hot: int
+
+    def windows(self, piece: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """contexts() of each window of a packed stretch."""
+
+    def pieces(self, body: bytes, start: np.ndarray, size: np.ndarray) -> list[bytes]:
+        """Stretches of symbols, packed."""
+
+    def symbols(self, packed: bytes) -> np.ndarray:
+        """The symbols of packed stretches one after the other; equal ones have one number."""
 
     def values(self, symbols: np.ndarray) -> np.ndarray: ...
 
@@ -87,6 +104,14 @@ def read_blocks(kinds, sizes, datas, kind: int) -> dict[str, np.ndarray]:
     return {name: np.concatenate(parts[name]) if parts[name] else np.empty(0, dtype=t) for name, t in fields}
 
 
+def contexts(body: bytes, start: np.ndarray, end: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """96 bits of the digests of the stretches [start, end) of body, in 64 and 32; stretches with other lo or hi have others."""
+    view = memoryview(body)
+    digests = b"".join([blake2b(view[i:j], digest_size=12).digest() for i, j in zip(start.tolist(), end.tolist())])
+    halves = np.frombuffer(digests, dtype=[("a", "<u8"), ("b", "<u4")])
+    return halves["a"] + (lo * (1 << 20) + hi).astype(np.uint64) * LENGTH_SALT, halves["b"].astype(np.uint64)
+
+
 def _by_hash(h: np.ndarray, parts: int) -> np.ndarray:
     return (h >> np.uint64(40)).astype(np.int64) % parts
 
@@ -111,9 +136,9 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
 
 def _combined(cells: dict[str, np.ndarray], parts: int) -> Iterator[tuple]:
     """Of anchors that agree in hash and context, one goes on, flagged; the windows of all are settled here."""
-    order = np.lexsort((cells["ctx"], cells["h"]))
+    order = np.lexsort((cells["ctx2"], cells["ctx"], cells["h"]))
     cells = {k: v[order] for k, v in cells.items()}
-    run = _runs(cells["h"], cells["ctx"])
+    run = _runs(cells["h"], cells["ctx"], cells["ctx2"])
     first = np.flatnonzero(np.r_[True, run[1:] != run[:-1]])
     size = np.bincount(run)
     flag = np.maximum.reduceat(cells["flag"], first)
@@ -139,14 +164,14 @@ def _map_anchors(symbols: Symbols, parts: int):
             for docs, cells in _grouped(symbols, bodies):
                 cells["num"] = nums[docs][cells["doc"]]
                 cells["flag"] = (copies[docs][cells.pop("doc")] > 1).astype(np.uint8)
-                cells["a"], cells["lo"], cells["hi"] = cells["a"].astype(np.int32), cells["lo"].astype(np.uint16), cells["hi"].astype(np.uint16)
+                cells = {k: v.astype(dict(KINDS[CELL])[k]) for k, v in cells.items()}
                 held.append(cells)
                 n += len(cells["h"])
                 if n >= FLUSH:
-                    yield _batch(list(_combined({k: np.concatenate([c[k] for c in held]) for k in held[0]}, parts)))
+                    yield _batch(list(_combined(_joined(held), parts)))
                     held, n = [], 0
         if n:
-            yield _batch(list(_combined({k: np.concatenate([c[k] for c in held]) for k in held[0]}, parts)))
+            yield _batch(list(_combined(_joined(held), parts)))
 
     return run
 
@@ -169,38 +194,49 @@ def _grouped(symbols: Symbols, bodies) -> Iterator[tuple[np.ndarray, dict[str, n
             some, where, size = [], [], 0
 
 
-def _settle(parts: int):
-    """Step 3, per bucket; blocks of settled windows pass through."""
+def _settled(cells: dict[str, np.ndarray], hot: int) -> tuple[dict[str, np.ndarray] | None, dict[str, np.ndarray] | None]:
+    """(windows of anchors whose context comes twice, stretches to ask for) among the anchors of a bucket."""
+    order = np.lexsort((cells["ctx2"], cells["ctx"], cells["h"]))
+    # Only hashes that come twice matter.
+    h = cells["h"][order]
+    twice = np.zeros(len(h), dtype=bool)
+    same = h[1:] == h[:-1]
+    twice[1:] |= same
+    twice[:-1] |= same
+    cells = {k: v[order[twice]] for k, v in cells.items()}
+    if not len(cells["h"]):
+        return None, None
+    group, context = _runs(cells["h"]), _runs(cells["h"], cells["ctx"], cells["ctx2"])
+    first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
+    multi = (np.bincount(context) > 1) | (np.maximum.reduceat(cells["flag"], first) > 0)
+    full = multi[context] & (cells["flag"] == 0)
+    found = {"num": cells["num"][full], "p": (cells["a"] - cells["lo"])[full], "hi": cells["hi"][full]} if full.any() else None
+    # One stretch of each context, where an anchor has several and one of them isn't settled.
+    of = group[first]
+    contexts_of = np.bincount(of)
+    unsettled = np.bincount(of, weights=~multi) > 0
+    ask = first[((contexts_of > 1) & unsettled)[of]]
+    if not len(ask):
+        return found, None
+    flag = multi[context[ask]].astype(np.uint8) | np.where(contexts_of[group[ask]] > hot, 2, 0).astype(np.uint8)
+    return found, {k: cells[k][ask] for k in ("num", "a", "lo", "hi", "h")} | {"flag": flag}
+
+
+def _passed(frame: pd.DataFrame) -> list[tuple]:
+    """Blocks of settled windows, which pass through."""
+    return [(int(p), FULL, int(s), d) for p, k, s, d in zip(frame["part"], frame["kind"], frame["n"], frame["data"]) if k == FULL]
+
+
+def _settle(parts: int, hot: int):
+    """Step 3, per bucket."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        kind, n, data = frame["kind"].to_numpy(), frame["n"].to_numpy(), frame["data"].to_numpy()
-        out = [(int(p), FULL, int(s), d) for p, k, s, d in zip(frame["part"], kind, n, data) if k == FULL]
-        cells = read_blocks(kind, n, data, CELL)
-        if len(cells["h"]):
-            order = np.lexsort((cells["ctx"], cells["h"]))
-            # Only hashes that come twice matter.
-            h = cells["h"][order]
-            twice = np.zeros(len(h), dtype=bool)
-            same = h[1:] == h[:-1]
-            twice[1:] |= same
-            twice[:-1] |= same
-            cells = {k: v[order[twice]] for k, v in cells.items()}
+        out = _passed(frame)
+        cells = read_blocks(frame["kind"].to_numpy(), frame["n"].to_numpy(), frame["data"].to_numpy(), CELL)
         if len(cells["h"]):
-            group, context = _runs(cells["h"]), _runs(cells["h"], cells["ctx"])
-            first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
-            multi = (np.bincount(context) > 1) | (np.maximum.reduceat(cells["flag"], first) > 0)
-            full = multi[context] & (cells["flag"] == 0)
-            if full.any():
-                found = {"num": cells["num"][full], "p": (cells["a"] - cells["lo"])[full], "hi": cells["hi"][full]}
-                out += Block(FULL, found).rows(_by_class(found["num"], parts), parts)
-            # One stretch of each context, where an anchor has several and one of them isn't settled.
-            of = group[first]
-            several = np.bincount(of) > 1
-            unsettled = np.bincount(of, weights=~multi) > 0
-            ask = first[(several & unsettled)[of]]
-            if len(ask):
-                wanted = {k: cells[k][ask] for k in ("num", "a", "lo", "hi", "h")} | {"flag": multi[context[ask]].astype(np.uint8)}
-                out += Block(ASK, wanted).rows(_by_class(wanted["num"], parts), parts)
+            for kind, some in zip((FULL, ASK), _settled(cells, hot)):
+                if some is not None:
+                    out += Block(kind, some).rows(_by_class(some["num"], parts), parts)
         return pd.DataFrame(out, columns=["part", "kind", "n", "data"])
 
     return run
@@ -248,51 +284,88 @@ STRETCH = (("num", "<i8"), ("p", "<i4"), ("lo", "<u2"), ("hi", "<u2"), ("h", "<u
 
 
 def _cut_out(symbols: Symbols, parts: int):
-    """Step 4, first half: the stretches that were asked for, cut from the texts."""
+    """Step 4, first half: the stretches that were asked for, cut from the texts; of hot anchors, their windows by digest."""
+
+    def windows_of(num: int, start: np.ndarray, flag: np.ndarray, pieces: list[bytes]) -> dict[str, np.ndarray]:
+        own = [symbols.windows(p) for p in pieces]
+        n = np.array([len(ctx) for ctx, _ in own])
+        place = np.repeat(start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        ctx, ctx2 = (np.concatenate([w[k] for w in own]) for k in (0, 1))
+        flag = np.repeat(flag & 1, n)
+        # A window may be in the stretches of several anchors; it is one occurrence.
+        order = np.lexsort((1 - flag, place))
+        one = order[np.r_[True, place[order][1:] != place[order][:-1]]]
+        none = np.zeros(len(one), dtype=np.uint16)
+        cells = {"num": np.full(len(one), num), "a": place[one], "lo": none, "hi": none, "h": ctx[one], "ctx": ctx[one], "ctx2": ctx2[one], "flag": flag[one]}
+        return {k: v.astype(dict(KINDS[CELL])[k]) for k, v in cells.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [t for name, t in KINDS[ASK] if name != "num"]
+        held: list[dict[str, np.ndarray]] = []
+        n_held = 0
         for batch in batches:
             made: dict[int, list] = {}
             size = 0
             for num, n, data, body in zip(*(batch.column(c) for c in ("num", "n", "data", "body"))):
                 a, lo, hi, h, flag = _unpack(data.as_py(), n.as_py(), types)
-                text = symbols.symbols(body.as_py())
                 part = _by_hash(h, parts)
                 start = a - lo
-                for k in range(len(a)):
-                    piece = text[start[k] : start[k] + int(hi[k]) + symbols.width]
-                    made.setdefault(int(part[k]), []).append((num.as_py(), start[k], lo[k], hi[k], h[k], flag[k], piece))
-                    size += piece.nbytes
+                pieces = symbols.pieces(body.as_py(), start, hi.astype(np.int64) + symbols.width)
+                hot = np.flatnonzero(flag & 2)
+                if len(hot):
+                    held.append(windows_of(num.as_py(), start[hot], flag[hot], [pieces[k] for k in hot]))
+                    n_held += len(held[-1]["h"])
+                for k in np.flatnonzero(~flag & 2).tolist():
+                    made.setdefault(int(part[k]), []).append((num.as_py(), start[k], lo[k], hi[k], h[k], flag[k], pieces[k]))
+                    size += len(pieces[k])
                 if size > 8 << 20:
-                    yield _batch(_stretches(made))
+                    yield _batch(_stretches(made, symbols.gap))
                     made, size = {}, 0
-            yield _batch(_stretches(made))
+                if n_held > FLUSH:
+                    yield _batch(list(_combined(_joined(held), parts)))
+                    held, n_held = [], 0
+            yield _batch(_stretches(made, symbols.gap))
+        if n_held:
+            yield _batch(list(_combined(_joined(held), parts)))
 
     return run
 
 
-def _stretches(made: dict[int, list]) -> list[tuple]:
+def _joined(held: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    return {k: np.concatenate([c[k] for c in held]) for k in held[0]}
+
+
+def _stretches(made: dict[int, list], gap: bytes) -> list[tuple]:
     out = []
     for part, rows in made.items():
         columns = list(zip(*rows))
         heads = [np.array(c, dtype=t).tobytes() for c, (_, t) in zip(columns, STRETCH)]
-        out.append((part, CELL, len(rows), b"".join([*heads, *(p.tobytes() for p in columns[6])])))
+        out.append((part, PIECES, len(rows), b"".join([*heads, gap.join(columns[6])])))
     return out
 
 
 def _compare(symbols: Symbols, parts: int):
-    """Step 4, second half: suffix-sort the windows of equal place in the stretches of an anchor."""
+    """Step 4, second half: suffix-sort the windows of equal place in the stretches of an anchor; settle those that came by digest."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
+        out = _passed(frame)
+        cells = read_blocks(frame["kind"].to_numpy(), frame["n"].to_numpy(), frame["data"].to_numpy(), CELL)
+        if len(cells["h"]) and (found := _settled(cells, 0)[0]) is not None:
+            out += Block(FULL, found).rows(_by_class(found["num"], parts), parts)
+        frame = frame[frame["kind"] == PIECES]
+        if len(frame):
+            out += sorted_windows(frame)
+        return pd.DataFrame(out, columns=["part", "kind", "n", "data"])
+
+    def sorted_windows(frame: pd.DataFrame) -> list[tuple]:
         heads: dict[str, list[np.ndarray]] = {name: [] for name, _ in STRETCH}
         bodies = []
         for n, data in zip(frame["n"], frame["data"]):
             for (name, _), column in zip(STRETCH, _unpack(data, n, [t for _, t in STRETCH])):
                 heads[name].append(column)
-            bodies.append(np.frombuffer(data, dtype=symbols.dtype, offset=n * sum(np.dtype(t).itemsize for _, t in STRETCH)))
+            bodies.append(data[n * sum(np.dtype(t).itemsize for _, t in STRETCH) :])
         c = {k: np.concatenate(v) for k, v in heads.items()}
-        data = np.concatenate(bodies)
+        data = symbols.symbols(symbols.gap.join(bodies))
         length = c["hi"].astype(np.int64) + symbols.width
         at = np.cumsum(length) - length
         order = np.argsort(c["h"], kind="stable")
@@ -312,8 +385,7 @@ def _compare(symbols: Symbols, parts: int):
             found.append(_repeats(symbols, data, at, length, c, order[i:j], group[i:j], windows))
             i, g = j, stop
         num, p, hi = (np.concatenate(x) for x in zip(*found))
-        rows = list(Block(FULL, {"num": num, "p": p, "hi": hi}).rows(_by_class(num, parts), parts))
-        return pd.DataFrame(rows, columns=["part", "kind", "n", "data"])
+        return list(Block(FULL, {"num": num, "p": p, "hi": hi}).rows(_by_class(num, parts), parts))
 
     return run
 
@@ -380,15 +452,15 @@ def repeated_windows(reps: DataFrame, symbols: Symbols, scratch: Scratch) -> Dat
 
     Classes with several copies repeat in whole and are left to the caller.
     """
-    spark = reps.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Texts take about twice their compressed size, and all that is dealt out about half their size.
+    parts = parts_for(reps.sparkSession, scratch.size("classes"))
     ids = reps.select("num", "cls")
-    cells = reps.select("num", "copies", "body").filter(F.octet_length("body") >= symbols.least_bytes).mapInArrow(_map_anchors(symbols, parts), BLOCKS)
-    settled = scratch.write(cells.groupBy("part").applyInPandas(_settle(parts), BLOCKS), "settled")
+    cells = reps.select("num", "copies", "body").filter(F.octet_length("body") >= symbols.least_bytes).mapInArrow(tidied(_map_anchors(symbols, parts)), BLOCKS)
+    settled = scratch.write(cells.groupBy("part").applyInPandas(_settle(parts, symbols.hot), BLOCKS), "settled")
 
     asked = settled.filter(F.col("kind") == ASK).groupBy("part").applyInPandas(_gather(ASK), "num bigint, n int, data binary")
     asked = asked.join(ids, "num").withColumnRenamed("num", "asked_num")
-    cut = reps.join(asked.hint("shuffle_hash"), "cls").select("num", "n", "data", "body").mapInArrow(_cut_out(symbols, parts), BLOCKS)
+    cut = reps.join(asked.hint("shuffle_hash"), "cls").select("num", "n", "data", "body").mapInArrow(tidied(_cut_out(symbols, parts)), BLOCKS)
     edges = cut.groupBy("part").applyInPandas(_compare(symbols, parts), BLOCKS)
     full = settled.filter(F.col("kind") == FULL).unionByName(edges).groupBy("part").applyInPandas(_gather(FULL), "num bigint, n int, data binary")
     return full.join(ids, "num").select("cls", "n", "data")

@@ -1,12 +1,16 @@
-"""Prefix polynomial hashes over symbols, vectorised, and suffix sorting by comparing them.
+"""Hashes of words, prefix polynomial hashes over symbols, and suffix sorting by comparing them.
 
-Symbols are mapped to random 64-bit values c_i; the hash of a stretch is the sum of c_i * B^(i - start)
-modulo 2^64 for a random odd B, read off a running sum of c_i * B^i by one subtraction and one
-multiplication with a power of B's inverse, then mixed.
+Anchors and shingles are hashed by sums of c_i * B^(i - start) modulo 2^64 over random c_i, read off a
+running sum by one subtraction and one multiplication with a power of B's inverse, then mixed. Such
+sums are quick, but some pairs of long sequences (Thue-Morse words) agree for every base, so nothing
+is called equal by them alone. Suffixes are compared by sums modulo the prime 2^61 - 1, for which two
+different sequences agree at few bases only.
 """
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 
 U = np.uint64
@@ -32,7 +36,7 @@ def powers(n: int, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of a base and of its inverse."""
     known = _POWERS.get(which)
     if known is None or len(known[0]) < n:
-        size = max(n, 1 << 16)
+        size = max(n, 1 << 17)
         base = BASES[which]
         both = []
         for b in (base, pow(base, -1, 1 << 64)):
@@ -40,7 +44,7 @@ def powers(n: int, which: int = 0) -> tuple[np.ndarray, np.ndarray]:
             steps[0] = 1
             both.append(np.cumprod(steps))
         known = (both[0], both[1])
-        if size <= 1 << 22:
+        if size <= 1 << 20:
             _POWERS[which] = known
     return known
 
@@ -59,17 +63,56 @@ class Prefixes:
         return (self.sums[end] - self.sums[start]) * self.down[start]
 
 
-def words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, hashes) of the words of data: runs of bytes that are no ASCII blank."""
+#: Lanes of eight bytes of which a word's hash is made; longer words are hashed by BLAKE2b.
+LANES = 8
+LANE_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+
+
+def word_places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the words of data: runs of bytes that are no ASCII blank."""
     raw = np.frombuffer(data, dtype=np.uint8)
     blank = np.ones(len(raw) + 2, dtype=np.int8)
     blank[1:-1] = SPACE[raw]
     edge = np.diff(blank)
-    start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    if not len(start):
-        return start, np.empty(0, dtype=np.uint64)
-    hashes = Prefixes(BYTE_VALUES[raw]).of(start, end)
-    return start, mix(hashes + (end - start).astype(np.uint64) * LENGTH_SALT)
+    return np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+
+
+def word_hashes(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of stretches of data: lanes of eight bytes, chained by a mixer that is no polynomial."""
+    padded = np.frombuffer(data + bytes(8), dtype=np.uint8)
+    lanes = np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+    size = end - start
+    out = mix(size.astype(np.uint64) * LENGTH_SALT)
+    at = np.arange(len(start))
+    for k in range(LANES):
+        at = at[size[at] > 8 * k]
+        if not len(at):
+            break
+        left = np.minimum(size[at] - 8 * k, 8)
+        out[at] = mix(out[at] * U(0x9E3779B97F4A7C15) ^ (lanes[start[at] + 8 * k] & LANE_MASKS[left]))
+    for k in np.flatnonzero(size > 8 * LANES).tolist():
+        out[k] = int.from_bytes(blake2b(data[start[k] : end[k]], digest_size=8).digest(), "little")
+    return out
+
+
+def words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, hashes) of the words of data."""
+    start, end = word_places(data)
+    return start, word_hashes(data, start, end)
+
+
+def single_spaced(data: bytes) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """(the words of data with one space between them, where each starts and ends)."""
+    start, end = word_places(data)
+    size = end - start
+    ends = np.cumsum(size + 1) - 1
+    raw = np.frombuffer(data, dtype=np.uint8)
+    stay = ~SPACE[raw]
+    # The first blank after each word but the last stays, as a space.
+    stay[end[:-1]] = True
+    out = raw[stay]
+    out[ends[:-1]] = 32
+    return out.tobytes(), ends - size, ends
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -85,12 +128,57 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
+#: The prime 2^61 - 1, and a base for sums modulo it.
+PRIME = U((1 << 61) - 1)
+PRIME_BASE = int(_RNG.integers(1 << 32, (1 << 61) - 2, dtype=np.uint64))
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME."""
+    x = (x & PRIME) + (x >> U(61))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME, of numbers below it, by halves."""
+    low = U((1 << 31) - 1)
+    ah, al, bh, bl = a >> U(31), a & low, b >> U(31), b & low
+    middle = al * bh + ah * bl
+    return _reduced((ah * bh << U(1)) + (middle >> U(30)) + ((middle & U((1 << 30) - 1)) << U(31)) + al * bl)
+
+
+def prime_powers(n: int) -> np.ndarray:
+    out = np.ones(1, dtype=np.uint64)
+    step = PRIME_BASE
+    while len(out) < n:
+        out = np.r_[out, times(out, np.full(len(out), step, dtype=np.uint64))]
+        step = step * step % int(PRIME)
+    return out[:n]
+
+
+class PrimePrefixes:
+    """Prefix sums of c_i * B^i modulo PRIME, to compare stretches by."""
+
+    def __init__(self, values: np.ndarray):
+        self.powers = prime_powers(len(values) + 1)
+        terms = times(_reduced(values), self.powers[: len(values)])
+        # Running sums of halves, as those of whole terms would overflow.
+        low, high = np.cumsum(terms & U((1 << 32) - 1)), np.cumsum(terms >> U(32))
+        self.sums = np.r_[U(0), _reduced(_reduced(times(_reduced(high), np.full(len(high), 1 << 32, dtype=np.uint64))) + _reduced(low))]
+
+    def same(self, a: np.ndarray, b: np.ndarray, n) -> np.ndarray:
+        """Whether the stretches of n symbols at a and b have one hash."""
+        a, b = np.minimum(a, b), np.maximum(a, b)
+        x, y = (_reduced(self.sums[p + n] + (PRIME - self.sums[p])) for p in (a, b))
+        return times(x, self.powers[b - a]) == y
+
+
 class SuffixOrder:
     """Suffixes of a sequence, compared over their first `limit` symbols by hashes of common extensions."""
 
     def __init__(self, symbols: np.ndarray, values: np.ndarray, limit: int):
         self.symbols, self.limit = symbols, limit
-        self.hashes = Prefixes(values)
+        self.hashes = PrimePrefixes(values)
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Symbols that the suffixes at a and b share, up to limit: binary search over prefix hashes."""
@@ -101,8 +189,7 @@ class SuffixOrder:
             if not len(on):
                 return low
             mid = (low[on] + high[on] + 1) // 2
-            x, y = a[on], b[on]
-            same = self.hashes.of(x, x + mid) == self.hashes.of(y, y + mid)
+            same = self.hashes.same(a[on], b[on], mid)
             low[on] = np.where(same, mid, low[on])
             high[on] = np.where(same, high[on], mid - 1)
 
@@ -110,7 +197,7 @@ class SuffixOrder:
         """Whether the suffix at a sorts before that at b; for equal ones, or_equal."""
         end = self.limit
         out = or_equal.copy()
-        differ = np.flatnonzero(self.hashes.of(a, a + end) != self.hashes.of(b, b + end))
+        differ = np.flatnonzero(~self.hashes.same(a, b, end))
         if len(differ):
             x, y = a[differ], b[differ]
             n = self.common(x, y)
@@ -160,7 +247,7 @@ class SuffixOrder:
             return np.zeros(len(starts), dtype=bool)
         a, b = starts[:-1], starts[1:]
         out = np.zeros(len(starts), dtype=bool)
-        maybe = np.flatnonzero((groups[1:] == groups[:-1]) & (self.hashes.of(a, a + self.limit) == self.hashes.of(b, b + self.limit)))
+        maybe = np.flatnonzero((groups[1:] == groups[:-1]) & self.hashes.same(a, b, self.limit))
         span = np.arange(self.limit)
         for k in range(0, len(maybe), 4096):
             part = maybe[k : k + 4096]

@@ -11,10 +11,11 @@ BANDS bands of ROWS coordinates: sets of similarity 0.8 share no band with proba
 (1 - 0.8^5)^40 = 1.3e-7. Whoever shares a band with another is compared on full sets.
 
 Members of a band's bucket are first compared with one of them, then, round by round, with a random
-one of another component, until most of what can meet has met. Then the sketches of members of
-different components are compared within crowds, connected over all open buckets, and whoever agrees in enough coordinates for a
-link not to be ruled out is compared on full sets. So a bucket of n copies costs a few times n
-comparisons of texts, and texts that share a passage alone are parted by their sketches.
+one of another component, until most of what can meet has met. Then sketches, a byte a coordinate, of
+members of different components are compared within crowds, connected over all open buckets. Whoever
+shares a band with another and agrees with it in enough coordinates for a link not to be ruled out is
+compared on full sets. So a bucket of n copies costs a few times n comparisons of texts, and texts that
+share a passage alone are parted by their sketches and sent nowhere.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, parts_for, tidied
 from .components import components
 from .repeats import text_classes
 from .rolling import LENGTH_SALT, Prefixes, mix, words
@@ -44,8 +45,10 @@ EMPTY = U((1 << 64) - 1)
 #: Members compared with one set in one task; members of a bucket that one random member is taken for.
 PER_TASK, PIVOT_ROWS = 256, 512
 #: Of SIZE coordinates, 160 agree on average at similarity 0.8, with a deviation of 5.7; fewer than 130 do with
-#: probability 1e-7. And rows of a bucket whose sketches meet in one task, at most about twice.
-LEAST_AGREE, BLOCK_ROWS = 130, 2048
+#: probability 1e-7.
+LEAST_AGREE = 130
+#: What meets in one task of the last pass, at most about twice: sketches, then texts in number and in bytes.
+BLOCK_ROWS, TEXT_ROWS, TEXT_BYTES = 4096, 2048, 8 << 20
 
 
 def shingles(bodies: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -66,6 +69,17 @@ def shingles(bodies: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(np.bincount(doc[keep], minlength=len(bodies))), h[keep]
 
 
+def exact(body: bytes, n: int) -> set[bytes]:
+    """The shingles of a text themselves."""
+    w = body.translate(LOWER).split()
+    return {b" ".join(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {b" ".join(w)} if w else set()
+
+
+def alike(x: set[bytes], y: set[bytes], least: int) -> bool:
+    shared = len(x & y)
+    return 100 * shared >= least * (len(x) + len(y) - shared)
+
+
 def sketches(ends: np.ndarray, h: np.ndarray) -> np.ndarray:
     """One row of SIZE coordinates per set; rows of empty sets stay EMPTY."""
     n = np.diff(np.r_[0, ends])
@@ -92,6 +106,17 @@ def bands(sketch: np.ndarray) -> np.ndarray:
     return acc
 
 
+def marks(sketch: np.ndarray) -> np.ndarray:
+    """The low byte of each coordinate."""
+    return (sketch & U(255)).astype(np.uint8)
+
+
+def may_link(cells: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Which rows of cells (marks) may be linked with one: a band in common, and not too few coordinates."""
+    same = cells == one
+    return (same.sum(axis=1) >= LEAST_AGREE) & same.reshape(-1, BANDS, ROWS).all(axis=2).any(axis=1)
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
@@ -118,9 +143,10 @@ def _sign(n_words: int):
                 for salt in SET_SALTS:
                     running = np.r_[U(0), np.cumsum(mix(h ^ salt))]
                     sums.append(running[ends] - running[ends - n])
-                signs = bands(sketches(ends, h))
-                columns = [part.column("num"), pa.array(n.astype(np.int64)), pa.array(_signed(sums[0])), pa.array(_signed(sums[1])), pa.array([r.tobytes() for r in signs], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["num", "n_shingles", "s1", "s2", "bands"])
+                sketch = sketches(ends, h)
+                columns = [part.column("num"), pa.array(n.astype(np.int64)), pa.array(_signed(sums[0])), pa.array(_signed(sums[1])), pa.array([r.tobytes() for r in bands(sketch)], pa.binary())]
+                columns += [pa.array([r.tobytes() for r in marks(sketch)], pa.binary()), pa.array([len(b) for b in bodies], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["num", "n_shingles", "s1", "s2", "bands", "marks", "size"])
 
     return run
 
@@ -184,25 +210,29 @@ def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verify(n_words: int, least: int):
-    """Links among the pairs (role 0, role 1) of each key, on full sets."""
+    """Links among the pairs (role 0, role 1) of each key, on full sets: of hashes, then of the shingles themselves."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["key", "role"], kind="stable")
         key, role, num, bodies = frame["key"].to_numpy(), frame["role"].to_numpy(), frame["num"].to_numpy(), frame["body"].tolist()
         a, b = [], []
-        pivot, pivot_num, at = None, 0, None
+        pivot, pivot_num, at, pivot_set = None, 0, None, None
         for start in range(0, len(bodies), 256):
             ends, h = shingles(bodies[start : start + 256], n_words)
             for k in range(len(ends)):
                 own = h[ends[k - 1] if k else 0 : ends[k]]
                 i = start + k
                 if role[i] == 0:
-                    pivot, pivot_num, at = own.copy(), num[i], key[i]
+                    pivot, pivot_num, at, pivot_set, pivot_body = own.copy(), num[i], key[i], None, bodies[i]
                 elif key[i] == at and len(own):
                     where = np.searchsorted(pivot, own)
                     where[where == len(pivot)] = 0
                     shared = int((pivot[where] == own).sum())
                     if 100 * shared >= least * (len(pivot) + len(own) - shared):
+                        if pivot_set is None:
+                            pivot_set = exact(pivot_body, n_words)
+                        if not alike(exact(bodies[i], n_words), pivot_set, least):
+                            continue
                         a.append(num[i])
                         b.append(pivot_num)
         return pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64)})
@@ -226,6 +256,22 @@ def _verified(pairs: DataFrame, reps: DataFrame, ids: DataFrame, n_words: int, l
     return _sent(wanted, reps, ids).groupBy(F.pmod(F.col("key"), F.lit(4 * parts)).alias("part")).applyInPandas(_verify(n_words, least), "a bigint, b bigint")
 
 
+def _candidates(frame: pd.DataFrame) -> pd.DataFrame:
+    """key and num of members of one or two blocks whose sketch may link with that of another component's member there."""
+    frame = frame.sort_values("key", kind="stable")
+    key, root, num, block = (frame[c].to_numpy() for c in ("key", "root", "num", "role"))
+    cells = np.frombuffer(b"".join(frame["marks"]), dtype=np.uint8).reshape(-1, SIZE)
+    found = np.zeros(len(key), dtype=bool)
+    cut = np.r_[np.flatnonzero(np.r_[True, key[1:] != key[:-1]]), len(key)]
+    for i, j in zip(cut[:-1].tolist(), cut[1:].tolist()):
+        two = block[i:j].min() != block[i:j].max()
+        for k in range(i, j - 1):
+            at = np.flatnonzero((root[k + 1 : j] != root[k]) & ((block[k + 1 : j] != block[k]) if two else True)) + k + 1
+            if len(at) and (hit := at[may_link(cells[at], cells[k])]).size:
+                found[hit] = found[k] = True
+    return pd.DataFrame({"key": key[found], "num": num[found]})
+
+
 def _meet(n_words: int, least: int):
     """Links between members of different components in one or two blocks of a crowd, a spanning set of them.
 
@@ -240,18 +286,18 @@ def _meet(n_words: int, least: int):
             members.setdefault(r, []).append(k)
         if len(members) < 2:
             return
-        sets, marks = [], []
+        sets, some = [], []
         for start in range(0, len(bodies), 256):
             ends, h = shingles(bodies[start : start + 256], n_words)
             sets += np.split(h, ends[:-1])
-            marks.append((sketches(ends, h) & U(255)).astype(np.uint8))
-        cells, label = np.concatenate(marks), root.copy()
+            some.append(marks(sketches(ends, h)))
+        cells, label = np.concatenate(some), root.copy()
         two = block.min() != block.max()
         for k in range(len(sets) - 1):
             at = np.flatnonzero((label[k + 1 :] != label[k]) & ((block[k + 1 :] != block[k]) if two else True)) + k + 1
             if not len(at):
                 continue
-            at = at[(cells[at] == cells[k]).sum(axis=1) >= LEAST_AGREE]
+            at = at[may_link(cells[at], cells[k])]
             for j in at.tolist():
                 if label[j] == label[k]:
                     continue
@@ -261,7 +307,7 @@ def _meet(n_words: int, least: int):
                 where = np.searchsorted(y, x)
                 where[where == len(y)] = 0
                 shared = int((y[where] == x).sum())
-                if 100 * shared >= least * (len(x) + len(y) - shared):
+                if 100 * shared >= least * (len(x) + len(y) - shared) and alike(exact(bodies[j], n_words), exact(bodies[k], n_words), least):
                     out.append((num[j], num[k]))
                     gone, stays = label[j], label[k]
                     label[members[gone]] = stays
@@ -288,20 +334,20 @@ def _open(cells: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     return labelled.join(largest.select("bucket", "n"), "bucket"), largest.select("bucket", "main")
 
 
-def _linked(pairs, labels, cells, reps, ids, n_words, similarity, parts, scratch, name):
+def _linked(pairs, labels, cells, reps, ids, n_words, similarity, parts, scratch, name, n_pairs, n_labels):
     """(labels after the pairs that link; what is left: rows of open buckets, and pairs that an exact pass would compare).
 
     Components are found on the graph of roots, which shrinks from round to round.
     """
-    return _joined(_verified(pairs, reps, ids, n_words, similarity, parts), labels, cells, scratch, name)
+    return _joined(_verified(pairs, reps, ids, n_words, similarity, parts), labels, cells, scratch, name, n_pairs, n_labels)
 
 
-def _joined(links, labels, cells, scratch, name):
-    """_linked() from links on."""
+def _joined(links, labels, cells, scratch, name, n_links, n_labels):
+    """_linked() from links on; n_links and n_labels are bounds, or None."""
     ra, rb = (labels.select(F.col("num").alias(c), F.col("root").alias(f"r{c}")) for c in "ab")
-    edges = scratch.write(links.join(ra, "a").join(rb, "b").filter("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), f"{name}-links")
-    moved = components(edges, scratch, f"{name}-c")
-    labels = scratch.write(labels.join(moved.withColumnRenamed("root", "top"), F.col("root") == F.col("node"), "left").select("num", F.coalesce("top", "root").alias("root")), f"{name}-labels")
+    edges = scratch.write(links.join(ra, "a").join(rb, "b").filter("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), f"{name}-links", rows=n_links)
+    moved = components(edges, scratch, f"{name}-c", n_links)
+    labels = scratch.write(labels.join(moved.withColumnRenamed("root", "top"), F.col("root") == F.col("node"), "left").select("num", F.coalesce("top", "root").alias("root")), f"{name}-labels", rows=n_labels)
     sizes = cells.join(labels, "num").groupBy("bucket", "root").agg(F.count("*").alias("m")).groupBy("bucket").agg(F.sum("m").alias("n"), F.max("m").alias("m")).filter("m < n")
     state = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.expr("(n - m) * n")), F.lit(0)).alias("pairs")).first()
     return labels, state
@@ -314,26 +360,28 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, similarity: int = 80, id_
     as one, one without words has none and links with nothing. Texts whose sets have a Jaccard
     similarity of `similarity` per cent (80 at least) or more are linked; component_id is the least id reachable.
     Null texts are empty. Null ids count as the largest and stay null. Rows that repeat are in one
-    component. An empty table gives no rows. Other columns are not read.
+    component. An empty table gives no rows. Texts are read whole, of any length: a task holds one at a
+    time besides about a megabyte of others, and pairs by two. Other columns are not read.
     """
     if similarity < 80:
         raise ValueError("bands and the sketch filter are made for a similarity of 80 or more; less would lose links")
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     scratch = Scratch(spark, "sketch-dedup")
     members, reps = text_classes(docs, scratch, id_col, text_col)
+    parts = parts_for(spark, scratch.size("classes"))
+    n = reps.agg(F.count("*").alias("classes"), F.coalesce(F.sum("copies"), F.lit(0)).alias("rows")).first()
     ids = reps.select("num", "cls")
-    signs = scratch.write(reps.select("num", "body").mapInArrow(_sign(n_words), "num bigint, n_shingles bigint, s1 bigint, s2 bigint, bands binary"), "signs")
+    signs = scratch.write(reps.select("num", "body").mapInArrow(tidied(_sign(n_words)), "num bigint, n_shingles bigint, s1 bigint, s2 bigint, bands binary, marks binary, size bigint"), "signs")
 
     # Equal sets are one from here on.
-    sets = scratch.write(signs.filter("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("num").alias("root")), "sets")
+    sets = scratch.write(signs.filter("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("num").alias("root")), "sets", rows=n.classes)
     dealt = signs.join(sets.select(F.col("root").alias("num")), "num", "left_semi").select("num", "bands").mapInArrow(_deal(parts), "part int, n int, data binary")
-    live = scratch.write(dealt.groupBy("part").applyInPandas(_buckets, "bucket bigint, num bigint, pivot bigint"), "live")
+    live = scratch.write(dealt.groupBy("part").applyInPandas(_buckets, "bucket bigint, num bigint, pivot bigint"), "live", rows=BANDS * n.classes)
 
-    first = scratch.write(live.filter("num <> pivot").groupBy("num").agg(F.min("pivot").alias("pivot")), "tried")
+    first = scratch.write(live.filter("num <> pivot").groupBy("num").agg(F.min("pivot").alias("pivot")), "tried", rows=n.classes)
     cells = live.select("bucket", "num")
-    labels = scratch.write(cells.select("num").distinct().withColumn("root", F.col("num")), "labels")
-    labels, state = _linked(first, labels, cells, reps, ids, n_words, similarity, parts, scratch, "first")
+    labels = scratch.write(cells.select("num").distinct().withColumn("root", F.col("num")), "labels", rows=n.classes)
+    labels, state = _linked(first, labels, cells, reps, ids, n_words, similarity, parts, scratch, "first", n.classes, n.classes)
     tried = first
 
     # Members of buckets that are not yet one component, against a random member each, while that
@@ -345,32 +393,42 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, similarity: int = 80, id_
         dealt_members = inside.withColumn("salt", F.pmod(F.xxhash64("num", F.lit(k)), F.ceil(F.col("n") / PIVOT_ROWS)))
         pivots = dealt_members.groupBy("bucket", "salt").agg(F.min_by(F.struct(F.col("num").alias("pivot"), F.col("root").alias("pivot_root")), F.xxhash64("num", F.lit(-k))).alias("p"))
         pairs = dealt_members.join(pivots, ["bucket", "salt"]).filter("root <> p.pivot_root").select(F.greatest("num", "p.pivot").alias("num"), F.least("num", "p.pivot").alias("pivot")).distinct()
-        pairs = scratch.write(pairs.join(tried, ["num", "pivot"], "left_anti"), f"round-{k}")
-        labels, state = _linked(pairs, labels, cells, reps, ids, n_words, similarity, parts, scratch, f"round-{k}")
+        pairs = scratch.write(pairs.join(tried, ["num", "pivot"], "left_anti"), f"round-{k}", rows=state.rows)
+        labels, state = _linked(pairs, labels, cells, reps, ids, n_words, similarity, parts, scratch, f"round-{k}", state.rows, n.classes)
         tried = tried.unionByName(pairs)
 
     # The last pass: whoever can still meet through open buckets, in blocks, by sketch and then in full.
-    # A crowd is connected over all open buckets; each text goes to every block of its crowd.
+    # A crowd is connected over all open buckets. Each sketch goes to every block of its crowd; texts go only
+    # to the blocks in which their sketch found another component's that may link.
     if state.pairs:
         inside, _ = _open(cells, labels)
-        inside = scratch.write(inside.select("bucket", "num"), "inside")
+        inside = scratch.write(inside.select("bucket", "num"), "inside", rows=state.rows)
         heads = inside.groupBy("bucket").agg(F.min("num").alias("head"))
-        near = components(inside.join(heads, "bucket").select(F.col("num").alias("a"), F.col("head").alias("b")), scratch, "near")
+        near = components(inside.join(heads, "bucket").select(F.col("num").alias("a"), F.col("head").alias("b")), scratch, "near", state.rows)
         crowd = inside.select("num").distinct().join(near, F.col("num") == F.col("node"), "left").select("num", F.coalesce("root", "num").alias("crowd")).join(labels, "num")
-        crowd = scratch.write(crowd, "crowd")
-        blocks = crowd.groupBy("crowd").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("blocks"))
+        crowd = scratch.write(crowd, "crowd", rows=n.classes)
         own = F.pmod(F.xxhash64("num"), F.col("blocks")).cast("int")
         meet = F.transform(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1), lambda j: F.struct(F.xxhash64("crowd", F.least(own, j), F.greatest(own, j)).alias("key"), own.alias("role"), F.col("root").alias("root")))
-        sent = _sent(crowd.join(blocks, "crowd").select("num", meet.alias("wanted")), reps, ids)
-        links = sent.groupBy(F.pmod(F.col("key"), F.lit(4 * parts)).alias("part")).applyInPandas(_meet(n_words, similarity), "a bigint, b bigint")
-        labels, _ = _joined(links, labels, cells, scratch, "last")
+        crowd = crowd.join(signs.select("num", "marks", "size"), "num")
+        in_blocks = lambda df, n: df.join(df.groupBy("crowd").agg(n.cast("long").alias("blocks")), "crowd").select("num", "root", "crowd", "size", "marks", F.explode(meet).alias("m"))
+        sketched = in_blocks(crowd, F.ceil(F.count("*") / BLOCK_ROWS)).select("num", "m.key", "m.role", "m.root", "marks")
+        pairs = sketched.groupBy(F.pmod(F.col("key"), F.lit(parts)).alias("part")).applyInPandas(_candidates, "key bigint, num bigint")
+        asked = scratch.write(pairs.select("num").distinct(), "asked", rows=n.classes)
+        # Blocks of texts are those of the members that were found, dealt anew by number and bytes.
+        left = crowd.join(asked, "num", "left_semi").drop("marks").withColumn("marks", F.lit(None).cast("binary"))
+        texts = in_blocks(left, F.greatest(F.ceil(F.count("*") / TEXT_ROWS), F.ceil(F.sum("size") / TEXT_BYTES)))
+        texts = scratch.write(texts.select("num", "size", "m"), "meetings")
+        size = texts.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first().n
+        wanted = texts.groupBy("num").agg(F.collect_list("m").alias("wanted"))
+        links = _sent(wanted, reps, ids).groupBy(F.pmod(F.col("key"), F.lit(parts_for(spark, size))).alias("part")).applyInPandas(_meet(n_words, similarity), "a bigint, b bigint")
+        labels, _ = _joined(links, labels, cells, scratch, "last", None, n.classes)
     rooted = labels.select(F.col("num").alias("node"), F.col("root").alias("top"))
 
     # Text class -> set -> component, then the least id of each component.
     known = signs.select("num", "n_shingles", "s1", "s2").join(sets, ["n_shingles", "s1", "s2"], "left").join(rooted, F.col("root") == F.col("node"), "left")
     known = known.select("num", "n_shingles", F.coalesce("top", "root").alias("component")).join(ids, "num")
-    known = scratch.write(known.select("cls", "n_shingles", "component"), "known")
-    rows = scratch.write(members.join(known, "cls").select("doc_id", "cls", "n_shingles", "component"), "rows")
+    known = scratch.write(known.select("cls", "n_shingles", "component"), "known", rows=n.classes)
+    rows = scratch.write(members.join(known, "cls").select("doc_id", "cls", "n_shingles", "component"), "rows", rows=n.rows)
     least = rows.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     for name in ("signs", "live"):
         scratch.drop(name)
@@ -390,9 +448,10 @@ def one_of_each(docs: DataFrame, n_words: int = 5, similarity: int = 80, id_col:
     nothing: of these, one row per id stays.
     """
     scratch = Scratch(docs.sparkSession, "near-kept")
+    stay_rows = docs.count()
     marks = near_duplicates(docs, n_words, similarity, id_col, text_col, with_class=True)
     stay = marks.filter("kept").groupBy(F.col("doc_id").alias("_id")).agg(F.min("cls").alias("_cls"))
-    stay = scratch.write(stay, "stay")
+    stay = scratch.write(stay, "stay", rows=stay_rows)
     body = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("_key"), F.substring(F.unhex(F.sha2(body, 256)), 1, 16).alias("_text"))
     # Both sides are dealt by (id, class), so repeated rows of one key are in one task already.

@@ -4,7 +4,8 @@ Every 400-byte window holds an anchor, the start of its 64-byte gram with the le
 leftmost of equals), so equal windows agree on it and only the suffixes at anchors, about one in 170,
 need to be brought together. Windows at the edges of repeats are suffix-sorted by mergesort, where a
 comparison finds the common extension by binary search over prefix polynomial hashes; what the hashes
-call equal is compared byte by byte. See repeats.py for the dealing out.
+call equal is compared byte by byte. Stretches around anchors that are equal in whole are settled by
+their digests before. See repeats.py for the dealing out.
 """
 
 from __future__ import annotations
@@ -18,9 +19,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
-from .repeats import covered, repeated_windows, runs_of, text_classes
-from .rolling import BYTE_VALUES, LENGTH_SALT, Prefixes, mix, sliding_min
+from .common import Scratch, tidied
+from .repeats import HOT, contexts, covered, repeated_windows, runs_of, text_classes
+from .rolling import BYTE_VALUES, Prefixes, mix, sliding_min
 
 U = np.uint64
 PLACE = U((1 << 24) - 1)
@@ -29,15 +30,23 @@ PLACE = U((1 << 24) - 1)
 class ByteWindows:
     """Bytes as symbols; anchors are minimizers."""
 
-    dtype = "u1"
+    gap, hot = b"", HOT
     #: Symbols of a long text that are looked at together; windows do not care where it is parted.
     slice = 1 << 20
 
     def __init__(self, width: int = 400, gram: int = 64):
         self.width, self.gram, self.least_bytes = width, gram, width
 
-    def symbols(self, body: bytes) -> np.ndarray:
-        return np.frombuffer(body, dtype=np.uint8)
+    def windows(self, piece: bytes) -> tuple[np.ndarray, np.ndarray]:
+        start = np.arange(len(piece) - self.width + 1)
+        none = np.zeros(len(start), dtype=np.int64)
+        return contexts(piece, start, start + self.width, none, none)
+
+    def pieces(self, body: bytes, start: np.ndarray, size: np.ndarray) -> list[bytes]:
+        return [body[i : i + n] for i, n in zip(start.tolist(), size.tolist())]
+
+    def symbols(self, packed: bytes) -> np.ndarray:
+        return np.frombuffer(packed, dtype=np.uint8)
 
     def values(self, symbols: np.ndarray) -> np.ndarray:
         return BYTE_VALUES[symbols]
@@ -58,10 +67,11 @@ class ByteWindows:
 
     def _of(self, pieces: list[tuple[int, int, bytes]]) -> dict[str, np.ndarray]:
         w, k = self.width, self.gram
-        data = np.frombuffer(b"".join(p for _, _, p in pieces), dtype=np.uint8)
+        body = b"".join(p for _, _, p in pieces)
+        data = np.frombuffer(body, dtype=np.uint8)
         ends = np.cumsum([len(p) for _, _, p in pieces])
         starts = np.r_[0, ends[:-1]]
-        none = {c: np.empty(0, dtype=np.int64) for c in ("doc", "a", "lo", "hi")} | {c: np.empty(0, dtype=np.uint64) for c in ("h", "ctx")}
+        none = {c: np.empty(0, dtype=np.int64) for c in ("doc", "a", "lo", "hi")} | {c: np.empty(0, dtype=np.uint64) for c in ("h", "ctx", "ctx2")}
         if len(data) < w:
             return none
         values = BYTE_VALUES[data]
@@ -84,11 +94,10 @@ class ByteWindows:
         first = np.flatnonzero(new)
         p1, p2 = window[first], window[np.r_[first[1:], len(window)] - 1]
         a, doc = a[first], doc[first]
-        other = Prefixes(values, 1)
         lo, hi = a - p1, p2 - p1
-        ctx = mix(other.of(p1, p2 + w) + (lo * (1 << 20) + hi).astype(np.uint64) * LENGTH_SALT)
+        ctx, ctx2 = contexts(body, p1, p2 + w, lo, hi)
         shift = np.array([s for _, s, _ in pieces]) - starts
-        return {"doc": np.array([d for d, _, _ in pieces])[doc], "a": a + shift[doc], "lo": lo, "hi": hi, "h": grams[a], "ctx": ctx}
+        return {"doc": np.array([d for d, _, _ in pieces])[doc], "a": a + shift[doc], "lo": lo, "hi": hi, "h": grams[a], "ctx": ctx, "ctx2": ctx2}
 
 
 def _finish(width: int):
@@ -120,7 +129,7 @@ def _removed(docs: DataFrame, width: int, id_col: str, text_col: str) -> tuple[D
     members, reps = text_classes(docs, scratch, id_col, text_col)
     found = repeated_windows(reps, ByteWindows(width), scratch)
     out = "cls binary, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans binary"
-    done = reps.join(found.hint("shuffle_hash"), "cls", "left").select("cls", "copies", "body", "n", "data").mapInArrow(_finish(width), out)
+    done = reps.join(found.hint("shuffle_hash"), "cls", "left").select("cls", "copies", "body", "n", "data").mapInArrow(tidied(_finish(width)), out)
     done = scratch.write(done, "done")
     scratch.drop("settled")
     return members, done
