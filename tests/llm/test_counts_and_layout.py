@@ -1,3 +1,5 @@
+import hashlib
+import heapq
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -8,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from quillspark.llm import pack, prefix_tokens, shard
+from quillspark.llm import pack, prefix_tokens, shard, word_bpe
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 PIECES = [*"ab 're'sT12.!  \n\t é漢 ́½٣\x1c\x85", "<|endoftext|>", "  ", "'ll", "don't", "\r\n", "İ", "Σ", " ", " word", "Ünder"]
@@ -47,11 +49,47 @@ def test_token_counts(spark):
     assert len(prefix_tokens.truncated(df.filter("doc_id = 1").limit(1), BYTES, 100).first().text) == cut
 
 
-def test_chunk_ids_equal_the_library():
-    library, own = Tokenizer.from_file(WORDS), pack.ChunkIds(WORDS)
-    texts = noise(2, 400) + [" a b"]
-    want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
-    assert own.ids(texts) == want
+LATIN = "aAbBéÉßöÖñ ÷×'stREvemLLd0019!?$%&\n\t«»¿¡£§\x0b\x0c\r~`@"
+
+
+def test_word_ids_equal_the_library():
+    rnd = random.Random(12)
+    library = Tokenizer.from_file(WORDS)
+    texts = noise(2, 400) + [" a b", "", "a" * 5000 + " b", "!" * 300 + "'s", "x<|endoftext|>y", "I'M HERE'S we'LL", "aaaaaaa bbbbbbbbb abababab", "é" * 70, "\x00 a\x00b"]
+    texts += ["".join(rnd.choice(LATIN) for _ in range(rnd.randint(0, 90))) for _ in range(4000)]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    for memo in (10, 200_000):
+        own = word_bpe.WordEncoder(WORDS, memo)
+        assert own.known
+        got = [ids.tolist() for k in range(0, len(texts), 500) for ids in own.ids(texts[k : k + 500])]
+        assert got == want
+    own.known = False  # a vocabulary of another kind is left to the library
+    assert [ids.tolist() for ids in own.ids(texts[:500])] == want[:500]
+
+
+def shortest_pack_first(histogram, window):
+    """Packs, by placing one piece at a time, longest first, into the pack with the most room."""
+    rooms = []
+    for length in sorted(histogram, reverse=True):
+        for _ in range(histogram[length]):
+            if rooms and -rooms[0] >= length:
+                heapq.heapreplace(rooms, rooms[0] + length)
+            else:
+                heapq.heappush(rooms, length - window)
+    return len(rooms)
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_plan_equals_one_piece_at_a_time(seed):
+    rnd = random.Random(seed)
+    window = rnd.choice([64, 100, 4096])
+    histogram = {rnd.randint(1, window): rnd.choice([1, 3, rnd.randint(1, 400)]) for _ in range(rnd.randint(1, 40))}
+    assert abs(sum(packs for _, packs in pack.plan(histogram, window)) - shortest_pack_first(histogram, window)) <= 1
+
+
+@pytest.mark.parametrize("histogram", [{3000: 1, 1100: 100_000}, {4000: 1, 100: 100_000}, {3000: 5, 600: 100_000}, {100: 50}])
+def test_plan_opens_no_pack_in_vain(histogram):
+    assert abs(sum(packs for _, packs in pack.plan(histogram, 4096)) - shortest_pack_first(histogram, 4096)) <= 1
 
 
 @pytest.mark.parametrize("seed", range(40))
@@ -115,11 +153,35 @@ def test_shards_match_the_mixture(spark):
     assert sorted(slots) == list(range(24)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
     source = {k: s for k, _, s in rows}
-    hot = Counter(r.shard for r in got if source[r.doc_id] == "hot")
-    assert max(hot.values()) - min(hot.values()) <= 2
+    sizes, per = Counter(s for _, _, s in rows), Counter((source[r.doc_id], r.shard) for r in got)
+    for name, n in sizes.items():
+        # Each source is less than one row off its share at any place, and a cut moves by what all are off together.
+        assert all(abs(per[name, k] - n / 24) < 1 + n / len(rows) * (len(sizes) + 1) for k in range(24))
     assert all(r.text_crc32 == zlib.crc32(b"x" * (r.size - 8)) for r in got)
     again = shard.stratified_shards(df.repartition(7), 24).select("doc_id", "shard", "slot").collect()
     assert Counter(map(tuple, again)) == Counter((r.doc_id, r.shard, r.slot) for r in got)
     few = shard.stratified_shards(df.limit(3), 24).collect()
     assert sorted(r.slot for r in few) == [0, 0, 0]
     assert shard.stratified_shards(df.limit(0), 24).count() == 0
+
+
+def test_shards_by_brute_force(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.choice([k, k, k, None, 7]), rnd.choice([None, "", "é" * (k % 5), "same"]), rnd.choice(["a", "a", "a", "b", None])) for k in range(700)]
+    crc, size = (lambda t: zlib.crc32((t or "").encode())), (lambda t: len((t or "").encode()) + 8)
+    h60 = lambda *x: int(hashlib.md5("|".join(["17", *("" if v is None else str(v) for v in x)]).encode()).hexdigest()[:15], 16)
+    strata = defaultdict(list)
+    for d, t, s in rows:
+        strata["" if s is None else f"={s}"].append((h60(d, crc(t)), d is not None, d or 0, crc(t), size(t)))
+    order = []
+    for name, some in strata.items():
+        phase = h60(name) / 2.0**60
+        order += [((k + phase) / len(some), name, *cell) for k, cell in enumerate(sorted(some))]
+    want = Counter()
+    base, more = divmod(len(rows), 24)
+    cuts = [k * base + min(k, more) for k in range(25)]
+    for place, (*_, there, d, c, n) in enumerate(sorted(order)):
+        k = max(j for j in range(24) if cuts[j] <= place)
+        want[d if there else None, n, c, "rows", k, place - cuts[k], None] += 1
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    assert Counter(map(tuple, shard.stratified_shards(df, 24).collect())) == want

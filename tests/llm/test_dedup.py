@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillspark.llm import cover_dedup, sketch_dedup, suffix_dedup
-from quillspark.llm.rolling import BYTE_VALUES, SuffixOrder
+from quillspark.llm.rolling import BYTE_VALUES, PRIME_BASE, PrimePrefixes, SuffixOrder, single_spaced, word_hashes, words
 
 import numpy as np
 
@@ -42,8 +42,23 @@ def marks(sequences, width):
     return out
 
 
+@pytest.fixture(params=[False, True], ids=["sorted", "by_digest"])
+def hot(request, monkeypatch):
+    """With and without anchors that have more contexts than one task sorts."""
+    if request.param:
+        for module, name in ((suffix_dedup, "ByteWindows"), (cover_dedup, "WordWindows")):
+            kind = getattr(module, name)
+
+            def made(width, kind=kind):
+                out = kind(width)
+                out.hot = 2
+                return out
+
+            monkeypatch.setattr(module, name, made)
+
+
 @pytest.mark.parametrize("seed", [5, 6])
-def test_repeated_bytes(spark, seed):
+def test_repeated_bytes(spark, seed, hot):
     rows = corpus(seed)
     texts = [(t or "").encode() for _, t in rows]
     want = []
@@ -55,11 +70,11 @@ def test_repeated_bytes(spark, seed):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
-def test_repeated_words(spark):
+def test_repeated_words(spark, hot):
     rows = corpus(7)
     texts = [tuple((t or "").encode().split()) for _, t in rows]
     want = [(doc, len(words), sum(hit), hashlib.sha256(b" ".join(w for w, h in zip(words, hit) if not h)).hexdigest()) for (doc, _), words, hit in zip(rows, texts, marks(texts, 35))]
-    got = [tuple(r)[:4] for r in cover_dedup.remove_passages(spark.createDataFrame(rows, DOCS).repartition(3)).collect()]
+    got = [tuple(r)[:4] for r in cover_dedup.remove_passages(spark.createDataFrame(rows, DOCS).repartition(3).withColumn("n_words", F.lit("clash"))).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
@@ -71,7 +86,49 @@ def test_long_texts_are_parted_without_a_trace():
     assert windows(whole) == windows(parted)
     words, cut = cover_dedup.WordWindows(), cover_dedup.WordWindows()
     cut.slice = 777
-    assert (words.symbols(body) == cut.symbols(body)).all()
+    # Covers count from the start of a slice, so anchors differ; each window has five of them, at other places in it.
+    for some in (windows(words), windows(cut)):
+        assert Counter(p for _, p in some) == dict.fromkeys(range(3000 - 34), 5)
+        assert all(p <= a <= p + 20 for a, p in some)
+
+
+def thue_morse(k, a, b):
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(1 << k))
+
+
+def test_words_that_polynomials_take_for_one(spark):
+    same = [f"word{k}" for k in range(40)]
+    rows = [(k, " ".join([*same[:20], w, *same[20:]])) for k, w in enumerate((thue_morse(10, "a", "b"), thue_morse(10, "b", "a")))]
+    df = spark.createDataFrame(rows, DOCS)
+    assert [(r.n_words, r.n_removed) for r in cover_dedup.remove_passages(df).collect()] == [(41, 0)] * 2
+    alone = spark.createDataFrame([(k, t.split()[20]) for k, t in rows], DOCS)
+    assert sorted(r.component_id for r in sketch_dedup.near_duplicates(alone, 4, 80).collect()) == [0, 1]
+    got = [r.n_removed for r in suffix_dedup.remove_repeats(alone).collect()]
+    texts = [t.split()[20].encode() for _, t in rows]
+    assert got == [sum(h) for h in marks(texts, 400)]
+
+
+def test_hashes_of_words():
+    rnd = random.Random(2)
+    some = [bytes(rnd.choice(b"abc") for _ in range(rnd.choice([1, 2, 7, 8, 9, 16, 17, 63, 64, 65, 200]))) for _ in range(3000)]
+    data = b"  ".join(some) + b"\n"
+    _, hashes = words(data)
+    assert len({(w, int(h)) for w, h in zip(some, hashes)}) == len(set(some)) == len(set(hashes.tolist()))
+    one, starts, ends = single_spaced(b"\t" + data)
+    assert one == b" ".join(some) and [one[i:j] for i, j in zip(starts, ends)] == some
+    assert (word_hashes(one, starts, ends) == hashes).all()
+
+
+def test_prime_prefixes():
+    rnd = random.Random(4)
+    values = [rnd.randrange(1 << 64) for _ in range(500)]
+    values[300:400] = values[100:200]
+    own, p = PrimePrefixes(np.array(values, dtype=np.uint64)), (1 << 61) - 1
+    whole = lambda a, n: sum(v * pow(PRIME_BASE, k, p) for k, v in enumerate(values[a : a + n])) % p
+    a, b, n = (np.array([rnd.randrange(200) for _ in range(400)]) for _ in range(3))
+    a[:99], b[:99], n[:99] = np.arange(300, 399), np.arange(100, 199), np.arange(99, 0, -1)
+    assert own.same(a, b, n).tolist() == [whole(x, k) == whole(y, k) for x, y, k in zip(a.tolist(), b.tolist(), n.tolist())]
+    assert own.same(a, b, n)[:99].all()
 
 
 def test_empty_tables(spark):
@@ -144,6 +201,53 @@ def test_near_duplicates(spark):
     assert sorted(map(tuple, sketch_dedup.near_duplicates(df, 4, 80).collect())) == components(rows, 4, 80)
 
 
+def true_links(sets, least):
+    """All pairs of sets of the similarity, by way of the rarest members, of which two such sets share one."""
+    seen = Counter(x for s in sets for x in s)
+    holders, pairs = {}, set()
+    for i, s in enumerate(sets):
+        rare = sorted(s, key=lambda x: (seen[x], x))[: len(s) - -(-least * len(s) // 100) + 1]
+        near = {j for x in rare for j in holders.get(x, ())}
+        pairs |= {(j, i) for j in near if 100 * len(s & sets[j]) >= least * len(s | sets[j])}
+        for x in rare:
+            holders.setdefault(x, []).append(i)
+    return pairs
+
+
+def links_lost(spark, sf, n, least):
+    """(true links, those whose ends are in two components, rows with a component that no true link explains)."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text")
+    got = {r.doc_id: r.component_id for r in sketch_dedup.near_duplicates(docs, n, least).collect()}
+    rows = [(r.doc_id, sketch_dedup.exact(r.text.encode(), n)) for r in docs.collect()]
+    pairs = true_links([s for _, s in rows], least)
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for i, j in pairs:
+        root[find(i)] = find(j)
+    first = {}
+    for i, (doc, _) in enumerate(rows):
+        first[find(i)] = min(first.get(find(i), doc), doc)
+    return len(pairs), sum(got[rows[i][0]] != got[rows[j][0]] for i, j in pairs), sum(got[doc] != first[find(i)] for i, (doc, _) in enumerate(rows))
+
+
+def test_no_link_is_lost(spark):
+    n, lost, wrong = links_lost(spark, "sf0.01", 5, 80)
+    assert n > 50 and not lost and not wrong
+
+
+def test_near_duplicates_with_null_ids_repeats_and_long_texts(spark):
+    long = " ".join(f"w{k}" for k in range(120_000))
+    rows = [(None, long), (7, long + " end"), (7, long + " end"), (None, "alone in the world it is"), (None, None), (9, "Alone in the world it is"), (8, "")]
+    got = sketch_dedup.near_duplicates(spark.createDataFrame(rows, DOCS), 4, 80).collect()
+    want = [(None, 119_997, 7, False), (7, 119_998, 7, True), (7, 119_998, 7, True), (None, 3, 9, False), (None, 0, None, True), (9, 3, 9, True), (8, 0, 8, True)]
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
 def test_less_than_80_is_refused(spark):
     with pytest.raises(ValueError, match="80"):
         sketch_dedup.near_duplicates(spark.createDataFrame(near_corpus(), DOCS), 4, 79)

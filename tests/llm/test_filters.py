@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 from fractions import Fraction
@@ -69,6 +70,43 @@ def test_chats(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
+def test_turns_that_one_hash_takes_for_one(spark):
+    c = "c" * 24
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", f"aaaaaaaa{c}bbbbbbbb{c}"), (2, 0, "user", "hi"), (2, 1, "assistant", f'ubthmiig{c}r"]4M+;.{c}'), (2, 2, "user", "go on")]
+    got = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert sorted(r.conv_id for r in got) == [1, 2]
+
+
+def test_chats_with_ties_repeats_and_long_texts(spark):
+    long = "word " * 200_000
+    rows = [(1, 0, "user", "a"), (1, 0, "assistant", "b"), (2, 0, "assistant", "b"), (2, 0, "user", "a"), (2, 1, "user", long), (3, 0, "user", "x"), (3, 0, "user", "x"), (4, 0, "user", "x"), (5, None, "user", "x|1"), (5, 1, "user|1", "x")]
+    got = {r.conv_id: (r.n_turns, r.n_copies) for r in chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got == {2: (3, 1), 3: (2, 1), 5: (2, 1)}
+
+
+def test_key_words_lose_no_unit():
+    grams = lambda t: (lambda w: list(dict.fromkeys(f"{a} {b}" for a, b in zip(w, w[1:]))))(re.sub("[^a-z0-9]+", " ", t.lower()).split())
+    some = [g for _, t in licenses.templates() if (g := grams(t))]
+    for least in (0.6, 0.8, 1.0):
+        keys = licenses.key_words(some, least)
+        pattern = re.compile(licenses._pattern(keys))
+        for g in some:
+            # What is left of a template without any key word is too little for `least`.
+            rest = [x for x in g if keys.isdisjoint(x.split(" "))]
+            assert 2 * len(rest) / (len(g) + len(rest)) < least
+        text = " ".join(sorted(keys))
+        assert pattern.findall(text) == sorted(keys)
+        assert not pattern.search(" ".join(f"x{w} {w}x" for w in sorted(keys)))
+
+
+def test_license_ties_and_long_texts(spark):
+    known = [("B", "one two three four"), ("A", "one two three four")]
+    rows = [(1, "one two three four"), (2, "filler words here " * 100_000 + "\none two three four")]
+    got = sorted((r.doc_id, r.place, r.license) for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string"), known=known).filter("unit = 'line'").collect())
+    assert got == [(1, 0, "A"), (2, 1, "A")]
+    assert licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string"), known=[]).count() == 0
+
+
 def test_licenses(spark):
     mit = licenses.TEXTS[0][1]
     rows = [(1, "text\nReleased under the MIT License.\nmore"), (2, None), (3, ""), (4, "the License of the lake under which it was released"), (5, mit), (6, "intro line\n\n" + mit.replace(" of ", " of\n") + "\n\nend"), (1, "text\nReleased under the MIT License.\nmore"), (7, "LICENSED under CC BY-NC 4.0")]
@@ -193,3 +231,150 @@ def test_windows_of_any_size(spark):
         assert len(set(seen.values())) == len(seen)
 
 
+
+
+def cutoffs(scored, risk, delta):
+    """stratum -> rule -> cutoff level: every cutoff's test by exact fractions, one after the other from the loosest."""
+    strata, rules = sorted({s for s, _, _ in scored}), list(quality.RULES)
+    out = {}
+    for s in strata:
+        for k, rule in enumerate(rules):
+            good = [levels[k] for t, g, levels in scored if t == s and g]
+            bad = [levels[k] for t, g, levels in scored if t == s and not g]
+            p, best, gain = Fraction(risk) / len(rules), None, Fraction(0)
+            for level in range(quality.LEVELS, 0, -1):
+                false = sum(x >= level for x in good)
+                tail = sum(Fraction(math.comb(len(good), j)) * p**j * (1 - p) ** (len(good) - j) for j in range(false + 1))
+                if tail > Fraction(delta) / (len(rules) * len(strata)):
+                    break
+                now = Fraction(sum(x >= level for x in bad), max(1, len(bad))) - Fraction(false, len(good))
+                if now > gain:
+                    best, gain = level, now
+            out[s, rule] = best
+    return out
+
+
+def test_cutoffs_by_brute_force(spark):
+    rnd = random.Random(5)
+    rows, labels = [], {}
+    for k in range(900):
+        good, lang = k % 3 > 0, "ab"[k % 2]
+        words = [f"w{k}x{j}" for j in range(60)]
+        for _ in range(rnd.choice([0, 0, 0, 1, 2]) if good else rnd.choice([0, 3, 9, 20])):
+            words[rnd.randrange(60)] += rnd.choice(["#", "%%", "A", "Q Q Q Q"])
+        text = " ".join(words) + "\nagain\n" * (rnd.choice([0, 0, 1]) if good else rnd.choice([0, 2, 30]))
+        rows.append((k, text, lang))
+        labels[k] = int(good)
+    df = spark.createDataFrame(rows, DOCS).repartition(3)
+    gold = spark.createDataFrame(list(labels.items()), "doc_id long, quality int")
+    counts = quality.metrics(df)
+    scored = []
+    for r in counts.collect():
+        if r.n_words >= 50 and 100 * r.n_repeat_words <= 50 * r.n_words:
+            share = [Fraction(r.n_symbols, r.n_words), Fraction(r.n_repeat_words, r.n_words), Fraction(r.n_dup_lines, max(1, r.n_lines)), Fraction(r.n_upper, r.word_chars)]
+            scored.append((r.stratum, labels[r.doc_id], [min(quality.LEVELS, math.floor(x * quality.LEVELS)) for x in share]))
+    for risk, delta in ((0.2, 0.2), (0.4, 0.05)):
+        want = cutoffs(scored, risk, delta)
+        got = {(r.stratum, rule): r[rule] for r in quality.thresholds(counts, gold, risk, delta).collect() for rule in quality.RULES}
+        assert got == want
+        assert any(v is not None for v in got.values())
+
+
+def test_rules_with_null_ids_and_strata(spark):
+    text = " ".join(f"w{j}" for j in range(60))
+    rows = [(None, text, None), (1, text, None), (1, text, None), (2, "w " * 200_000, "en")]
+    got = quality.quality_rules(spark.createDataFrame(rows, DOCS), spark.createDataFrame([(1, 1), (None, 0)], "doc_id long, quality int")).collect()
+    assert sorted(((r.doc_id, r.n_words, r.kept) for r in got), key=str) == sorted([(None, 60, True), (1, 60, True), (1, 60, True), (2, 200_000, False)], key=str)
+
+
+def typed(text):
+    """(plain words, template words) of a text, word by word."""
+    outer, raw, words = decontaminate.OUTER, [], []
+    bare = text.strip(outer + " \t\n\x0b\f\r")
+    for token in re.split(r"[\x20\x09-\x0d]+", bare) if bare else []:
+        word = token.strip(outer)
+        # A sign before a number belongs to it, and so do marks at its end.
+        number = re.fullmatch(rf"[{re.escape(outer)}]*?[$€£]?[0-9][0-9.,:/-]*%?[{re.escape(outer)}]*", token)
+        name = re.fullmatch(r"[A-ZÄÖÜÉ][a-zäöüßéñ][\w'-]*", word) and word not in decontaminate.COMMON
+        raw.append(word.lower())
+        if number and word:
+            words.append(decontaminate.NUMBER)
+        elif words and words[-1] == decontaminate.NUMBER and word in decontaminate.UNITS:
+            words.append(decontaminate.UNIT)
+        else:
+            words.append(decontaminate.NAME if name else word.lower())
+    return raw, words
+
+
+def leak(text, item, size=8, coverage=0.5):
+    """(windows, matched) of the best band in which text holds item, by comparing every place with every place; None if none does."""
+    (ours, our_words), (theirs, their_words) = typed(text), typed(item)
+    n = min(size, len(theirs))
+    if not n:
+        return None
+    windows, need = len(theirs) - n + 1, math.ceil(coverage * (len(theirs) - n + 1))
+    at = lambda words, p: words[p : p + n]
+    runs = {}
+    for q in range(windows):
+        for p in range(len(ours) - n + 1):
+            if at(ours, p) == at(theirs, q) or at(our_words, p) == at(their_words, q):
+                runs.setdefault(p - q, set()).add(q)
+
+    def bands(runs):
+        out, last = [], None
+        for shift in sorted(runs):
+            if last is None or shift - last > windows + n - 1:
+                out.append({})
+            out[-1][shift] = runs[shift]
+            last = shift
+        return [b for b in out if len(set().union(*b.values())) >= need]
+
+    sound = {}
+    for band in bands(runs):
+        for shift, qs in band.items():
+            cover = sorted({k for q in qs for k in range(q, q + n)})
+            slots = {(their_words[k], theirs[k], ours[k + shift]) for k in cover if their_words[k] in "\x01\x02\x03"}
+            plain = sum(their_words[k] not in "\x01\x02\x03" for k in cover)
+            if 2 * plain < len(cover) or len(slots) != len({s[:2] for s in slots}):
+                qs = {q for q in qs if at(ours, q + shift) == at(theirs, q)}
+            if qs:
+                sound[shift] = qs
+    best = max((len(set().union(*b.values())) for b in bands(sound)), default=0)
+    return (windows, best) if best else None
+
+
+def test_leaks_by_brute_force(spark):
+    rnd = random.Random(9)
+    vocabulary = ["the", "walks", "to", "market", "and", "buys", "apples", "with", "red", "pens", "for", "how", "many", "does", "have", "now", "said"]
+    names, units = ["Alice", "Bob", "Carol", "Dave", "Emma"], ["km", "kg", "hours", "days"]
+
+    def sentence(n):
+        out = []
+        while len(out) < n:
+            kind = rnd.random()
+            out += [rnd.choice(names)] if kind < 0.15 else [str(rnd.randint(2, 40)), rnd.choice(units)] if kind < 0.3 else [rnd.choice(vocabulary)]
+        return out
+
+    items = [sentence(rnd.choice([3, 8, 9, 14, 25, 40])) for _ in range(12)]
+    texts = []
+    for _ in range(70):
+        words = list(rnd.choice(items))
+        change = dict(zip(names, rnd.sample(names, len(names)))) if rnd.random() < 0.5 else {}
+        words = [change.get(w, str(int(w) + 3) if w.isdigit() and change else w) for w in words]
+        for _ in range(rnd.choice([0, 0, 1, 2, 5])):
+            k = rnd.randrange(len(words) + 1)
+            words[k : k + rnd.randint(0, 1)] = sentence(1)[:1]
+        text = " ".join(sentence(rnd.randint(0, 12)) + words + sentence(rnd.randint(0, 12)))
+        if rnd.random() < 0.2:
+            text = text.lower() if rnd.random() < 0.5 else text.upper()
+        texts.append(rnd.choice(["", "(", "“"]) + text.replace(" and ", ", and ") + rnd.choice([".", "?!", "", "”"]))
+    plain = lambda t: t.translate(str.maketrans(decontaminate.TYPOGRAPHIC, decontaminate.PLAIN_MARKS))
+    want = sorted((i, j, *found) for i, t in enumerate(texts) for j, item in enumerate(items) if (found := leak(plain(t), " ".join(item))))
+    assert leaks(spark, texts, [" ".join(i) for i in items]) == want
+    assert len(want) > 30
+
+
+def test_leak_ties_and_long_texts(spark):
+    item = "so the shop on the corner sold twelve red pens and fifteen blue pens to the same people"
+    long = "word " * 150_000 + item
+    assert [g[:2] for g in leaks(spark, [long, f"{item} {item}", item], [item, item])] == [(0, 0), (0, 1), (1, 0), (1, 1), (2, 0), (2, 1)]
