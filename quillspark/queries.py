@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .functions import text as T
 from .functions.cost import priced, prices
-from .functions.hashes import difference_hash, hamming, simhash60
+from .functions.hashes import difference_hash, hamming, with_simhash60
 from .functions.json_repair import expand_rows, with_json
 from .functions.numbers import number_from_text, numbers_match
 from .operators import leaders, rollups, rules, scoring
@@ -173,14 +173,14 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SIMHASH_SQL = """w AS (SELECT doc_id, text, list_transform(list_filter(list_distinct(string_split(text, ' ')), lambda w: w <> ''), lambda w: CAST('0x' || substr(md5(w), 1, 15) AS BIGINT)) AS hs FROM documents),
-s AS (SELECT doc_id, sha256(text) AS digest, CAST(list_sum(list_transform(range(0, 60), lambda b: CASE WHEN 2 * len(list_filter(hs, lambda h: (h >> b) & 1 = 1)) > len(hs) THEN CAST(1 AS BIGINT) << b ELSE 0 END)) AS BIGINT) AS h FROM w)"""
+s AS MATERIALIZED (SELECT doc_id, sha256(text) AS digest, CAST(list_sum(list_transform(range(0, 60), lambda b: CASE WHEN 2 * len(list_filter(hs, lambda h: (h >> b) & 1 = 1)) > len(hs) THEN CAST(1 AS BIGINT) << b ELSE 0 END)) AS BIGINT) AS h FROM w)"""
 
 
 @query(
     # Edges first; then a fold, in order, over those that have an earlier neighbour, carrying whoever was dropped.
     f"""WITH RECURSIVE {SIMHASH_SQL},
-e AS (SELECT b.doc_id AS hi, list({{'d': a.doc_id, 'x': a.digest = b.digest}} ORDER BY a.doc_id) AS ns FROM s a JOIN s b ON a.doc_id < b.doc_id AND (a.digest = b.digest OR bit_count(xor(a.h, b.h)) <= 5) GROUP BY b.doc_id),
-o AS (SELECT *, ROW_NUMBER() OVER (ORDER BY hi) AS n FROM e),
+e AS MATERIALIZED (SELECT b.doc_id AS hi, list({{'d': a.doc_id, 'x': a.digest = b.digest}} ORDER BY a.doc_id) AS ns FROM s a JOIN s b ON a.doc_id < b.doc_id AND (a.digest = b.digest OR bit_count(xor(a.h, b.h)) <= 5) GROUP BY b.doc_id),
+o AS MATERIALIZED (SELECT *, ROW_NUMBER() OVER (ORDER BY hi) AS n FROM e),
 fold AS (SELECT CAST(0 AS BIGINT) AS n, CAST([] AS BIGINT[]) AS dropped, CAST(NULL AS BIGINT) AS doc_id, CAST(NULL AS STRUCT(d BIGINT, x BOOLEAN)[]) AS alive
   UNION ALL
   SELECT o.n, CASE WHEN len(list_filter(ns, lambda v: NOT list_contains(dropped, v.d))) > 0 THEN list_append(dropped, hi) ELSE dropped END, hi, list_filter(ns, lambda v: NOT list_contains(dropped, v.d)) FROM fold f JOIN o ON o.n = f.n + 1),
@@ -188,8 +188,8 @@ r AS (SELECT doc_id, CASE WHEN len(list_filter(alive, lambda v: v.x)) > 0 THEN '
 SELECT s.doc_id, r.reason, r.duplicate_of FROM s LEFT JOIN r USING (doc_id)"""
 )
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"), simhash60(F.col("text")).alias("h"))
-    return leaders.greedy_leaders(rows, 5, key="doc_id", bits=60)
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"), "text")
+    return leaders.greedy_leaders(with_simhash60(docs, F.col("text"), ["doc_id", "sha256"]), 5, key="doc_id", bits=60)
 
 
 @query("SELECT vec_id, CAST(list_reduce(list_transform(range(1, 64), lambda k: CASE WHEN embedding[k] < embedding[k + 1] THEN CAST(1 AS BIGINT) ELSE CAST(0 AS BIGINT) END), lambda a, x: a * 2 + x) AS BIGINT) AS dhash FROM embeddings")

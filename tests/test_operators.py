@@ -1,3 +1,4 @@
+import base64
 import json
 import logging
 import random
@@ -208,12 +209,7 @@ def test_batch_requests(spark):
 
 
 def bmp_file(grey):
-    rows, columns = grey.shape
-    line = np.zeros((rows, -(-3 * columns // 4) * 4), dtype=np.uint8)
-    line[:, : 3 * columns] = np.repeat(grey[::-1], 3, axis=1)
-    head = b"BM" + (54 + line.size).to_bytes(4, "little") + bytes(4) + (54).to_bytes(4, "little") + (40).to_bytes(4, "little")
-    head += columns.to_bytes(4, "little") + rows.to_bytes(4, "little") + b"\1\0\x18\0" + bytes(24)
-    return head + line.tobytes()
+    return pixels.to_bmp(grey)[1]
 
 
 def test_resampling():
@@ -349,3 +345,20 @@ def test_json_logs():
     record = logging.LogRecord("q", logging.WARNING, "f", 1, "%s files", (3,), None)
     row = json.loads(JsonFormatter().format(record))
     assert (row["level"], row["logger"], row["message"]) == ("WARNING", "q", "3 files") and row["ts"].endswith("Z")
+
+
+def test_encoding(spark):
+    grey = np.random.default_rng(3).integers(0, 256, (40, 100), dtype=np.uint8)
+    assert (pixels.bmp(bmp_file(grey))[0] == grey).all() and pixels.bmp(bmp_file(grey))[1] is False
+    df = spark.createDataFrame([("a", bytearray(bmp_file(grey)), 50), ("b", bytearray(b"BM"), 50), ("c", bytearray(bmp_file(grey)), 200)], "doc_id string, content binary, max_dim int")
+    got = {r.doc_id: r for r in pixels.encoded(df).collect()}
+    assert {d: r.image_px for d, r in got.items()} == {"a": "50x20", "c": "100x40"}
+    assert (pixels.bmp(base64.b64decode(got["c"].body))[0] == grey).all() and got["a"].media_type == "image/bmp"
+
+
+def test_ledger_of_a_run(spark, tmp_path):
+    responses = spark.createDataFrame([("a", "route", "x", 1_000_000, 0, 0, 0, 0.12345), ("a", "extract", "x", 1_000_000, 0, 0, 0, 1.0)], runs.RESPONSES)
+    rows = runs.ledger_rows(responses, "r1", prices(spark)).unionByName(runs.screening_row(spark.createDataFrame([(True,), (False,)], "ok boolean"), "r1"), allowMissingColumns=True)
+    ledger.append_ledger(rows.withColumns({"image_kb": F.lit(1.26), "image_px": F.lit("1x1")}), f"{tmp_path}/ledger")
+    got = {r.stage: (r.model, round(r.cost_usd, 6), r.latency_s, r.note) for r in ledger.read_ledger(spark, f"{tmp_path}/ledger").collect()}
+    assert got == {"route": ("gpt-4o-mini", 0.15, 0.123, None), "extract": ("gpt-4o", 2.5, 1.0, None), "preflight": ("-", 0.0, 0.0, "screened=2 passed=1")}
