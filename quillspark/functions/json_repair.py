@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FENCED = re.compile(r"```(?:json)?\s*(.*?)```", re.DOTALL)
+FENCE, LANGUAGE = "```", "json"
 CLOSERS = {"{": "}", "[": "]"}
 
 
@@ -44,8 +44,10 @@ def recover(text: str | None) -> tuple[str | None, str]:
         return None, "empty_response"
     dump = lambda value: json.dumps(value, ensure_ascii=False)
     attempts = [(bare, "")]
-    if fence := FENCED.search(bare):
-        attempts.append((fence[1].strip(), "unfenced"))
+    _, opened, after = bare.partition(FENCE)
+    inner, closed, _ = after.partition(FENCE)
+    if opened and closed:
+        attempts.append((inner.removeprefix(LANGUAGE).strip(), "unfenced"))
     for candidate, note in attempts:
         try:
             return dump(json.loads(candidate)), note
