@@ -84,6 +84,18 @@ class Scratch:
             self.drop()
 
 
+#: Rows of two or three numbers up to which one side of a join is broadcast, about 30 MB.
+FEW_ROWS = 1_000_000
+
+
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """df, to be broadcast if it has at most `rows` narrow rows and these are few: no key of the other side is hot then.
+
+    Beyond, the join is dealt by key, and adaptive execution splits a hot one.
+    """
+    return F.broadcast(df) if rows <= FEW_ROWS else df
+
+
 def parts_for(spark: SparkSession, size: int, bytes_each: int = 24 << 20) -> int:
     """Into how many parts to deal `size` bytes: the session's shuffle partitions, or more so that a part stays small."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // bytes_each))

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillspark.llm import cover_dedup, sketch_dedup, suffix_dedup
+from quillspark.llm.common import Scratch
+from quillspark.llm.components import components as components_of
 from quillspark.llm.rolling import BYTE_VALUES, PRIME_BASE, PrimePrefixes, SuffixOrder, single_spaced, word_hashes, words
 
 import numpy as np
@@ -201,6 +203,28 @@ def test_near_duplicates(spark):
     assert sorted(map(tuple, sketch_dedup.near_duplicates(df, 4, 80).collect())) == components(rows, 4, 80)
 
 
+@pytest.mark.parametrize("local", [0, 1000])
+def test_components(spark, local):
+    rnd = random.Random(6)
+    path = list(range(40))
+    rnd.shuffle(path)
+    links = [*zip(path, path[1:]), *[(100, 100 + k) for k in range(1, 30)], (200, 201), (201, 200), (202, 202), (-5, 203), *[(rnd.randint(300, 360), rnd.randint(300, 360)) for _ in range(40)]]
+    root = {}
+
+    def find(v):
+        while root.setdefault(v, v) != v:
+            v = root[v]
+        return v
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    scratch = Scratch(spark, "components-test")
+    got = {r.node: r.root for r in components_of(spark.createDataFrame(links, "a long, b long").repartition(3), scratch, "t", local=local).collect()}
+    assert got == {v: find(v) for v in root if find(v) != v}
+    assert components_of(spark.createDataFrame([], "a long, b long"), scratch, "none", local=local).count() == 0
+
+
 def true_links(sets, least):
     """All pairs of sets of the similarity, by way of the rarest members, of which two such sets share one."""
     seen = Counter(x for s in sets for x in s)
