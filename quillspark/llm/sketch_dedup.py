@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, parts_for, tidied
+from .common import Scratch, few, parts_for, tidied
 from .components import components
 from .repeats import text_classes
 from .rolling import LENGTH_SALT, Prefixes, mix, words
@@ -47,8 +47,9 @@ PER_TASK, PIVOT_ROWS = 256, 512
 #: Of SIZE coordinates, 160 agree on average at similarity 0.8, with a deviation of 5.7; fewer than 130 do with
 #: probability 1e-7.
 LEAST_AGREE = 130
-#: What meets in one task of the last pass, at most about twice: sketches, then texts in number and in bytes.
-BLOCK_ROWS, TEXT_ROWS, TEXT_BYTES = 4096, 2048, 8 << 20
+#: What meets in one task of the last pass, at most about twice: sketches, then texts in number and in bytes. A crowd
+#: is parted into up to BLOCKS blocks of sketches before these grow from the least size to the largest.
+LEAST_BLOCK, BLOCK_ROWS, BLOCKS, TEXT_ROWS, TEXT_BYTES = 512, 4096, 32, 2048, 8 << 20
 
 
 def shingles(bodies: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,7 +115,9 @@ def marks(sketch: np.ndarray) -> np.ndarray:
 def may_link(cells: np.ndarray, one: np.ndarray) -> np.ndarray:
     """Which rows of cells (marks) may be linked with one: a band in common, and not too few coordinates."""
     same = cells == one
-    return (same.sum(axis=1) >= LEAST_AGREE) & same.reshape(-1, BANDS, ROWS).all(axis=2).any(axis=1)
+    out = np.count_nonzero(same, axis=1) >= LEAST_AGREE
+    out[out] = same[out].reshape(-1, BANDS, ROWS).all(axis=2).any(axis=1)
+    return out
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -326,12 +329,12 @@ def _meet(n_words: int, least: int):
     return run
 
 
-def _open(cells: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(bucket, num, root, n of the members of buckets that hold several components; bucket and main, the largest of these)."""
+def _open(cells: DataFrame, labels: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
+    """(bucket, num, root, n of the members of buckets that hold several components, `rows` in all; bucket and main, the largest of these)."""
     labelled = cells.join(labels, "num")
     sizes = labelled.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     largest = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.count("*").alias("components"), F.max(F.struct("n", "root"))["root"].alias("main")).filter("components > 1")
-    return labelled.join(largest.select("bucket", "n"), "bucket"), largest.select("bucket", "main")
+    return labelled.join(few(largest.select("bucket", "n"), rows), "bucket"), largest.select("bucket", "main")
 
 
 def _linked(pairs, labels, cells, reps, ids, n_words, similarity, parts, scratch, name, n_pairs, n_labels):
@@ -389,7 +392,7 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, similarity: int = 80, id_
     before, k = None, 0
     while state.pairs > state.rows and (before is None or state.pairs < 0.8 * before):
         before, k = state.pairs, k + 1
-        inside, _ = _open(cells, labels)
+        inside, _ = _open(cells, labels, state.rows)
         dealt_members = inside.withColumn("salt", F.pmod(F.xxhash64("num", F.lit(k)), F.ceil(F.col("n") / PIVOT_ROWS)))
         pivots = dealt_members.groupBy("bucket", "salt").agg(F.min_by(F.struct(F.col("num").alias("pivot"), F.col("root").alias("pivot_root")), F.xxhash64("num", F.lit(-k))).alias("p"))
         pairs = dealt_members.join(pivots, ["bucket", "salt"]).filter("root <> p.pivot_root").select(F.greatest("num", "p.pivot").alias("num"), F.least("num", "p.pivot").alias("pivot")).distinct()
@@ -401,17 +404,18 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, similarity: int = 80, id_
     # A crowd is connected over all open buckets. Each sketch goes to every block of its crowd; texts go only
     # to the blocks in which their sketch found another component's that may link.
     if state.pairs:
-        inside, _ = _open(cells, labels)
+        inside, _ = _open(cells, labels, state.rows)
         inside = scratch.write(inside.select("bucket", "num"), "inside", rows=state.rows)
         heads = inside.groupBy("bucket").agg(F.min("num").alias("head"))
-        near = components(inside.join(heads, "bucket").select(F.col("num").alias("a"), F.col("head").alias("b")), scratch, "near", state.rows)
+        near = components(inside.join(few(heads, state.rows), "bucket").select(F.col("num").alias("a"), F.col("head").alias("b")), scratch, "near", state.rows)
         crowd = inside.select("num").distinct().join(near, F.col("num") == F.col("node"), "left").select("num", F.coalesce("root", "num").alias("crowd")).join(labels, "num")
         crowd = scratch.write(crowd, "crowd", rows=n.classes)
         own = F.pmod(F.xxhash64("num"), F.col("blocks")).cast("int")
         meet = F.transform(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1), lambda j: F.struct(F.xxhash64("crowd", F.least(own, j), F.greatest(own, j)).alias("key"), own.alias("role"), F.col("root").alias("root")))
         crowd = crowd.join(signs.select("num", "marks", "size"), "num")
         in_blocks = lambda df, n: df.join(df.groupBy("crowd").agg(n.cast("long").alias("blocks")), "crowd").select("num", "root", "crowd", "size", "marks", F.explode(meet).alias("m"))
-        sketched = in_blocks(crowd, F.ceil(F.count("*") / BLOCK_ROWS)).select("num", "m.key", "m.role", "m.root", "marks")
+        block_rows = F.least(F.lit(BLOCK_ROWS), F.greatest(F.lit(LEAST_BLOCK), F.count("*") / BLOCKS))
+        sketched = in_blocks(crowd, F.ceil(F.count("*") / block_rows)).select("num", "m.key", "m.role", "m.root", "marks")
         pairs = sketched.groupBy(F.pmod(F.col("key"), F.lit(parts)).alias("part")).applyInPandas(_candidates, "key bigint, num bigint")
         asked = scratch.write(pairs.select("num").distinct(), "asked", rows=n.classes)
         # Blocks of texts are those of the members that were found, dealt anew by number and bytes.
