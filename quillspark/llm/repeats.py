@@ -40,7 +40,7 @@ FULL, ASK, CELL, PIECES = 1, 2, 0, 3
 #: Anchors that a task collects before it sends them on; windows that are sorted at once.
 FLUSH, SORT_AT_ONCE = 500_000, 250_000
 #: Different contexts of an anchor beyond which their windows are not sorted in one task but dealt out by digest.
-HOT = 2000
+HOT = 500
 BLOCKS = "part int, kind int, n int, data binary"
 
 KINDS = {
