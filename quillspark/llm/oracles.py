@@ -40,7 +40,7 @@ units AS (
   SELECT doc_id, 'line' AS unit, unnest(range(0, len(l))) AS place, unnest(l) AS body FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)
   UNION ALL SELECT doc_id, 'paragraph', place, body FROM (SELECT doc_id, unnest(range(0, len(p))) AS place, unnest(p) AS body FROM (SELECT doc_id, regexp_split_to_array(text, '\\n[ \\t]*\\n') AS p FROM documents)) WHERE contains(body, chr(10))
   UNION ALL SELECT doc_id, 'sentence', unnest(range(0, len(l))), unnest(l) FROM (SELECT doc_id, flatten(list_transform(list_filter(string_split(text, chr(10)), lambda s: regexp_matches(s, '{ENDS}[ \t]+[^ \t]')),
-    lambda s: string_split(regexp_replace(s, '({ENDS})[ \t]+', '\1' || chr(1), 'g'), chr(1)))) AS l FROM documents)
+    lambda s: string_split(regexp_replace(s, '({ENDS})[ \t]+', '\\1' || chr(1), 'g'), chr(1)))) AS l FROM documents)
   UNION ALL SELECT doc_id, 'text', 0, text FROM documents WHERE len(regexp_split_to_array(text, '\\n[ \\t]*\\n')) > 1),
 u AS (SELECT doc_id, unit, place, {GRAMS.format(w="w")} AS g FROM (SELECT *, {BARE} AS w FROM units)),
 ug AS (SELECT doc_id, unit, place, len(g) AS n, unnest(g) AS gram FROM u),
@@ -57,4 +57,15 @@ r AS (SELECT doc_id AS d, doc_id AS c FROM s UNION SELECT e.b, r.c FROM r JOIN e
 m AS (SELECT d AS doc_id, MIN(c) AS component_id FROM r GROUP BY d)
 SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN m USING (doc_id)"""
 
-ORACLES = {"op5_chat_format": OP5, "op7_cover_dedup": OP7, "op8_license_scan": OP8, "op9_sketch_dedup": OP9}
+FIND = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+OP12 = f"""WITH d AS (SELECT doc_id, {FIND} AS l FROM documents),
+s AS (SELECT COUNT(*) FILTER (len(l) > 0) AS n_docs, CAST(SUM(len(l)) AS BIGINT) AS total FROM d),
+tf AS (SELECT doc_id, n, t, COUNT(*) AS tf FROM (SELECT doc_id, len(l) AS n, unnest(l) AS t FROM d) GROUP BY ALL),
+q AS (SELECT DISTINCT item_id, unnest({FIND}) AS t FROM benchmark),
+w AS (SELECT t, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS w FROM tf, s GROUP BY t, n_docs),
+r AS (SELECT item_id, doc_id, CAST(SUM(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // total)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (t) JOIN w USING (t), s GROUP BY item_id, doc_id)
+SELECT item_id, CAST(k AS INTEGER) AS rank, doc_id, score FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS k FROM r WHERE score > 0) WHERE k <= 10"""
+
+ORACLES = {"op5_chat_format": OP5, "op7_cover_dedup": OP7, "op8_license_scan": OP8, "op9_sketch_dedup": OP9, "op12_ranked_search": OP12}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, cover_dedup, decontaminate, licenses, oracles, pack, prefix_tokens, quality, shard, sketch_dedup, suffix_dedup, trie
+from . import chat, cover_dedup, decontaminate, licenses, lm, oracles, pack, prefix_tokens, quality, search, shard, sketch_dedup, suffix_dedup, trie
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,10 +59,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_stratified_shards, op3_suffix_dedup, op4_quality_rules, op5_chat_format, op6_pack, op7_cover_dedup, op8_license_scan, op9_sketch_dedup, op10_decontaminate, op13_conversation_trie)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_stratified_shards, op3_suffix_dedup, op4_quality_rules, op5_chat_format, op6_pack, op7_cover_dedup, op8_license_scan, op9_sketch_dedup, op10_decontaminate, op11_lm_scores, op12_ranked_search, op13_conversation_trie)}
 
 ORACLE_SQL: dict[str, str] = dict(oracles.ORACLES)
