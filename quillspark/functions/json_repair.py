@@ -1,88 +1,114 @@
 """Recovery of JSON from model output: strict, then fenced, then a valid prefix, then closing what was cut off.
 
-Strict parsing stays in the JVM; only texts that fail it reach the Python function, in Arrow batches.
+All of it is expressions: brackets and strings are followed by a stack machine, a fold over those
+characters of a text that can matter, and candidates are parsed as variants.
 """
 
 from __future__ import annotations
 
-import json
-import re
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .binding import let
+
 FENCE, LANGUAGE = "```", "json"
-CLOSERS = {"{": "}", "[": "]"}
-
-
-def close_open(text: str) -> str:
-    """text with its open string and brackets closed, innermost first, and commas before them dropped."""
-    open_brackets: list[str] = []
-    inside = False
-    k = 0
-    while k < len(text):
-        c = text[k]
-        if inside and c == "\\":
-            k += 2
-            continue
-        if c == '"':
-            inside = not inside
-        elif not inside and c in CLOSERS:
-            open_brackets.append(c)
-        elif not inside and open_brackets and CLOSERS[open_brackets[-1]] == c:
-            open_brackets.pop()
-        k += 1
-    body = (text + '"' if inside else text).rstrip().rstrip(",")
-    return body + "".join(CLOSERS[c] for c in reversed(open_brackets))
-
-
-def recover(text: str | None) -> tuple[str | None, str]:
-    """(the value as JSON text or None, a note on how it was found)."""
-    bare = (text or "").strip()
-    if not bare:
-        return None, "empty_response"
-    dump = lambda value: json.dumps(value, ensure_ascii=False)
-    attempts = [(bare, "")]
-    _, opened, after = bare.partition(FENCE)
-    inner, closed, _ = after.partition(FENCE)
-    if opened and closed:
-        attempts.append((inner.removeprefix(LANGUAGE).strip(), "unfenced"))
-    for candidate, note in attempts:
-        try:
-            return dump(json.loads(candidate)), note
-        except ValueError:
-            bare = candidate
-    start = re.search(r"[{\[]", bare)
-    if start is None:
-        return None, "no_json_object"
-    rest = bare[start.start() :]
-    try:
-        return dump(json.JSONDecoder().raw_decode(rest)[0]), "trimmed"
-    except ValueError:
-        pass
-    try:
-        return dump(json.loads(close_open(rest))), "repaired_truncated"
-    except ValueError as e:
-        return None, f"unparseable:{getattr(e, 'msg', str(e))[:40]}"
+#: Blanks at the ends of a text, Unicode's and the separators of ASCII.
+BLANK = "(?U)[\\s\\x1c-\\x1f]"
+
+
+def _stripped(text: Column) -> Column:
+    return F.regexp_replace(text, f"^{BLANK}+|{BLANK}+$", "")
+
+
+def strict(text: Column) -> Column:
+    """text as a variant if it is one JSON value and nothing more, else null.
+
+    The parser stops behind the first value. What follows a value may close an array around it, or an
+    object, but not both; so both must parse, the array with one element.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    alone = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull()
+    one = lambda v: F.when(alone & F.try_variant_get(v, "$[1]", "variant").isNull(), F.try_variant_get(v, "$[0]", "variant"))
+    return let(listed, one)
+
+
+def _state(stack: Column, inside: Column, skip: Column, end: Column) -> Column:
+    return F.struct(stack.cast("string").alias("stack"), inside.cast("boolean").alias("inside"), skip.cast("boolean").alias("skip"), end.cast("int").alias("end"))
+
+
+def brackets(text: Column) -> Column:
+    """stack (what closes the open brackets, innermost first), inside (a string is open) and end, of a text that begins with a bracket.
+
+    end counts the characters up to where the first bracket is closed; 0 if it never is. A closing
+    bracket that doesn't fit the innermost open one is passed over.
+    """
+
+    def fold(chars: Column) -> Column:
+        matters = lambda k: F.get(chars, k).isin('"', "\\", "{", "}", "[", "]") | F.coalesce((k > 0) & (F.get(chars, F.greatest(k - 1, F.lit(0))) == "\\"), F.lit(False))
+
+        def step(s: Column, k: Column) -> Column:
+            def one(c: Column) -> Column:
+                popped = F.substring(s["stack"], 2, 1 << 30)
+                closes = (s["stack"] != "") & (c == F.substring(s["stack"], 1, 1))
+                no, yes = F.lit(False), F.lit(True)
+                return (
+                    F.when(s["end"] > 0, s)
+                    .when(s["skip"], _state(s["stack"], s["inside"], no, s["end"]))
+                    .when(s["inside"] & (c == "\\"), _state(s["stack"], yes, yes, s["end"]))
+                    .when(c == '"', _state(s["stack"], ~s["inside"], no, s["end"]))
+                    .when(s["inside"], s)
+                    .when(c == "{", _state(F.concat(F.lit("}"), s["stack"]), no, no, s["end"]))
+                    .when(c == "[", _state(F.concat(F.lit("]"), s["stack"]), no, no, s["end"]))
+                    .when(closes, _state(popped, no, no, F.when(popped == "", k + 1).otherwise(0)))
+                    .otherwise(s)
+                )
+
+            return let(F.get(chars, k), one)
+
+        return F.aggregate(F.filter(F.sequence(F.lit(0), F.size(chars) - 1), matters), _state(F.lit(""), F.lit(False), F.lit(False), F.lit(0)), step)
+
+    return let(F.split(text, ""), fold)
+
+
+def closed(text: Column, state: Column) -> Column:
+    """text with its open string and brackets closed, and blanks and commas before these dropped; state is brackets(text)."""
+    whole = F.when(state["inside"], F.concat(text, F.lit('"'))).otherwise(text)
+    return F.concat(F.rtrim(F.regexp_replace(whole, f"{BLANK}+$", ""), F.lit(",")), state["stack"])
+
+
+def recovered(text: Column) -> Column:
+    """value (a variant, null where nothing recovers it) and note, how it was found.
+
+    Notes: empty for strict JSON, unfenced, trimmed (a valid beginning), repaired_truncated, empty_response,
+    no_json_object, unparseable:no_valid_json. A key that repeats in an object is no valid JSON, unless the session sets
+    spark.sql.variant.allowDuplicateKeys; nor are NaN and Infinity.
+    """
+    out = lambda value, note: F.struct(value.alias("value"), F.lit(note).alias("note"))
+    none = lambda note: out(F.lit(None).cast("variant"), note)
+
+    def tried(value: Column, note: str, otherwise: Column) -> Column:
+        return let(value, lambda v: F.when(v.isNotNull(), out(v, note)).otherwise(otherwise))
+
+    def opened(rest: Column) -> Column:
+        bad = none("unparseable:no_valid_json")
+        cut = lambda s: F.when(s["end"] > 0, tried(F.try_parse_json(F.substring(rest, F.lit(1), s["end"])), "trimmed", bad)).otherwise(tried(F.try_parse_json(closed(rest, s)), "repaired_truncated", bad))
+        return F.when(rest == "", none("no_json_object")).otherwise(let(brackets(rest), cut))
+
+    def unfenced(bare: Column) -> Column:
+        first = F.locate(FENCE, bare)
+        after = F.substring(bare, first + len(FENCE), F.length(bare))
+        body = F.regexp_replace(F.substring(after, F.lit(1), F.locate(FENCE, after) - 1), f"^{LANGUAGE}", "")
+        inner = F.when((first > 0) & (F.locate(FENCE, after) > 0), _stripped(body))
+        rest = lambda i: let(F.regexp_extract(F.coalesce(i, bare), "(?s)[{\\[].*", 0), opened)
+        return let(inner, lambda i: tried(strict(i), "unfenced", rest(i)))
+
+    return let(_stripped(F.coalesce(text, F.lit(""))), lambda bare: F.when(bare == "", none("empty_response")).otherwise(tried(strict(bare), "", unfenced(bare))))
 
 
 def with_json(df: DataFrame, text_col: str = "text", value_col: str = "value", note_col: str = "parse_note") -> DataFrame:
     """df with the recovered value as a variant and the note; a value that nothing recovers is null."""
-
-    @F.pandas_udf("struct<json:string,note:string>")
-    def found(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([recover(t) for t in texts], columns=["json", "note"])
-
-    strict = F.try_parse_json(F.trim(text_col))
-    staged = df.withColumn("_strict", strict)
-    # Of rows that parse, the function sees null and returns at once.
-    staged = staged.withColumn("_found", found(F.when(F.col("_strict").isNull(), F.col(text_col))))
-    return staged.select(
-        *df.columns,
-        F.coalesce(F.col("_strict"), F.try_parse_json(F.col("_found.json"))).alias(value_col),
-        F.when(F.col("_strict").isNotNull(), F.lit("")).otherwise(F.col("_found.note")).alias(note_col),
-    )
+    staged = df.withColumn("_found", recovered(F.col(text_col)))
+    return staged.select(*df.columns, F.col("_found.value").alias(value_col), F.col("_found.note").alias(note_col))
 
 
 def expand_rows(value: Column, columns: list[str]) -> Column:

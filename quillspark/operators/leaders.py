@@ -15,10 +15,11 @@ from __future__ import annotations
 from itertools import combinations
 from math import comb
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashes import hamming
+from ..sources.store import Store
 from ..sources.tables import written
 
 
@@ -44,24 +45,37 @@ def _masks(width: int, most: int) -> Column:
     return F.array(*[F.lit(sum(1 << b for b in some)).cast("long") for d in range(most + 1) for some in combinations(range(width), d)])
 
 
-def near_pairs(hashes: DataFrame, threshold: int, bits: int = 64) -> DataFrame:
-    """Pairs (a, b) of distinct hashes at most threshold bits apart, a < b. hashes has one column h, without repeats.
+def _cell(band: int, part: Column) -> Column:
+    return F.struct(F.lit(band).alias("band"), part.alias("bits"))
+
+
+def cells(hashes: DataFrame, threshold: int, bits: int = 64) -> DataFrame:
+    """The columns of hashes with band and bits: a row for each band of h."""
+    cuts = cuts_for(threshold, bits)
+    own = F.array(*[_cell(k, part) for k, part in enumerate(_parts(F.col("h"), cuts))])
+    return hashes.select("*", F.explode(own).alias("_c")).select(*hashes.columns, "_c.band", "_c.bits")
 
-    Working on distinct hashes, a value shared by a third of all rows counts once. Each pair is
-    taken in the first band in which it is near, so no distinct is needed.
+
+def near_matches(hashes: DataFrame, others: DataFrame, threshold: int, bits: int = 64) -> DataFrame:
+    """a (of hashes, column h without repeats) with the columns of others, cells(), at most threshold bits from it.
+
+    Each pair is taken in the first band in which it is near, so no distinct is needed. Working on distinct
+    hashes, a value shared by a third of all rows counts once.
     """
     cuts = cuts_for(threshold, bits)
     near = threshold // (len(cuts) - 1)
-    cell = lambda k, part: F.struct(F.lit(k).alias("band"), part.alias("bits"))
-    neighbours = lambda k, part: F.transform(_masks(cuts[k + 1] - cuts[k], near), lambda m: cell(k, part.bitwiseXOR(m)))
+    neighbours = lambda k, part: F.transform(_masks(cuts[k + 1] - cuts[k], near), lambda m: _cell(k, part.bitwiseXOR(m)))
     around = [neighbours(k, part) for k, part in enumerate(_parts(F.col("h"), cuts))]
-    own = F.array(*[cell(k, part) for k, part in enumerate(_parts(F.col("h"), cuts))])
-    left = hashes.select(F.col("h").alias("a"), F.explode(F.concat(*around)).alias("c")).select("a", "c.band", "c.bits")
-    right = hashes.select(F.col("h").alias("b"), F.explode(own).alias("c")).select("b", "c.band", "c.bits")
-    pairs = left.join(right, ["band", "bits"]).filter("a < b").filter(hamming(F.col("a"), F.col("b")) <= threshold)
-    apart = _parts(F.col("a").bitwiseXOR(F.col("b")), cuts)
+    sent = hashes.select(F.col("h").alias("a"), F.explode(F.concat(*around)).alias("c")).select("a", "c.band", "c.bits")
+    met = sent.join(others, ["band", "bits"]).filter(hamming(F.col("a"), F.col("h")) <= threshold)
+    apart = _parts(F.col("a").bitwiseXOR(F.col("h")), cuts)
     first = F.coalesce(*[F.when(F.bit_count(part) <= near, F.lit(k)) for k, part in enumerate(apart)])
-    return pairs.filter(F.col("band") == first).select("a", "b")
+    return met.filter(F.col("band") == first).select("a", *[c for c in others.columns if c not in ("band", "bits")])
+
+
+def near_pairs(hashes: DataFrame, threshold: int, bits: int = 64) -> DataFrame:
+    """Pairs (a, b) of distinct hashes at most threshold bits apart, a < b. hashes has one column h, without repeats."""
+    return near_matches(hashes, cells(hashes, threshold, bits), threshold, bits).filter("a < h").select("a", F.col("h").alias("b"))
 
 
 def greedy_leaders(rows: DataFrame, threshold: int, key: str = "seq", digest: str = "sha256", hash_col: str = "h", bits: int = 64) -> DataFrame:
@@ -115,3 +129,33 @@ def exact_duplicates(rows: DataFrame, key: str = "doc_id", digest: str = "sha256
     """
     first = rows.groupBy(digest).agg(F.min(key).alias("_first"))
     return rows.join(first, digest).select(key, F.when(F.col(key) != F.col("_first"), F.col("_first")).alias("duplicate_of"))
+
+
+class LeaderIndex:
+    """Leaders of earlier batches, kept by band, so that a new batch meets them without a second look at old rows.
+
+    Batches come in order: all of a batch is later than the batches before it. Decisions on two
+    batches are those on both at once. Repeating a batch under its name, after a failure too, gives the same
+    decisions and adds nothing twice.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, threshold: int, bits: int = 64, buckets: int = 64):
+        self.threshold, self.bits = threshold, bits
+        self.store = Store(spark, path, ["band", "bits"], "band int, bits long, h long, seq long, digest string", buckets)
+
+    def add(self, rows: DataFrame, batch: str, key: str = "seq", digest: str = "sha256", hash_col: str = "h") -> DataFrame:
+        """greedy_leaders() of a batch after those that came before it. key is a long."""
+        rows = written(rows.select(F.col(key).cast("long").alias("seq"), F.col(digest).alias("digest"), F.col(hash_col).alias("h")), "batch")
+        known = self.store.read(self.store.before(batch))
+        hashes = rows.select("h").distinct()
+        met = near_matches(hashes, known.withColumnRenamed("digest", "lead_digest").withColumnRenamed("seq", "lead"), self.threshold, self.bits)
+        met = written(met.groupBy("a").agg(F.min("lead").alias("near"), F.max(F.when(F.col("a") == F.col("h"), F.struct("lead", "lead_digest"))).alias("own")), "met")
+        # Whoever is near a kept leader leads nothing; the others settle it among themselves.
+        old = rows.join(met, F.col("h") == F.col("a"))
+        exact = F.coalesce(F.col("own.lead_digest") == F.col("digest"), F.lit(False))
+        old = old.select("seq", F.when(exact, "duplicate:exact").otherwise("duplicate:near").alias("reason"), F.when(exact, F.col("own.lead")).otherwise(F.col("near")).alias("duplicate_of"))
+        fresh = rows.join(met, F.col("h") == F.col("a"), "left_anti")
+        found = written(old.unionByName(greedy_leaders(fresh, self.threshold, key="seq", digest="digest", hash_col="h", bits=self.bits)), "decided")
+        leaders = rows.join(found.filter("reason is null").select("seq"), "seq")
+        self.store.append(cells(leaders.select("h", "seq", "digest"), self.threshold, self.bits), batch)
+        return found.withColumnRenamed("seq", key)

@@ -75,7 +75,8 @@ def placeholder_issues(data: Column) -> Column:
     return F.transform(F.filter(fields, lambda e: is_placeholder(e["text"])), lambda e: issue(F.concat(F.lit("placeholder_value:"), e["key"], F.lit("="), quoted(e["text"])), 0.25))
 
 
-def bill_issues(data: Column, as_of: Column) -> Column:
+def read_bill(data: Column) -> Column:
+    """What the rules for bills look at, as one typed value; a view to be kept beside the variant and read instead of it."""
     # Falsy values count as no items; anything else that is no array is a fault.
     falsy = F.to_json(_get(data, "$.line_items")).isin("0", "0.0", '""', "false", "{}")
     not_list = F.when(_list(data, "$.line_items").isNotNull(), False).otherwise((_kind(data, "$.line_items") != "VOID") & ~F.coalesce(falsy, F.lit(False)))
@@ -83,7 +84,7 @@ def bill_issues(data: Column, as_of: Column) -> Column:
         F.filter(_rows(data, "$.line_items"), lambda r: _object(r).isNotNull()),
         lambda r: F.struct(_number(r, "$.qty").alias("qty"), _number(r, "$.rate").alias("rate"), _number(r, "$.amount").alias("amount")),
     )
-    read = F.struct(
+    return F.struct(
         not_list.alias("not_list"),
         lines.alias("lines"),
         _number(data, "$.total_amount").alias("total"),
@@ -95,6 +96,28 @@ def bill_issues(data: Column, as_of: Column) -> Column:
         _shown_value(data, "$.invoice_date").alias("date_shown"),
     )
 
+
+def bill_view(lines: Column, total: Column, tax: Column | None = None, gstin: Column | None = None, vendor: Column | None = None, date: Column | None = None) -> Column:
+    """read_bill() of a bill whose fields are typed columns: lines an array of (qty, rate, amount) structs, total and tax doubles, the rest texts."""
+    text = lambda c: F.lit(None).cast("string") if c is None else c.cast("string")
+    blank = F.array().cast("array<struct<qty:double,rate:double,amount:double>>")
+    dated = F.coalesce(text(date) != "", F.lit(False))
+    return F.struct(
+        F.lit(False).alias("not_list"),
+        F.coalesce(lines, blank).alias("lines"),
+        total.cast("double").alias("total"),
+        F.coalesce(F.lit(0.0) if tax is None else tax.cast("double"), F.lit(0.0)).alias("tax"),
+        text(gstin).alias("gstin"),
+        text(vendor).alias("vendor"),
+        dated.alias("dated"),
+        text(date).alias("date"),
+        text(date).alias("date_shown"),
+    )
+
+
+def bill_rules(read: Column, as_of: Column) -> Column:
+    """The issues of a bill, from read_bill() or bill_view()."""
+
     def sums(x: Column) -> Column:
         amounts = F.filter(F.transform(x["lines"], lambda i: i["amount"]), lambda i: i.isNotNull())
         return F.struct(F.size(amounts).alias("n"), F.aggregate(amounts, F.lit(0.0), lambda a, i: a + i).alias("sum"))
@@ -126,6 +149,10 @@ def bill_issues(data: Column, as_of: Column) -> Column:
     return let(read, issues)
 
 
+def bill_issues(data: Column, as_of: Column) -> Column:
+    return bill_rules(read_bill(data), as_of)
+
+
 def repeat_issue(texts: Column) -> Column:
     """Many rows of which most repeat."""
 
@@ -217,6 +244,16 @@ def validated(records: DataFrame, as_of: str, class_col: str = "doc_class", data
     return records.withColumn(out_col, fold(issues))
 
 
+def validated_bills(bills: DataFrame, as_of: str, view_col: str = "bill", out_col: str = "validation") -> DataFrame:
+    """validated() of bills with a typed view (read_bill() or bill_view()): columns are read and no variant is walked.
+
+    The placeholder rule looks at the view's texts.
+    """
+    x, day = F.col(view_col), F.lit(as_of).cast("date")
+    told = [F.when(is_placeholder(x[f]), issue(F.concat(F.lit(f"placeholder_value:{name}="), quoted(x[f])), 0.25)) for f, name in (("date", "invoice_date"), ("gstin", "vendor_gstin"), ("vendor", "vendor_name"))]
+    return bills.withColumn(out_col, fold(F.concat(some(*told), bill_rules(x, day))))
+
+
 def effective_confidence(confidence: Column, severity: Column) -> Column:
     """Confidence, at most 1, less the severity up to 0.6; not below 0."""
     return F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), confidence) - F.least(severity, F.lit(0.6))), 3)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import number_from_variant, numbers_match
 from ..functions.text import norm_code, norm_text, texts_match
+from .rollups import written_with
 
 
 def _get(data: Column, path: str) -> Column:
@@ -106,35 +107,55 @@ def field_scores(judged: DataFrame, field_gold: DataFrame) -> DataFrame:
     return scored.groupBy("doc_id").agg(F.sum("correct").alias("correct"), F.sum("total").alias("total"))
 
 
+#: What the lists of listed() hold: by verdict, and whether the gold row is a duplicate.
+LISTS = {
+    "hallucinated_docs": lambda v, dup: v == "HALLUCINATED",
+    "dropped_real_documents": lambda v, dup: v == "DROPPED_REAL_DOCUMENT",
+    "misrouted": lambda v, dup: v == "MISROUTED",
+    "dedup_detected": lambda v, dup: dup & (v == "correctly_refused"),
+    "dedup_missed": lambda v, dup: dup & v.isin("HALLUCINATED", "not_refused_but_empty"),
+}
+
+
+def _counters() -> dict[str, Column]:
+    v = F.col("verdict")
+    return {
+        "routing_correct": F.count_if(v == "routed_ok"),
+        "routing_total": F.count_if(v.isin("DROPPED_REAL_DOCUMENT", "routed_ok", "MISROUTED")),
+        "refusal_correct": F.count_if(v == "correctly_refused"),
+        "refusal_total": F.count_if(v.isin("correctly_refused", "HALLUCINATED", "not_refused_but_empty")),
+        "hallucination_count": F.count_if(v == "HALLUCINATED"),
+    }
+
+
+def _share(a: str, b: str) -> Column:
+    return F.round(F.try_divide(F.col(a).cast("double"), F.col(b)), 4)
+
+
+def listed(judged: DataFrame) -> DataFrame:
+    """list and doc_id: one row for each document on one of LISTS, as a table of any length. judged is verdicts()' output."""
+    dup = F.col("duplicate_of").isNotNull() if "duplicate_of" in judged.columns else F.lit(False)
+    on = F.array_compact(F.array(*[F.when(cond(F.col("verdict"), dup), F.lit(name)) for name, cond in LISTS.items()]))
+    return judged.select(F.explode(on).alias("list"), "doc_id")
+
+
 def score(gold: DataFrame, results: DataFrame, field_gold: DataFrame | None = None, order_col: str | None = None) -> DataFrame:
-    """One row of counters, ratios to four places (null of none) and lists of ids.
+    """One row of counters and ratios to four places (null of none); listed() gives the documents behind them.
 
     Routing, refusal and field accuracy stay apart, and hallucinations are listed: an average would hide them.
     """
     judged = verdicts(gold, results, order_col)
-    v = F.col("verdict")
-    has = lambda *names: v.isin(*names)
-    ids = lambda cond: F.sort_array(F.collect_list(F.when(cond, F.col("doc_id"))))
-    real, bad = has("DROPPED_REAL_DOCUMENT", "routed_ok", "MISROUTED"), has("correctly_refused", "HALLUCINATED", "not_refused_but_empty")
-    dup = F.col("duplicate_of").isNotNull() if "duplicate_of" in gold.columns else F.lit(False)
-    out = judged.agg(
-        F.count_if(v == "routed_ok").alias("routing_correct"),
-        F.count_if(real).alias("routing_total"),
-        F.count_if(v == "correctly_refused").alias("refusal_correct"),
-        F.count_if(bad).alias("refusal_total"),
-        F.count_if(v == "HALLUCINATED").alias("hallucination_count"),
-        ids(v == "HALLUCINATED").alias("hallucinated_docs"),
-        ids(v == "DROPPED_REAL_DOCUMENT").alias("dropped_real_documents"),
-        ids(v == "MISROUTED").alias("misrouted"),
-        ids(dup & (v == "correctly_refused")).alias("dedup_detected"),
-        ids(dup & has("HALLUCINATED", "not_refused_but_empty")).alias("dedup_missed"),
-    )
-    share = lambda a, b: F.round(F.try_divide(F.col(a).cast("double"), F.col(b)), 4)
-    out = out.withColumns({"routing_accuracy": share("routing_correct", "routing_total"), "refusal_accuracy": share("refusal_correct", "refusal_total"), "k": F.lit(1)})
+    out = judged.agg(*[c.alias(name) for name, c in _counters().items()])
+    out = out.withColumns({"routing_accuracy": _share("routing_correct", "routing_total"), "refusal_accuracy": _share("refusal_correct", "refusal_total"), "k": F.lit(1)})
     if field_gold is None:
         return out.drop("k")
     fields = field_scores(judged, field_gold).agg(F.coalesce(F.sum("correct"), F.lit(0)).alias("field_correct"), F.coalesce(F.sum("total"), F.lit(0)).alias("field_total"), F.lit(1).alias("k"))
-    return out.join(fields, "k").withColumn("field_accuracy", share("field_correct", "field_total")).drop("k")
+    return out.join(fields, "k").withColumn("field_accuracy", _share("field_correct", "field_total")).drop("k")
+
+
+def score_while_written(gold: DataFrame, results: DataFrame, path: str, order_col: str | None = None) -> dict[str, int]:
+    """Write verdicts() to path; the counters of score() come from the same pass."""
+    return written_with(verdicts(gold, results, order_col).drop("data"), path, _counters())
 
 
 def set_overlap(a: Column, b: Column) -> Column:

@@ -21,9 +21,6 @@ from .operators import leaders, rollups, rules, scoring
 from .plans import classes, runs
 from .sources import cache, files
 
-#: Words of a dimension up to which it is one broadcast row.
-MOST_KNOWN = 50_000
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -236,9 +233,10 @@ SELECT o_orderkey, COALESCE(n, 0) > 0 AND line_sum > 0 AND abs(line_sum - total)
 def bill_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("line_sum"))
     bills = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    item = F.when(F.col("line_sum").isNotNull(), F.array(F.struct(F.col("line_sum").cast("double").alias("amount")))).otherwise(F.array().cast("array<struct<amount:double>>"))
-    data = F.parse_json(F.to_json(F.struct(F.col("o_totalprice").alias("total_amount"), F.lit("seller").alias("vendor_name"), item.alias("line_items"))))
-    out = rules.validated(bills.select("o_orderkey", F.lit("vendor_bill").alias("doc_class"), data.alias("data")), "2024-01-15")
+    none = F.lit(None).cast("double")
+    one = F.when(F.col("line_sum").isNotNull(), F.array(F.struct(none.alias("qty"), none.alias("rate"), F.col("line_sum").cast("double").alias("amount"))))
+    view = rules.bill_view(one, F.col("o_totalprice"), vendor=F.lit("seller"))
+    out = rules.validated_bills(bills.select("o_orderkey", view.alias("bill")), "2024-01-15")
     has = lambda prefix: F.exists("validation.issues", lambda i: i.startswith(prefix))
     return out.select("o_orderkey", has("total_mismatch").alias("total_mismatch"), has("non_positive_total").alias("non_positive"), has("implausible_total").alias("implausible"))
 
@@ -305,14 +303,10 @@ d AS (SELECT doc_id, list_distinct(list_filter(string_split(trim(regexp_replace(
 SELECT doc_id, len(list_filter(ws, lambda w: list_contains(known, w))) AS n_hit, len(list_filter(ws, lambda w: NOT list_contains(known, w))) AS n_missing FROM d, b"""
 )
 def set_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of documents against those of the benchmark: per row where the known words are few, else joined by word."""
+    """Words of documents against those of the benchmark, joined by word and added up per document where they were read."""
     known = table(spark, sf_dir, "benchmark").select(F.explode(scoring.words(F.col("text"))).alias("w")).distinct()
-    docs = table(spark, sf_dir, "documents").select("doc_id", scoring.words(F.col("text")).alias("ws"))
-    if known.count() <= MOST_KNOWN:
-        few = known.agg(F.collect_list("w").alias("known"), F.lit(1).alias("k"))
-        both = docs.withColumn("k", F.lit(1)).join(F.broadcast(few), "k").select("doc_id", scoring.set_overlap(F.col("ws"), F.col("known")).alias("o"))
-        return both.select("doc_id", F.size("o.hit").cast("long").alias("n_hit"), F.size("o.missing").cast("long").alias("n_missing"))
-    rows = docs.select("doc_id", F.explode_outer(F.array_distinct("ws")).alias("w")).join(known.withColumn("hit", F.lit(1)), "w", "left")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.array_distinct(scoring.words(F.col("text"))).alias("ws"))
+    rows = docs.select("doc_id", F.explode_outer("ws").alias("w")).join(known.withColumn("hit", F.lit(1)), "w", "left")
     return rows.groupBy("doc_id").agg(F.count("hit").alias("n_hit"), (F.count("w") - F.count("hit")).alias("n_missing"))
 
 
@@ -343,7 +337,28 @@ def union_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.select("doc_id", "status", "doc_class").unionByName(rest)
 
 
-@query()
+# The same fold over all characters in SQL; a state is a struct of the shape of the elements.
+REPAIR_SQL = """m AS (SELECT conv_id, turn, CAST(to_json({'class': role, 'note': text, 'rows': [turn]}) AS VARCHAR) AS body FROM conversations),
+t AS (SELECT conv_id, turn, CASE turn WHEN 0 THEN body WHEN 1 THEN '```json' || chr(10) || body || chr(10) || '```' WHEN 2 THEN 'Here: ' || body || ' Done.' ELSE substr(body, 1, 60) END AS bare FROM m),
+f AS (SELECT *, CASE WHEN json_valid(bare) THEN '' WHEN regexp_matches(bare, '(?s)```.*```') AND json_valid(trim(regexp_extract(bare, '(?s)```(?:json)?\\s*(.*?)```', 1), chr(10))) THEN 'unfenced' END AS early,
+  trim(regexp_extract(bare, '(?s)```(?:json)?\\s*(.*?)```', 1), chr(10)) AS inner_text, regexp_extract(bare, '(?s)[{\\[].*') AS rest FROM t),
+s AS (SELECT *, list_reduce(list_prepend({'c': '', 'k': 0, 'stack': '', 'inside': FALSE, 'skip': FALSE, 'ended': 0}, list_transform(range(1, length(rest) + 1), lambda k: {'c': rest[k], 'k': k, 'stack': '', 'inside': FALSE, 'skip': FALSE, 'ended': 0})),
+  lambda a, x: CASE WHEN a.ended > 0 THEN a
+    WHEN a.skip THEN {'c': '', 'k': 0, 'stack': a.stack, 'inside': a.inside, 'skip': FALSE, 'ended': 0}
+    WHEN a.inside AND x.c = chr(92) THEN {'c': '', 'k': 0, 'stack': a.stack, 'inside': TRUE, 'skip': TRUE, 'ended': 0}
+    WHEN x.c = '"' THEN {'c': '', 'k': 0, 'stack': a.stack, 'inside': NOT a.inside, 'skip': FALSE, 'ended': 0}
+    WHEN a.inside THEN a
+    WHEN x.c IN ('{', '[') THEN {'c': '', 'k': 0, 'stack': CASE x.c WHEN '{' THEN '}' ELSE ']' END || a.stack, 'inside': FALSE, 'skip': FALSE, 'ended': 0}
+    WHEN a.stack <> '' AND x.c = a.stack[1] THEN {'c': '', 'k': 0, 'stack': substr(a.stack, 2), 'inside': FALSE, 'skip': FALSE, 'ended': CASE WHEN length(a.stack) = 1 THEN x.k ELSE 0 END}
+    ELSE a END) AS z FROM f),
+c AS (SELECT *, CASE WHEN z.ended > 0 THEN substr(rest, 1, z.ended) ELSE rtrim(rtrim(rest || CASE WHEN z.inside THEN '"' ELSE '' END), ',') || z.stack END AS candidate FROM s)"""
+
+
+@query(
+    f"""WITH {REPAIR_SQL}
+SELECT conv_id, turn, CAST(CASE WHEN early = '' THEN json(bare) WHEN early = 'unfenced' THEN json(inner_text) WHEN rest <> '' AND json_valid(candidate) THEN json(candidate) END AS VARCHAR) AS value,
+  CASE WHEN early IS NOT NULL THEN early WHEN rest = '' THEN 'no_json_object' WHEN NOT json_valid(candidate) THEN 'unparseable:no_valid_json' WHEN z.ended > 0 THEN 'trimmed' ELSE 'repaired_truncated' END AS parse_note FROM c"""
+)
 def json_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns as model output: bare, fenced, with prose around, and cut off."""
     body = F.to_json(F.struct(F.col("role").alias("class"), F.col("text").alias("note"), F.array("turn").alias("rows")))

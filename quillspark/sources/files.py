@@ -5,20 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.numbering import numbered
+
 # Suffixes of the inbox; of these, batch requests leave out the first.
 SUFFIXES = ["heic", "jpg", "jpeg", "png", "webp", "bmp", "gif"]
 BATCH_SUFFIXES = SUFFIXES[1:]
 LOW_SHARPNESS, DARK, FEW_MEGAPIXELS = 150.0, 90.0, 0.15
 
 
-def scan(spark: SparkSession, path: str, limit: int = 0, suffixes: list[str] | None = None) -> DataFrame:
-    """doc_id (file stem), path, length and content of the files with a known suffix, the first `limit` by path (0: all)."""
+#: Files whose numbers are broadcast, of about 100 bytes each; beyond, contents are shuffled by path once.
+FEW_FILES = 1_000_000
+
+
+def scan(spark: SparkSession, path: str, limit: int = 0, suffixes: list[str] | None = None, with_seq: bool = False) -> DataFrame:
+    """doc_id (file stem), path, length and content of the files with a known suffix, the first `limit` by path (0: all).
+
+    with_seq adds seq, the place of a file among these by path, from 0 and without gaps. Names alone
+    are sorted for it, in range partitions; no content is read.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     known = "|".join(suffixes or SUFFIXES)
     files = files.filter(F.lower("path").rlike(f"\\.({known})$"))
     if limit:
         files = files.orderBy("path").limit(limit)
-    return files.select(F.regexp_extract("path", "([^/]*)\\.[^./]*$", 1).alias("doc_id"), "path", "length", "content")
+    doc_id = F.regexp_extract("path", "([^/]*)\\.[^./]*$", 1).alias("doc_id")
+    if not with_seq:
+        return files.select(doc_id, "path", "length", "content")
+    names = numbered(files.select("path"), "path")
+    names = F.broadcast(names) if names.count() <= FEW_FILES else names
+    return files.join(names, "path").select(doc_id, "path", "seq", "length", "content")
 
 
 def sniff(content: Column) -> Column:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 LEDGER = (
     "run string, doc_id string, stage string, model string, input_tokens bigint, output_tokens bigint, cache_write_tokens bigint, "
@@ -20,12 +23,31 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Rows of a ledger; of a missing file none. Blank lines and columns of no use are skipped."""
     if not _exists(spark, path):
         return spark.createDataFrame([], LEDGER)
-    return spark.read.schema(LEDGER).json(path).filter("doc_id is not null or stage is not null")
+    return spark.read.schema(LEDGER).option("recursiveFileLookup", "true").json(path).filter("doc_id is not null or stage is not null")
+
+
+def append_ledger(rows: DataFrame, path: str, batch: str | None = None) -> None:
+    """Append calls, latency to three places and kilobytes to one.
+
+    With the name of a batch the rows are in the ledger once, however often a task, a job or a whole run
+    is repeated: a batch has a folder of its own, what tasks wrote before is thrown away when they are
+    repeated, and a batch that comes again replaces itself. Without a name each call appends.
+    """
+    rounded = rows.withColumns({"latency_s": F.round("latency_s", 3), "image_kb": F.round("image_kb", 1)})
+    if batch is None:
+        rounded.write.mode("append").json(path)
+    else:
+        rounded.write.mode("overwrite").json(f"{path}/batch={quote(batch, safe='')}")
+
+
+def append_stream(calls: DataFrame, path: str, checkpoint: str, run: str):
+    """A streaming query that appends calls (columns of LEDGER) as they come, each micro-batch once, also when it is restarted."""
+    columns = [f.name for f in StructType.fromDDL(LEDGER).fields]
 
+    def append(rows: DataFrame, number: int) -> None:
+        append_ledger(rows.select(columns), path, f"{run}-{number}")
 
-def append_ledger(rows: DataFrame, path: str) -> None:
-    """Append calls, latency to three places and kilobytes to one."""
-    rows.withColumns({"latency_s": F.round("latency_s", 3), "image_kb": F.round("image_kb", 1)}).write.mode("append").json(path)
+    return calls.writeStream.option("checkpointLocation", checkpoint).foreachBatch(append)
 
 
 def read_routing_gold(spark: SparkSession, path: str) -> DataFrame:

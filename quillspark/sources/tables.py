@@ -28,10 +28,16 @@ def _delete(spark: SparkSession, path: str) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, which goes when the driver ends."""
+    to = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_delete, spark, to)
+    return to
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df, computed once and read from Parquet: lineage is cut, and lost executors lose nothing. The table goes when the driver ends."""
     spark = df.sparkSession
-    to = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    atexit.register(_delete, spark, to)
+    to = scratch_path(spark, name)
     df.write.parquet(to)
     return spark.read.schema(df.schema).parquet(to)
