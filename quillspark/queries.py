@@ -339,7 +339,7 @@ def union_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # The same fold over all characters in SQL; a state is a struct of the shape of the elements.
 REPAIR_SQL = """m AS (SELECT conv_id, turn, CAST(to_json({'class': role, 'note': text, 'rows': [turn]}) AS VARCHAR) AS body FROM conversations),
-t AS (SELECT conv_id, turn, CASE turn WHEN 0 THEN body WHEN 1 THEN '```json' || chr(10) || body || chr(10) || '```' WHEN 2 THEN 'Here: ' || body || ' Done.' ELSE substr(body, 1, 60) END AS bare FROM m),
+t AS (SELECT conv_id, turn, CASE turn WHEN 0 THEN body WHEN 1 THEN '```json' || chr(10) || body || chr(10) || '```' WHEN 2 THEN 'Here: ' || body || ' Done.' ELSE trim(substr(body, 1, 60)) END AS bare FROM m),
 f AS (SELECT *, CASE WHEN json_valid(bare) THEN '' WHEN regexp_matches(bare, '(?s)```.*```') AND json_valid(trim(regexp_extract(bare, '(?s)```(?:json)?\\s*(.*?)```', 1), chr(10))) THEN 'unfenced' END AS early,
   trim(regexp_extract(bare, '(?s)```(?:json)?\\s*(.*?)```', 1), chr(10)) AS inner_text, regexp_extract(bare, '(?s)[{\\[].*') AS rest FROM t),
 s AS (SELECT *, list_reduce(list_prepend({'c': '', 'k': 0, 'stack': '', 'inside': FALSE, 'skip': FALSE, 'ended': 0}, list_transform(range(1, length(rest) + 1), lambda k: {'c': rest[k], 'k': k, 'stack': '', 'inside': FALSE, 'skip': FALSE, 'ended': 0})),
