@@ -133,10 +133,15 @@ def _bands(runs: DataFrame) -> DataFrame:
 
 
 def _whole(runs: DataFrame, coverage: float) -> DataFrame:
-    """Runs of bands in which at least `coverage` of the item's windows are found, and n_matched, how many."""
-    band = Window.partitionBy(*PAIR, "band")
-    found = runs.withColumn("n_matched", F.size(F.array_distinct(F.flatten(F.collect_list("qs").over(band)))))
-    return found.filter(F.col("n_matched") >= F.ceil(coverage * F.col("n_windows")))
+    """Runs of bands in which at least `coverage` of the item's windows are found, and n_matched, how many.
+
+    A band is counted once and its count joined back: a text that repeats an item has very many runs in a band.
+    """
+    cells = runs.select(*PAIR, "n_windows", "band", F.explode("qs").alias("q"))
+    found = cells.groupBy(*PAIR, "n_windows", "band").agg(F.count_distinct("q").alias("n_matched")).filter(F.col("n_matched") >= F.ceil(coverage * F.col("n_windows")))
+    found = found.select(*(F.col(c).alias(f"_{c}") for c in [*PAIR, "band"]), "n_matched")
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("item_id").eqNullSafe(F.col("_item_id")) & (F.col("text_hash") == F.col("_text_hash")) & (F.col("band") == F.col("_band"))
+    return runs.join(found, same).select(*runs.columns, "n_matched")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, coverage: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", with_hash: bool = False) -> DataFrame:
@@ -193,14 +198,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, coverage:
     runs_of = runs.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("item_id", "n", "n_windows", "shift", "qs")).alias("runs"))
     ours = split.select(F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"), F.col("raw").alias("ours"))
     again = runs_of.join(ours, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")))
-    lo, hi = F.element_at("qs", 1), F.element_at("qs", -1) + F.col("n") - 1
-    both = (
-        again.select("doc_id", "text_hash", "ours", F.explode("runs").alias("r"))
-        .select("doc_id", "text_hash", "r.*", "ours")
-        .withColumn("lo", lo)
-        .withColumn("ours", F.slice("ours", F.col("lo") + F.col("shift") + 1, hi - F.col("lo") + 1))
-        .join(items, "item_id")
-    )
+    # Of our words, each run takes its own before runs become rows: the text goes to none of them.
+    lo, hi = (lambda r: F.element_at(r["qs"], 1)), (lambda r: F.element_at(r["qs"], -1) + r["n"] - 1)
+    cut = lambda r: F.transform(F.sequence(lo(r) + r["shift"], hi(r) + r["shift"]), lambda k: F.get("ours", k))
+    own_runs = F.transform("runs", lambda r: F.struct(*(r[c] for c in ("item_id", "n", "n_windows", "shift", "qs")), lo(r).alias("lo"), cut(r).alias("ours")))
+    both = again.select("doc_id", "text_hash", F.explode(own_runs).alias("r")).select("doc_id", "text_hash", "r.*").join(items, "item_id")
 
     def pairs(qs: Column) -> Column:
         """The words that windows at qs cover, on both sides."""

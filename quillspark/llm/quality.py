@@ -49,15 +49,20 @@ def _repeated(w: Column) -> Column:
         )
 
     def sorted_cells(cells: Column) -> Column:
-        key = lambda k: F.get(cells, k)["h"]
+        def same(j: Column, k: Column) -> Column:
+            """Hashes bring windows together; that they are the same is told by their words."""
+            x, y = F.get(cells, j), F.get(cells, k)
+            return (x["h"] == y["h"]) & (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
+
         again = F.filter(
             F.sequence(F.lit(0), F.size(cells) - 1),
-            lambda k: F.coalesce((k > 0) & (key(F.greatest(k - 1, F.lit(0))) == key(k)), F.lit(False)) | F.coalesce(key(k + 1) == key(k), F.lit(False)),
+            lambda k: F.coalesce((k > 0) & same(F.greatest(k - 1, F.lit(0)), k), F.lit(False)) | F.coalesce(same(k + 1, k), F.lit(False)),
         )
         return let(F.sort_array(F.transform(again, lambda k: F.get(cells, k)["i"])), lambda p: F.when(F.size(p) == 0, zero).otherwise(covered(p)))
 
     def windows(g: Column) -> Column:
-        cells = F.sort_array(F.transform(g, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        word = lambda i, name: F.get(w, i).alias(name)
+        cells = F.sort_array(F.transform(g, lambda h, i: F.struct(h.alias("h"), word(i, "a"), word(i + 1, "b"), word(i + 2, "c"), i.alias("i"))))
         return F.when(F.size(F.array_distinct(g)) == F.size(g), zero).otherwise(let(cells, sorted_cells))
 
     hashes = F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))

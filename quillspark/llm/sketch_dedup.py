@@ -21,6 +21,7 @@ share a passage alone are parted by their sketches and sent nowhere.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -31,16 +32,17 @@ from pyspark.sql import functions as F
 from .common import Scratch, few, parts_for, tidied
 from .components import components
 from .repeats import text_classes
-from .rolling import LENGTH_SALT, Prefixes, mix, words
+from .rolling import LENGTH_SALT, Prefixes, mix
 
 U = np.uint64
 SIZE, BANDS, ROWS = 200, 40, 5
 _RNG = np.random.default_rng(77)
 ROUND_SALTS = _RNG.integers(0, 1 << 64, size=2 * SIZE, dtype=np.uint64)
 BAND_SALTS = _RNG.integers(0, 1 << 64, size=BANDS, dtype=np.uint64)
-SET_SALTS = _RNG.integers(0, 1 << 64, size=2, dtype=np.uint64)
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 EMPTY = U((1 << 64) - 1)
+#: Words whose hashes a task remembers.
+KNOWN_WORDS = 500_000
 
 #: Members compared with one set in one task; members of a bucket that one random member is taken for.
 PER_TASK, PIVOT_ROWS = 256, 512
@@ -52,11 +54,30 @@ LEAST_AGREE = 130
 LEAST_BLOCK, BLOCK_ROWS, BLOCKS, TEXT_ROWS, TEXT_BYTES = 512, 4096, 32, 2048, 8 << 20
 
 
-def shingles(bodies: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
+class WordHashes(dict):
+    """64 bits of the keyed BLAKE2b of words, each worked out once; forgotten when there are too many."""
+
+    def __init__(self, key: bytes = b""):
+        super().__init__()
+        self.key = key
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        self[word] = h = int.from_bytes(blake2b(word, digest_size=8, key=self.key).digest(), "little")
+        return h
+
+    def of(self, body: bytes) -> np.ndarray:
+        """Hashes of the words of a text, A-Z lower-cased."""
+        found = body.translate(LOWER).split()
+        return np.fromiter(map(self.__getitem__, found), dtype=np.uint64, count=len(found))
+
+
+def shingles(bodies: list[bytes], n: int, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     """(ends, hashes): the distinct n-word shingles of each text, sorted within it; ends is cumulative."""
-    sizes = np.array([len(b) + 1 for b in bodies])
-    starts, symbols = words(b"\n".join(bodies).translate(LOWER))
-    counts = np.diff(np.r_[0, np.searchsorted(starts, np.cumsum(sizes))])
+    each = [hashes.of(b) for b in bodies]
+    counts = np.array([len(x) for x in each], dtype=np.int64)
+    symbols = np.concatenate([*each, np.empty(0, dtype=np.uint64)])
     base = np.cumsum(counts) - counts
     have = np.where(counts >= n, counts - n + 1, (counts > 0).astype(np.int64))
     doc = np.repeat(np.arange(len(bodies)), have)
@@ -136,20 +157,17 @@ def _slices(batch: pa.RecordBatch, size: int) -> Iterator[tuple[pa.RecordBatch,
             start, held, total = k + 1, [], 0
 
 
-def _sign(n_words: int):
+def _sign(n_words: int, key: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes(key)
         for batch in batches:
             for part, bodies in _slices(batch, 1 << 20):
-                ends, h = shingles(bodies, n_words)
+                ends, h = shingles(bodies, n_words, hashes)
                 n = np.diff(np.r_[0, ends])
-                sums = []
-                for salt in SET_SALTS:
-                    running = np.r_[U(0), np.cumsum(mix(h ^ salt))]
-                    sums.append(running[ends] - running[ends - n])
                 sketch = sketches(ends, h)
-                columns = [part.column("num"), pa.array(n.astype(np.int64)), pa.array(_signed(sums[0])), pa.array(_signed(sums[1])), pa.array([r.tobytes() for r in bands(sketch)], pa.binary())]
+                columns = [part.column("num"), pa.array(n.astype(np.int64)), pa.array([r.tobytes() for r in bands(sketch)], pa.binary())]
                 columns += [pa.array([r.tobytes() for r in marks(sketch)], pa.binary()), pa.array([len(b) for b in bodies], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=["num", "n_shingles", "s1", "s2", "bands", "marks", "size"])
+                yield pa.RecordBatch.from_arrays(columns, names=["num", "n_shingles", "bands", "marks", "size"])
 
     return run
 
@@ -212,22 +230,23 @@ def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _messages(keys, roles, roots, nums, bodies)
 
 
-def _verify(n_words: int, least: int):
+def _verify(n_words: int, least: int, key: bytes):
     """Links among the pairs (role 0, role 1) of each key, on full sets: of hashes, then of the shingles themselves."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
+        hashes = WordHashes(key)
         frame = frame.sort_values(["key", "role"], kind="stable")
-        key, role, num, bodies = frame["key"].to_numpy(), frame["role"].to_numpy(), frame["num"].to_numpy(), frame["body"].tolist()
+        keys, role, num, bodies = frame["key"].to_numpy(), frame["role"].to_numpy(), frame["num"].to_numpy(), frame["body"].tolist()
         a, b = [], []
         pivot, pivot_num, at, pivot_set = None, 0, None, None
         for start in range(0, len(bodies), 256):
-            ends, h = shingles(bodies[start : start + 256], n_words)
+            ends, h = shingles(bodies[start : start + 256], n_words, hashes)
             for k in range(len(ends)):
                 own = h[ends[k - 1] if k else 0 : ends[k]]
                 i = start + k
                 if role[i] == 0:
-                    pivot, pivot_num, at, pivot_set, pivot_body = own.copy(), num[i], key[i], None, bodies[i]
-                elif key[i] == at and len(own):
+                    pivot, pivot_num, at, pivot_set, pivot_body = own.copy(), num[i], keys[i], None, bodies[i]
+                elif keys[i] == at and len(own):
                     where = np.searchsorted(pivot, own)
                     where[where == len(pivot)] = 0
                     shared = int((pivot[where] == own).sum())
@@ -250,13 +269,13 @@ def _sent(wanted: DataFrame, reps: DataFrame, ids: DataFrame) -> DataFrame:
     return rows.mapInArrow(_send, "key bigint, role int, root bigint, num bigint, body binary")
 
 
-def _verified(pairs: DataFrame, reps: DataFrame, ids: DataFrame, n_words: int, least: int, parts: int) -> DataFrame:
+def _verified(pairs: DataFrame, reps: DataFrame, ids: DataFrame, n_words: int, least: int, key: bytes, parts: int) -> DataFrame:
     """The pairs (num, pivot) that link. A pivot with many partners is dealt out over many keys."""
     many = pairs.groupBy("pivot").agg(F.ceil(F.count("*") / PER_TASK).alias("salts"))
     keyed = pairs.join(many, "pivot").withColumn("key", F.xxhash64("pivot", F.pmod(F.xxhash64("num"), F.col("salts"))))
     wanted = keyed.select("num", "key", F.lit(1).alias("role")).unionByName(keyed.select(F.col("pivot").alias("num"), "key", F.lit(0).alias("role")).distinct())
     wanted = wanted.groupBy("num").agg(F.collect_list(F.struct("key", "role", F.lit(0).cast("long").alias("root"))).alias("wanted"))
-    return _sent(wanted, reps, ids).groupBy(F.pmod(F.col("key"), F.lit(4 * parts)).alias("part")).applyInPandas(_verify(n_words, least), "a bigint, b bigint")
+    return _sent(wanted, reps, ids).groupBy(F.pmod(F.col("key"), F.lit(4 * parts)).alias("part")).applyInPandas(_verify(n_words, least, key), "a bigint, b bigint")
 
 
 def _candidates(frame: pd.DataFrame) -> pd.DataFrame:
@@ -275,7 +294,7 @@ def _candidates(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"key": key[found], "num": num[found]})
 
 
-def _meet(n_words: int, least: int):
+def _meet(n_words: int, least: int, key: bytes):
     """Links between members of different components in one or two blocks of a crowd, a spanning set of them.
 
     Of two blocks, only pairs across count, as each block also meets itself. Blocks bound what is
@@ -283,6 +302,8 @@ def _meet(n_words: int, least: int):
     that links found before have joined.
     """
 
+    hashes = WordHashes(key)
+
     def one(root, num, block, bodies, out):
         members: dict[int, list[int]] = {}
         for k, r in enumerate(root.tolist()):
@@ -291,7 +312,7 @@ def _meet(n_words: int, least: int):
             return
         sets, some = [], []
         for start in range(0, len(bodies), 256):
-            ends, h = shingles(bodies[start : start + 256], n_words)
+            ends, h = shingles(bodies[start : start + 256], n_words, hashes)
             sets += np.split(h, ends[:-1])
             some.append(marks(sketches(ends, h)))
         cells, label = np.concatenate(some), root.copy()
@@ -337,12 +358,12 @@ def _open(cells: DataFrame, labels: DataFrame, rows: int) -> tuple[DataFrame, Da
     return labelled.join(few(largest.select("bucket", "n"), rows), "bucket"), largest.select("bucket", "main")
 
 
-def _linked(pairs, labels, cells, reps, ids, n_words, similarity, parts, scratch, name, n_pairs, n_labels):
+def _linked(pairs, labels, cells, reps, ids, n_words, similarity, key, parts, scratch, name, n_pairs, n_labels):
     """(labels after the pairs that link; what is left: rows of open buckets, and pairs that an exact pass would compare).
 
     Components are found on the graph of roots, which shrinks from round to round.
     """
-    return _joined(_verified(pairs, reps, ids, n_words, similarity, parts), labels, cells, scratch, name, n_pairs, n_labels)
+    return _joined(_verified(pairs, reps, ids, n_words, similarity, key, parts), labels, cells, scratch, name, n_pairs, n_labels)
 
 
 def _joined(links, labels, cells, scratch, name, n_links, n_labels):
@@ -372,19 +393,20 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, similarity: int = 80, id_
     scratch = Scratch(spark, "sketch-dedup")
     members, reps = text_classes(docs, scratch, id_col, text_col)
     parts = parts_for(spark, scratch.size("classes"))
-    n = reps.agg(F.count("*").alias("classes"), F.coalesce(F.sum("copies"), F.lit(0)).alias("rows")).first()
+    n = reps.agg(F.count("*").alias("classes"), F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"), F.expr("bit_xor(xxhash64(1, cls))").alias("x"), F.expr("bit_xor(xxhash64(2, cls))").alias("y")).first()
+    # Words are hashed under a key that all texts together make, so no word can be made to hash like another.
+    key = ((n.x or 0) % (1 << 64)).to_bytes(8, "little") + ((n.y or 0) % (1 << 64)).to_bytes(8, "little")
     ids = reps.select("num", "cls")
-    signs = scratch.write(reps.select("num", "body").mapInArrow(tidied(_sign(n_words)), "num bigint, n_shingles bigint, s1 bigint, s2 bigint, bands binary, marks binary, size bigint"), "signs")
+    signs = scratch.write(reps.select("num", "body").mapInArrow(tidied(_sign(n_words, key)), "num bigint, n_shingles bigint, bands binary, marks binary, size bigint"), "signs")
 
-    # Equal sets are one from here on.
-    sets = scratch.write(signs.filter("n_shingles > 0").groupBy("n_shingles", "s1", "s2").agg(F.min("num").alias("root")), "sets", rows=n.classes)
-    dealt = signs.join(sets.select(F.col("root").alias("num")), "num", "left_semi").select("num", "bands").mapInArrow(_deal(parts), "part int, n int, data binary")
+    # Equal sets share all bands and are compared like others: nothing is linked by hashes alone.
+    dealt = signs.filter("n_shingles > 0").select("num", "bands").mapInArrow(_deal(parts), "part int, n int, data binary")
     live = scratch.write(dealt.groupBy("part").applyInPandas(_buckets, "bucket bigint, num bigint, pivot bigint"), "live", rows=BANDS * n.classes)
 
     first = scratch.write(live.filter("num <> pivot").groupBy("num").agg(F.min("pivot").alias("pivot")), "tried", rows=n.classes)
     cells = live.select("bucket", "num")
     labels = scratch.write(cells.select("num").distinct().withColumn("root", F.col("num")), "labels", rows=n.classes)
-    labels, state = _linked(first, labels, cells, reps, ids, n_words, similarity, parts, scratch, "first", n.classes, n.classes)
+    labels, state = _linked(first, labels, cells, reps, ids, n_words, similarity, key, parts, scratch, "first", n.classes, n.classes)
     tried = first
 
     # Members of buckets that are not yet one component, against a random member each, while that
@@ -397,7 +419,7 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, similarity: int = 80, id_
         pivots = dealt_members.groupBy("bucket", "salt").agg(F.min_by(F.struct(F.col("num").alias("pivot"), F.col("root").alias("pivot_root")), F.xxhash64("num", F.lit(-k))).alias("p"))
         pairs = dealt_members.join(pivots, ["bucket", "salt"]).filter("root <> p.pivot_root").select(F.greatest("num", "p.pivot").alias("num"), F.least("num", "p.pivot").alias("pivot")).distinct()
         pairs = scratch.write(pairs.join(tried, ["num", "pivot"], "left_anti"), f"round-{k}", rows=state.rows)
-        labels, state = _linked(pairs, labels, cells, reps, ids, n_words, similarity, parts, scratch, f"round-{k}", state.rows, n.classes)
+        labels, state = _linked(pairs, labels, cells, reps, ids, n_words, similarity, key, parts, scratch, f"round-{k}", state.rows, n.classes)
         tried = tried.unionByName(pairs)
 
     # The last pass: whoever can still meet through open buckets, in blocks, by sketch and then in full.
@@ -424,13 +446,13 @@ def near_duplicates(docs: DataFrame, n_words: int = 5, similarity: int = 80, id_
         texts = scratch.write(texts.select("num", "size", "m"), "meetings")
         size = texts.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first().n
         wanted = texts.groupBy("num").agg(F.collect_list("m").alias("wanted"))
-        links = _sent(wanted, reps, ids).groupBy(F.pmod(F.col("key"), F.lit(parts_for(spark, size))).alias("part")).applyInPandas(_meet(n_words, similarity), "a bigint, b bigint")
+        links = _sent(wanted, reps, ids).groupBy(F.pmod(F.col("key"), F.lit(parts_for(spark, size))).alias("part")).applyInPandas(_meet(n_words, similarity, key), "a bigint, b bigint")
         labels, _ = _joined(links, labels, cells, scratch, "last", None, n.classes)
     rooted = labels.select(F.col("num").alias("node"), F.col("root").alias("top"))
 
-    # Text class -> set -> component, then the least id of each component.
-    known = signs.select("num", "n_shingles", "s1", "s2").join(sets, ["n_shingles", "s1", "s2"], "left").join(rooted, F.col("root") == F.col("node"), "left")
-    known = known.select("num", "n_shingles", F.coalesce("top", "root").alias("component")).join(ids, "num")
+    # Text class -> component, then the least id of each component.
+    known = signs.select("num", "n_shingles").join(rooted, F.col("num") == F.col("node"), "left")
+    known = known.select("num", "n_shingles", F.coalesce("top", F.when(F.col("n_shingles") > 0, F.col("num"))).alias("component")).join(ids, "num")
     known = scratch.write(known.select("cls", "n_shingles", "component"), "known", rows=n.classes)
     rows = scratch.write(members.join(known, "cls").select("doc_id", "cls", "n_shingles", "component"), "rows", rows=n.rows)
     least = rows.filter("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))

@@ -291,3 +291,23 @@ def test_sketches_agree_as_often_as_sets_do():
     assert abs((s[0] == s[1]).mean() - 400 / 600) < 0.12
     one = sketch_dedup.sketches(np.array([1]), pool[:1])
     assert (one != sketch_dedup.EMPTY).all()
+
+
+#: Two words that a chain of invertible steps over their bytes hashed alike.
+TWINS = "baselinemeasured", "g9puo4lx3t*h/'x."
+
+
+def test_nothing_is_linked_by_hashes_alone(spark):
+    first, second = (" ".join(t if k % 2 else f"w{k}" for k in range(120)) for t in TWINS)
+    rows = [(0, TWINS[0]), (1, TWINS[1]), (2, first), (3, second), (4, " ".join((*TWINS, TWINS[0], *TWINS, TWINS[1], TWINS[1])))]
+    got = sorted(map(tuple, sketch_dedup.near_duplicates(spark.createDataFrame(rows, DOCS), 4, 80).collect()))
+    assert got == [(0, 1, 0, True), (1, 1, 1, True), (2, 117, 2, True), (3, 117, 3, True), (4, 4, 4, True)]
+    assert got == components(rows, 4, 80)
+    kept = sketch_dedup.one_of_each(spark.createDataFrame(rows, DOCS), n_words=4)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3, 4]
+
+
+def test_equal_sets_of_different_texts(spark):
+    rows = [(k, ("  " if k % 2 else " ").join(f"{'W' if k % 3 else 'w'}{j}" for j in range(40)) + " " * k) for k in range(300)]
+    got = sketch_dedup.near_duplicates(spark.createDataFrame(rows, DOCS), 4, 80).collect()
+    assert all(r.n_shingles == 37 and r.component_id == 0 and r.kept == (r.doc_id == 0) for r in got) and len(got) == 300

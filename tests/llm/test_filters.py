@@ -1,13 +1,15 @@
 import math
 import random
 import re
+import time
 from collections import Counter
 from fractions import Fraction
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from quillspark.llm import chat, decontaminate, licenses, quality
+from quillspark.llm import chat, decontaminate, licenses, oracles, quality
 
 DOCS = "doc_id long, text string, lang string"
 
@@ -378,3 +380,25 @@ def test_leak_ties_and_long_texts(spark):
     item = "so the shop on the corner sold twelve red pens and fifteen blue pens to the same people"
     long = "word " * 150_000 + item
     assert [g[:2] for g in leaks(spark, [long, f"{item} {item}", item], [item, item])] == [(0, 0), (0, 1), (1, 0), (1, 1), (2, 0), (2, 1)]
+
+
+def test_license_sql_finds_what_spark_finds(spark):
+    db = duckdb.connect()
+    long = "A long sentence stands in front of this one here."
+    texts = [f"{long} Then another one stands. Released under the MIT License. And one more stands behind it, as long.", "x\nReleased under the MIT License.\n", f'{long} "Licensed under CC BY-NC 4.0." {long}', f"head\n\n{licenses.TEXTS[0][1]}\n\nend", f"{long} Released under the MIT License!) Released under the MIT License.", "No notice. None here.", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    db.register("documents", df.toPandas())
+    want = sorted((d, u, p, n, round(x, 6)) for d, u, p, n, x in db.execute(f"SELECT doc_id, unit, place, license, dice FROM ({oracles.OP8})").fetchall())
+    got = sorted((r.doc_id, r.unit, r.place, r.license, round(r.dice, 6)) for r in licenses.license_scan(df).collect())
+    assert got == want and {r[1] for r in got} == {"line", "sentence", "text"} or {r[1] for r in got} >= {"line", "sentence"}
+    assert (0, "sentence", 2, "MIT", 1.0) in got
+
+
+def test_an_item_that_one_text_repeats(spark):
+    item = "the quick river turned seven bright stones while Anna counted 12 small boats near old mills"
+    docs = spark.createDataFrame([(1, " ".join([item] * 20_000)), (2, item)], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, item)], "item_id long, text string")
+    start = time.monotonic()
+    got = sorted(map(tuple, decontaminate.contaminated(docs, bench).collect()))
+    assert [r[:4] for r in got] == [(1, 5, got[1][2], got[1][2]), (2, 5, got[1][2], got[1][2])]
+    assert time.monotonic() - start < 100
