@@ -202,7 +202,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 8, coverage:
     lo, hi = (lambda r: F.element_at(r["qs"], 1)), (lambda r: F.element_at(r["qs"], -1) + r["n"] - 1)
     cut = lambda r: F.transform(F.sequence(lo(r) + r["shift"], hi(r) + r["shift"]), lambda k: F.get("ours", k))
     own_runs = F.transform("runs", lambda r: F.struct(*(r[c] for c in ("item_id", "n", "n_windows", "shift", "qs")), lo(r).alias("lo"), cut(r).alias("ours")))
-    both = again.select("doc_id", "text_hash", F.explode(own_runs).alias("r")).select("doc_id", "text_hash", "r.*").join(items, "item_id")
+    each = again.select("doc_id", "text_hash", F.explode(own_runs).alias("r")).select("doc_id", "text_hash", "r.*")
+    # The runs of a text that repeats an item are many; they are checked in all tasks, not in that which read the text.
+    both = each.repartition("doc_id", "text_hash", "item_id", "shift").join(items, "item_id")
 
     def pairs(qs: Column) -> Column:
         """The words that windows at qs cover, on both sides."""

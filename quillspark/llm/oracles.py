@@ -68,4 +68,20 @@ r AS (SELECT item_id, doc_id, CAST(SUM(w * ((1000000000 * tf) // (1000 * tf + 8
   FROM q JOIN tf USING (t) JOIN w USING (t), s GROUP BY item_id, doc_id)
 SELECT item_id, CAST(k AS INTEGER) AS rank, doc_id, score FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS k FROM r WHERE score > 0) WHERE k <= 10"""
 
-ORACLES = {"op5_chat_format": OP5, "op7_cover_dedup": OP7, "op8_license_scan": OP8, "op9_sketch_dedup": OP9, "op12_ranked_search": OP12}
+#: CRC-32 of a decimal number, byte by byte and bit by bit.
+CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), [CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]), lambda r, z: xor(r >> 1, (r & 1) * 3988292384))), 4294967295)"""
+
+OP13 = f"""WITH t AS (SELECT conv_id, list({{'r': COALESCE(role, ''), 't': COALESCE(text, '')}} ORDER BY turn NULLS FIRST, role, text) AS l FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, l, {CRC} % 6 AS h FROM t),
+f AS (SELECT a.conv_id, list_concat(COALESCE(b.l[1:a.h], []), a.l[a.h + 1:]) AS l FROM h a LEFT JOIN t b ON b.conv_id = a.conv_id - a.conv_id % 100),
+p AS (SELECT conv_id, d, l[1:d] AS k FROM (SELECT conv_id, l, unnest(range(0, len(l) + 1)) AS d FROM f)),
+n AS (SELECT k, d, MIN(conv_id) AS conv_id, COUNT(*) AS n_convs FROM p GROUP BY k, d),
+c AS (SELECT k[1:d - 1] AS k, COUNT(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+v AS (SELECT n.*, COALESCE(n_children, 0) AS n_children, (n_convs - 1) * CASE WHEN d > 0 THEN length(n.k[d].t) ELSE 0 END AS saved FROM n LEFT JOIN c USING (k)),
+s AS (SELECT k[1:e] AS k, CAST(SUM(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_leaves, CAST(SUM(saved) AS BIGINT) AS saved_tokens FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM v) GROUP BY 1),
+e AS (SELECT l AS k, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM f GROUP BY l)
+SELECT v.conv_id, v.d AS depth, u.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves, saved_tokens, sha256(COALESCE(ids, '')) AS ends_sha256
+FROM v JOIN s USING (k) LEFT JOIN e USING (k) LEFT JOIN n u ON v.d > 0 AND u.k = v.k[1:v.d - 1]"""
+
+ORACLES = {"op5_chat_format": OP5, "op7_cover_dedup": OP7, "op8_license_scan": OP8, "op9_sketch_dedup": OP9, "op12_ranked_search": OP12, "op13_conversation_trie": OP13}
