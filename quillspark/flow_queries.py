@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from .functions.hashes import with_simhash60
 from .operators import bitmaps, leaders, quantiles, rollups, rules, scoring
 from .operators.numbering import numbered
-from .plans import runs
+from .plans import classes, runs
 from .plans.preflight import judged
-from .queries import SIMHASH_SQL, VERDICT_SQL, _judged, calls, table
+from .queries import CALLS_SQL, SIMHASH_SQL, VERDICT_SQL, _judged, calls, table
 from .rule_queries import ORACLES, QUERIES, query
 from .sources import ledger
 from .sources.cache import ResultCache
@@ -273,3 +273,49 @@ def baseline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = written(_files_of_one_name(spark, sf_dir), "files")
     out = runs.run_baseline(files, _answers(files, F.lit("meter_reading")), AS_OF, key="seq", order_col="at")
     return out.select("seq", "doc_id", "doc_class", "status", "confidence", F.try_variant_get("data", "$.odometer_km", "long").alias("odometer"), "validation.passed")
+
+
+# ---- S14, D12: lines of a batch ----
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+PROMPT_SQL = "CASE WHEN doc_class = 'vendor_bill' THEN {} WHEN doc_class = 'work_report' THEN {} WHEN doc_id % 3 = 0 THEN {} ELSE {} END".format(
+    *(_quoted(classes.extraction_prompt(*c)) for c in (("vendor_bill",), ("work_report",), ("meter_reading", next(iter(classes.SUBTYPES))), ("meter_reading",)))
+)
+NOTES_SQL = " || ".join(f"CASE WHEN {cond} THEN chr(10) || {_quoted(classes.QUALITY_NOTES[flag])} ELSE '' END" for flag, cond in (("truncated_file_recovered", "doc_id % 7 = 0"), ("underexposed", "doc_id % 5 = 0")))
+MOST_SQL = "CASE doc_class " + " ".join(f"WHEN '{name}' THEN {most}" for name, _, _, _, most in classes.POLICIES) + " END"
+
+
+@query(
+    f"""WITH d AS (SELECT doc_id, text, ['work_report', 'vendor_bill', 'meter_reading', 'not_a_document'][doc_id % 4 + 1] AS doc_class FROM documents),
+p AS (SELECT *, {PROMPT_SQL} || {NOTES_SQL} AS prompt, {MOST_SQL} AS most FROM d WHERE doc_class <> 'not_a_document')
+SELECT doc_id, sha256('{{"custom_id":"' || doc_id || '","method":"POST","url":"/v1/chat/completions","body":{{"model":"{classes.POLICIES[0][1]}","max_tokens":' || most || ',"messages":[{{"role":"user","content":[{{"type":"text","text":' || CAST(to_json(prompt) AS VARCHAR)
+  || '}},{{"type":"image_url","image_url":{{"url":"data:image/jpeg;base64,' || base64(encode(text)) || '"}}}}]}}]}}}}') AS line FROM p"""
+)
+def batch_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extraction requests of all documents that are routed to a class, with what their flags mean."""
+    docs, k = table(spark, sf_dir, "documents"), F.col("doc_id")
+    flags = F.array_compact(F.array(F.when(k % 7 == 0, "truncated_file_recovered"), F.when(k % 5 == 0, "underexposed"), F.lit("unheard_of")))
+    files = docs.select(k.cast("string").alias("doc_id"), F.col("text").cast("binary").alias("content"), flags.alias("quality_flags"))
+    chosen = F.element_at(F.array(*[F.lit(c) for c in ("work_report", "vendor_bill", "meter_reading", "not_a_document")]), (k % 4 + 1).cast("int"))
+    routes = docs.select(k.cast("string").alias("doc_id"), chosen.alias("doc_class"), F.when(k % 3 == 0, next(iter(classes.SUBTYPES))).alias("subtype"))
+    lines = runs.batch_requests(files, "extract", routes)
+    return lines.select(F.get_json_object("value", "$.custom_id").cast("long").alias("doc_id"), F.sha2("value", 256).alias("line"))
+
+
+# ---- J6, D13: costs of names that repeat ----
+
+
+@query(
+    f"""WITH {CALLS_SQL}, c AS (SELECT CAST(CAST(doc_id AS BIGINT) % 1000 AS VARCHAR) AS name, COUNT(*) AS n, CAST(SUM(CAST(micro AS DECIMAL(18, 4))) / 1000000 AS DOUBLE) AS usd FROM priced GROUP BY name)
+SELECT d.doc_id AS seq, CAST(d.doc_id % 1000 AS VARCHAR) AS name, COALESCE(n, 0) AS n_calls, ROUND(COALESCE(usd, 0), 8) AS cost_usd FROM documents d LEFT JOIN c ON c.name = CAST(d.doc_id % 1000 AS VARCHAR)"""
+)
+def costs_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Provenance of files whose stems repeat: calls of a stem belong to each file of it, and files stay as many as they are."""
+    files = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq"), (F.col("doc_id") % 1000).cast("string").alias("doc_id"))
+    named = calls(spark, sf_dir).withColumn("doc_id", (F.col("doc_id").cast("long") % 1000).cast("string"))
+    out = runs.with_provenance(files, named)
+    return out.select("seq", F.col("doc_id").alias("name"), F.size("provenance.calls").cast("long").alias("n_calls"), F.round("provenance.cost_usd", 8).alias("cost_usd"))
