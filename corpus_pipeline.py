@@ -16,7 +16,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm.common import Scratch
+from quillspark.llm.common import Scratch, dropped_after
 from quillspark.llm.decontaminate import uncontaminated
 from quillspark.llm.pack import pack
 from quillspark.llm.quality import quality_rules
@@ -64,7 +64,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     scratch = Scratch(spark, "pipeline")
     for k, (name, stage) in enumerate(STAGES):
-        docs = scratch.write(stage(spark, docs, sf_dir), name)
+        with dropped_after():
+            docs = scratch.write(stage(spark, docs, sf_dir), name)
         if k:
             scratch.drop(STAGES[k - 1][0])
     return docs

@@ -39,6 +39,20 @@ def shared_dir(spark: SparkSession) -> str:
 ROWS_A_FILE = 100_000
 
 
+#: Tables that have not been dropped yet.
+_OPEN: list[Scratch] = []
+
+
+@contextlib.contextmanager
+def dropped_after() -> Iterator[None]:
+    """Drop whatever tables were begun inside, once what is made of them has been written."""
+    begun = len(_OPEN)
+    yield
+    for scratch in _OPEN[begun:]:
+        scratch.drop()
+    del _OPEN[begun:]
+
+
 class Scratch:
     """Written tables of one run of an operator, in a folder of their own in the shared folder.
 
@@ -50,6 +64,7 @@ class Scratch:
         self.spark = spark
         self.path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.tables: list[str] = []
+        _OPEN.append(self)
         atexit.register(self._end)
 
     def write(self, df: DataFrame, name: str, buckets: tuple[int, str] | None = None, rows: int | None = None) -> DataFrame:

@@ -4,7 +4,8 @@ Windows of 15 words are hashed only where their place modulo 21 is in {0, 1, 4,
 difference modulo 21 is one of two members of that set, so whatever the places of two equal passages
 of 35 words in their documents, some offset below 21 puts both on the cover: they share an aligned
 anchor, five in 21 places instead of all. From anchors, matches extend to the whole windows around
-them, by digests of the words themselves and by comparing words; see repeats.py.
+them: equal contexts, and windows of anchors with more than repeats.HOT different contexts, by digests of the
+words themselves, all else by comparing words; see repeats.py.
 """
 
 from __future__ import annotations

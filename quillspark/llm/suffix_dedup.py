@@ -5,7 +5,8 @@ leftmost of equals), so equal windows agree on it and only the suffixes at ancho
 need to be brought together. Windows at the edges of repeats are suffix-sorted by mergesort, where a
 comparison finds the common extension by binary search over prefix polynomial hashes; what the hashes
 call equal is compared byte by byte. Stretches around anchors that are equal in whole are settled by
-their digests before. See repeats.py for the dealing out.
+their digests before, without a look at their bytes, and so are the windows of anchors with more than
+repeats.HOT different contexts. See repeats.py for the dealing out.
 """
 
 from __future__ import annotations
