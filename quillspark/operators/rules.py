@@ -111,7 +111,7 @@ def bill_view(lines: Column, total: Column, tax: Column | None = None, gstin: Co
         text(vendor).alias("vendor"),
         dated.alias("dated"),
         text(date).alias("date"),
-        text(date).alias("date_shown"),
+        quoted(text(date)).alias("date_shown"),
     )
 
 

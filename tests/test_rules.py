@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,3 +98,24 @@ def test_confidence_and_reread(spark):
         rules.crop_box(F.lit("work_report"), F.lit(100), F.lit(200)).alias("d"),
     ).first()
     assert (row.a, row.b, tuple(row.c), row.d) == (["vendor_gstin"], [], (0, 0, 100, 84), None)
+
+
+def test_typed_views_of_bills_say_what_variants_say(spark):
+    """Both views of the same bills, the one read from a variant and the one of columns, have the issues of the variant."""
+    rnd = random.Random(4)
+    kind = "total_amount double, tax_amount double, vendor_gstin string, vendor_name string, invoice_date string, line_items array<struct<qty:double,rate:double,amount:double>>"
+    pick = lambda *some: rnd.choice(some)
+    rows = [
+        (pick(None, -1.0, 100.0, 106.0, 6e6), pick(None, 6.0), pick(None, "bad", "27AAPFU0939F1ZV", "n/a"), pick(None, " ", "Shop", "test"), pick(None, "2024-03-01", "2031-01-01", "soon"), [(pick(None, 1.0, 2.0), pick(None, 50.0), pick(None, 50.0, 100.0)) for _ in range(rnd.randint(0, 3))])
+        for _ in range(150)
+    ]
+    df = spark.createDataFrame([(k, r) for k, r in enumerate(rows)], f"k int, b struct<{', '.join(c.replace(' ', ':', 1) for c in kind.split(', '))}>")
+    df = df.select("k", F.lit("vendor_bill").alias("doc_class"), F.parse_json(F.to_json("b")).alias("data"), "b")
+    whole = rules.validated(df, "2024-03-10")
+    view = rules.bill_view(F.col("b.line_items"), F.col("b.total_amount"), F.col("b.tax_amount"), F.col("b.vendor_gstin"), F.col("b.vendor_name"), F.col("b.invoice_date"))
+    both = whole.withColumns({"typed": view, "read": rules.read_bill(F.col("data"))})
+    out = rules.validated_bills(rules.validated_bills(both, "2024-03-10", "typed", "by_columns"), "2024-03-10", "read", "by_view")
+    for r in out.select("k", "validation", "by_columns", "by_view").collect():
+        want = (r.validation.passed, sorted(r.validation.issues), r.validation.severity)
+        assert (r.by_view.passed, sorted(r.by_view.issues), r.by_view.severity) == want
+        assert (r.by_columns.passed, sorted(r.by_columns.issues), r.by_columns.severity) == want
