@@ -311,3 +311,18 @@ def test_equal_sets_of_different_texts(spark):
     rows = [(k, ("  " if k % 2 else " ").join(f"{'W' if k % 3 else 'w'}{j}" for j in range(40)) + " " * k) for k in range(300)]
     got = sketch_dedup.near_duplicates(spark.createDataFrame(rows, DOCS), 4, 80).collect()
     assert all(r.n_shingles == 37 and r.component_id == 0 and r.kept == (r.doc_id == 0) for r in got) and len(got) == 300
+
+
+def test_texts_over_one_slice(spark):
+    """A text of several megabytes that holds a passage at both ends, and another that has it once."""
+    passage = " ".join(f"shared{k}" for k in range(120))
+    body = " ".join(f"own{k}x" for k in range(260_000))
+    rows = [(1, f"a{passage}b {body} c{passage}d"), (2, f"e {passage} f"), (3, body[: 1 << 20].replace("own", "mine"))]
+    assert len(rows[0][1]) > 2 << 20
+    n = len(passage.encode())
+    df = spark.createDataFrame(rows, DOCS)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in suffix_dedup.remove_repeats(df, width=400).collect()}
+    assert got == {1: (len(rows[0][1]), 2 * n, 2), 2: (n + 4, n, 1), 3: (len(rows[2][1]), 0, 0)}
+    # Of words, those at the ends of the passage differ where letters are joined to them.
+    words = {r.doc_id: (r.n_words, r.n_removed) for r in cover_dedup.remove_passages(df, width=35).collect()}
+    assert words == {1: (260_000 + 240, 2 * 118), 2: (122, 118), 3: (len(rows[2][1].split()), 0)}

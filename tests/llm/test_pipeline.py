@@ -3,6 +3,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
+from quillspark.llm import common
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,7 +28,10 @@ def test_stages(spark):
 
 
 def test_run(spark):
+    begun = len(common._OPEN)
     assert corpus_pipeline.run(spark, SF).count() > 0
+    # What the stages wrote besides their results has gone.
+    assert len(common._OPEN) == begun + 1
 
 
 ODD = "doc_id long, text string, lang string, source string, n_chars long, num string, kept string, row int"
