@@ -61,13 +61,17 @@ def near_matches(hashes: DataFrame, others: DataFrame, threshold: int, bits: int
 
     Each pair is taken in the first band in which it is near, so no distinct is needed. Working on distinct
     hashes, a value shared by a third of all rows counts once.
+
+    A hash becomes up to a thousand rows, which Spark's estimates of size don't see: the few hashes are dealt
+    out before that, and both sides shuffled, whatever the session lets be broadcast.
     """
     cuts = cuts_for(threshold, bits)
+    parts = int(hashes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     near = threshold // (len(cuts) - 1)
     neighbours = lambda k, part: F.transform(_masks(cuts[k + 1] - cuts[k], near), lambda m: _cell(k, part.bitwiseXOR(m)))
     around = [neighbours(k, part) for k, part in enumerate(_parts(F.col("h"), cuts))]
-    sent = hashes.select(F.col("h").alias("a"), F.explode(F.concat(*around)).alias("c")).select("a", "c.band", "c.bits")
-    met = sent.join(others, ["band", "bits"]).filter(hamming(F.col("a"), F.col("h")) <= threshold)
+    sent = hashes.repartition(parts, "h").select(F.col("h").alias("a"), F.explode(F.concat(*around)).alias("c")).select("a", "c.band", "c.bits")
+    met = sent.join(others.hint("shuffle_hash"), ["band", "bits"]).filter(hamming(F.col("a"), F.col("h")) <= threshold)
     apart = _parts(F.col("a").bitwiseXOR(F.col("h")), cuts)
     first = F.coalesce(*[F.when(F.bit_count(part) <= near, F.lit(k)) for k, part in enumerate(apart)])
     return met.filter(F.col("band") == first).select("a", *[c for c in others.columns if c not in ("band", "bits")])

@@ -146,6 +146,19 @@ def test_leaders_over_batches(spark, tmp_path, seed):
     assert sorted(got, key=lambda r: r[0]) == greedy(rows, 5)
 
 
+def test_neighbours_are_never_broadcast(spark, tmp_path):
+    # A thousand rows a hash of 8 bytes: were they broadcast by the size of the hashes, the driver would hold them all.
+    hashes, known = f"{tmp_path}/hashes", f"{tmp_path}/known"
+    spark.range(2000).select(F.xxhash64("id").alias("h")).write.parquet(hashes)
+    of = spark.range(300).select(F.xxhash64("id").bitwiseXOR(F.lit(3)).alias("h"), F.col("id").alias("seq"), F.sha2(F.col("id").cast("string"), 256).alias("digest"))
+    leaders.cells(of, 5).write.parquet(known)
+    met = leaders.near_matches(spark.read.parquet(hashes), spark.read.parquet(known), 5)
+    assert met.count() == 300 and met.select("seq").distinct().count() == 300
+    met.collect()
+    assert "Broadcast" not in met._jdf.queryExecution().executedPlan().toString()
+    assert met.select(F.spark_partition_id()).distinct().count() > 1
+
+
 # ---- the ledger ----
 
 CALL = "run string, doc_id string, stage string, model string, input_tokens long, output_tokens long, cost_usd double, latency_s double, image_kb double"
