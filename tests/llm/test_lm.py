@@ -156,3 +156,19 @@ def test_query_beats_counts_on_held_out_documents(spark):
     base, score, n = (sum(r[k] for r in got if r[1]) for k in (5, 6, 2))
     print("held out, log10 a token:", base / n, score / n)
     assert score > base + 0.05 * n
+
+
+def test_outputs_are_a_softmax_over_classes_and_words():
+    rng = np.random.default_rng(3)
+    model = gru.Model.new(rng.integers(1, 500, 40), 5)
+    a, starts, of = model.arrays, model.starts, model.class_of()
+    a["words"][...], a["classes"][...] = rng.normal(0, 1, a["words"].shape), rng.normal(0, 1, a["classes"].shape)
+    h, wanted = rng.uniform(-1, 1, (200, 16)).astype(np.float32), rng.integers(0, 40, 200)
+    log_softmax = lambda x: x - np.logaddexp.reduce(x)
+    want = []
+    for state, w in zip(h.astype(float), wanted):
+        c = of[w]
+        i, j = starts[c], starts[c + 1]
+        want.append(log_softmax(state @ a["classes"] + a["class_bias"])[c] + log_softmax(a["words"][i:j] @ state + a["word_bias"][i:j])[w - i])
+    got, back = gru._outputs(a, starts, of, h, wanted)
+    assert back is None and np.allclose(got, want, atol=1e-4)
