@@ -20,6 +20,8 @@ HIDDEN, WINDOW, LANES = 16, 32, 512
 STRETCH = 1024
 #: Rate of the updates, and the bound of a gradient's entries, of means over the tokens of a full window.
 RATE, CLIP = 0.03, 1.0
+#: Rows of outputs that are worked on at once, so that their logits stay in a core's cache.
+ROWS = 2048
 #: How far logits may lie below their bound for a sum of exponentials in 32 bits to need no maximum by row.
 SAFE = 60.0
 #: Sum of squared gradients before the first.
@@ -118,8 +120,10 @@ def _forward(a: dict[str, np.ndarray], given: np.ndarray, h: np.ndarray, begin:
     """States after each step, and for learning what they were made of."""
     steps, n = given.shape
     width = len(h)
-    x = np.ascontiguousarray(a["inputs"][given].transpose(0, 2, 1))
-    turned = np.ascontiguousarray(a["state"].T)
+    # Gates take half of what goes in: the logistic function by the hyperbolic tangent, which cannot overflow.
+    half = np.repeat(np.array([0.5, 1], dtype=F32), [2 * width, width])
+    x = np.ascontiguousarray((a["inputs"] * half).take(given, axis=0).transpose(0, 2, 1))
+    turned = np.ascontiguousarray((a["state"] * half).T)
     hs = np.empty((steps + 1, width, n), dtype=F32)
     hs[0] = h
     kept = np.empty((steps, 4 * width, n), dtype=F32) if keep_all else None
@@ -131,9 +135,7 @@ def _forward(a: dict[str, np.ndarray], given: np.ndarray, h: np.ndarray, begin:
         g = kept[t] if keep_all else room
         np.matmul(turned, before, out=g[: 3 * width])
         gates, gn, new = g[: 2 * width], g[2 * width : 3 * width], g[3 * width :]
-        # The logistic function by the hyperbolic tangent, which cannot overflow.
         gates += x[t, : 2 * width]
-        gates *= 0.5
         np.tanh(gates, out=gates)
         gates += 1
         gates *= 0.5
@@ -147,56 +149,73 @@ def _forward(a: dict[str, np.ndarray], given: np.ndarray, h: np.ndarray, begin:
     return hs, kept
 
 
-def _log_shares(logits: np.ndarray, bound: float, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(log of the share that each row gives to its entry at `at`, sums by which to divide); logits become exponentials.
+def _shares(rows, weights, at, bound, scale=None):
+    """Log of the share that each row gives to its entry at `at`; with scale, gradients of their sum times -scale, by rows and by weights.
 
-    bound is at least every logit. Rows need no maximum of their own unless that lies far below.
+    The last column of rows is 1, the last row of weights their bias. bound is at least every logit; rows need no maximum
+    of their own unless that lies far below. The exponentials are the only pass over the logits: rows are scaled instead.
     """
+    logits = rows @ weights
     if bound > SAFE:
         logits -= logits.max(axis=1, keepdims=True)
-    rows = np.arange(len(at))
-    picked = logits[rows, at]
+    flat, place = logits.reshape(-1), np.arange(len(at)) * logits.shape[1] + at
+    picked = flat[place]
     np.exp(logits, out=logits)
-    total = logits.sum(axis=1)
-    return picked - np.log(total), total
+    total = logits @ np.ones(logits.shape[1], dtype=F32)
+    out = picked - np.log(total)
+    if scale is None:
+        return out, None, None
+    flat[place] -= total
+    by = (scale / total)[:, None]
+    return out, (logits @ weights[:-1].T) * by, (rows * by).T @ logits
 
 
-def _span(weights: np.ndarray, bias: np.ndarray, axis: int) -> float:
+def _span(weights: np.ndarray) -> float:
     """A bound of the size of logits, states lying between -1 and 1."""
-    return float((np.abs(weights).sum(axis=axis) + np.abs(bias)).max())
+    return float(np.abs(weights).sum(axis=0).max())
 
 
 def _outputs(a, starts, of, h, wanted, grads=None, scale=1.0):
     """Log probabilities of wanted after states h (row by row); with grads, gradients of their sum times -scale, and that by h."""
+    width = h.shape[1]
+    order = np.argsort(of[wanted], kind="stable")
+    wanted = wanted[order]
     c = of[wanted]
-    logits = h @ a["classes"]
-    logits += a["class_bias"]
-    out, total = _log_shares(logits, _span(a["classes"], a["class_bias"], 0), c)
-    back = None
-    if grads is not None:
-        logits *= (scale / total)[:, None]
-        logits[np.arange(len(c)), c] -= scale
-        grads["classes"] += h.T @ logits
-        grads["class_bias"] += logits.sum(axis=0)
-        back = logits @ a["classes"].T
-    order = np.argsort(c, kind="stable")
-    cut = np.searchsorted(c[order], np.arange(len(starts)))
-    span = _span(a["words"], a["word_bias"], 1)
+    rows = np.ones((len(h), width + 1), dtype=F32)
+    rows[:, :width] = h[order]
+    scale = None if grads is None else F32(scale)
+    out, back = np.empty(len(h), dtype=F32), None if grads is None else np.empty((len(h), width), dtype=F32)
+
+    weights = np.vstack([a["classes"], a["class_bias"]])
+    span = _span(weights)
+    for i in range(0, len(h), ROWS):
+        some = slice(i, i + ROWS)
+        out[some], by_rows, by_weights = _shares(rows[some], weights, c[some], span, scale)
+        if grads is not None:
+            back[some] = by_rows
+            grads["classes"] += by_weights[:-1]
+            grads["class_bias"] += by_weights[-1]
+
+    weights = np.vstack([a["words"].T, a["word_bias"]])
+    span = _span(weights)
+    cut = np.searchsorted(c, np.arange(len(starts)))
     for k in np.flatnonzero((np.diff(cut) > 0) & (np.diff(starts) > 1)).tolist():
-        some, i, j = order[cut[k] : cut[k + 1]], starts[k], starts[k + 1]
-        hk, w = h[some], a["words"][i:j]
-        logits = hk @ w.T
-        logits += a["word_bias"][i:j]
-        at = wanted[some] - i
-        share, total = _log_shares(logits, span, at)
+        some, i, j = slice(cut[k], cut[k + 1]), starts[k], starts[k + 1]
+        share, by_rows, by_weights = _shares(rows[some], weights[:, i:j], wanted[some] - i, span, scale)
         out[some] += share
         if grads is not None:
-            logits *= (scale / total)[:, None]
-            logits[np.arange(len(at)), at] -= scale
-            grads["words"][i:j] += logits.T @ hk
-            grads["word_bias"][i:j] += logits.sum(axis=0)
-            back[some] += logits @ w
-    return out, back
+            back[some] += by_rows
+            grads["words"][i:j] += by_weights[:-1].T
+            grads["word_bias"][i:j] += by_weights[-1]
+
+    # Back to the order that was given.
+    placed = np.empty_like(out)
+    placed[order] = out
+    if grads is not None:
+        back_placed = np.empty_like(back)
+        back_placed[order] = back
+        back = back_placed
+    return placed, back
 
 
 def scores(model: Model, texts: list[np.ndarray]) -> np.ndarray:
@@ -208,14 +227,17 @@ def scores(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     steps, n = lanes.given.shape
     got = np.zeros((steps, n), dtype=F32)
     h = np.zeros((a["state"].shape[0], n), dtype=F32)
-    for t in range(0, steps, WINDOW):
+    t = 0
+    while t < steps:
         n = int((lanes.lengths > t).sum())
-        given, wanted = lanes.given[t : t + WINDOW, :n], lanes.wanted[t : t + WINDOW, :n]
+        # Where few lanes are left, a window is longer: its outputs are as many.
+        to = t + WINDOW * max(1, LANES // n)
+        given, wanted = lanes.given[t:to, :n], lanes.wanted[t:to, :n]
         hs, _ = _forward(a, given, h[:, :n], begin, False)
         on = wanted >= 0
-        part = got[t : t + WINDOW, :n]
+        part = got[t:to, :n]
         part[on] = _outputs(a, model.starts, of, hs[1:].transpose(0, 2, 1)[on], wanted[on])[0]
-        h = hs[-1]
+        h, t = hs[-1], to
     # From lane to lane, so each text is one stretch.
     flat = got.T.reshape(-1).astype(np.float64)
     sums = np.r_[0.0, np.cumsum(flat)]
@@ -247,38 +269,43 @@ def learn(model: Model, texts: list[np.ndarray], rate: float = RATE) -> int:
         dh[on] = back
         by_input = _backward(a, given, hs, kept, np.ascontiguousarray(dh.transpose(0, 2, 1)), begin, grads)
         _update(model, grads, rate)
-        _update_rows(model, given.reshape(-1), by_input.transpose(0, 2, 1).reshape(-1, 3 * width), rate)
+        _update_rows(model, given.reshape(-1), by_input.reshape(3 * width, -1).T, rate)
         h = hs[-1]
     return int(lanes.lengths.sum())
 
 
 def _backward(a, given, hs, kept, dh, begin, grads):
-    """Gradients through a window's steps, that by the state's matrix added to grads; those by the inputs."""
+    """Gradients through a window's steps, that by the state's matrix added to grads; those by the inputs, as (input, step, lane)."""
     steps, width, n = dh.shape
-    out = np.empty((steps, 3 * width, n), dtype=F32)
-    by_state = np.empty((3 * width, n), dtype=F32)
+    # What goes to the new state by way of the old one, to both gates, and to the new state; the state's matrix in that order.
+    out = np.empty((4 * width, steps, n), dtype=F32)
+    to_old, to_gates, to_new = out[:width], out[width : 3 * width], out[3 * width :]
+    state = np.roll(a["state"], width, axis=1)
+    goes_on = given != begin
+    before = hs[:-1] * goes_on[:, None]
     carried = np.zeros((width, n), dtype=F32)
     for t in range(steps - 1, -1, -1):
         d = dh[t]
         d += carried
-        goes_on = given[t] != begin
-        before = hs[t] * goes_on
-        z, r, gn, new = (kept[t, k * width : (k + 1) * width] for k in range(4))
-        to_z, to_r, to_new = (out[t, k * width : (k + 1) * width] for k in range(3))
-        np.multiply(d, 1 - z, out=to_new)
-        to_new *= 1 - new * new
-        np.subtract(before, new, out=to_z)
-        to_z *= d
-        to_z *= z * (1 - z)
-        np.multiply(to_new, gn, out=to_r)
-        to_r *= r * (1 - r)
-        by_state[: 2 * width] = out[t, : 2 * width]
-        np.multiply(to_new, r, out=by_state[2 * width :])
-        grads["state"] += before @ by_state.T
-        carried = a["state"] @ by_state
-        carried += d * z
-        carried *= goes_on
-    return out
+        gates, gn, new = kept[t, : 2 * width], kept[t, 2 * width : 3 * width], kept[t, 3 * width :]
+        slope = 1 - gates
+        by_new = d * slope[:width]
+        by_new *= 1 - new * new
+        to_new[:, t] = by_new
+        slope *= gates
+        np.subtract(before[t], new, out=new)
+        new *= d
+        np.multiply(new, slope[:width], out=to_gates[:width, t])
+        gn *= by_new
+        np.multiply(gn, slope[width:], out=to_gates[width:, t])
+        np.multiply(by_new, gates[width:], out=to_old[:, t])
+        carried = state @ out[: 3 * width, t]
+        d *= gates[:width]
+        carried += d
+        carried *= goes_on[t]
+    by_state = out[: 3 * width].reshape(3 * width, -1) @ before.transpose(0, 2, 1).reshape(-1, width)
+    grads["state"] += np.roll(by_state.T, -width, axis=1)
+    return out[width:]
 
 
 def _update(model: Model, grads: dict[str, np.ndarray], rate: float) -> None:
@@ -290,9 +317,8 @@ def _update(model: Model, grads: dict[str, np.ndarray], rate: float) -> None:
 
 def _update_rows(model: Model, rows: np.ndarray, grads: np.ndarray, rate: float) -> None:
     """Updates of those inputs that a window had."""
-    order = np.argsort(rows, kind="stable")
-    first = np.flatnonzero(np.diff(rows[order], prepend=-1))
-    g = np.clip(np.add.reduceat(grads[order], first, axis=0), -CLIP, CLIP)
-    at = rows[order][first]
+    at = np.flatnonzero(np.bincount(rows))
+    g = np.stack([np.bincount(rows, weights=column)[at] for column in grads.T], axis=1)
+    g = np.clip(g, -CLIP, CLIP).astype(F32)
     model.squares["inputs"][at] += g * g
     model.arrays["inputs"][at] -= rate * g / np.sqrt(model.squares["inputs"][at])

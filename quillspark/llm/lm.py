@@ -2,7 +2,8 @@
 
 1. Words of all training documents are counted; the most frequent MODELLED become symbols of the
    network, all others share one symbol, within which a word's share is its count's.
-2. Every text becomes its symbols, 16 bits each, once; its rarer words are joined with their counts.
+2. Every text becomes its symbols, 16 bits each, once. Of its other words, those that are frequent in training (up to LOOKED_UP)
+   find their counts in a table that each task has; only the rest is dealt out and joined with its counts.
 3. Training goes in ROUNDS over disjoint parts of the training documents. In a round each task learns
    from its own texts, starting from the model of the round before; the mean of the tasks' models, weighted
    by tokens, is the next one. Means are taken by blocks of parameters, in as many tasks.
@@ -28,6 +29,8 @@ from .gru import END, RARE, Model, learn, scores
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Words that are symbols of their own; classes of the output.
 MODELLED, CLASSES = 4096, 64
+#: Words whose counts each task has, at most; about 150 bytes each in a Python worker.
+LOOKED_UP = 100_000
 #: Parts of the training documents, each learnt from once; parameters of a block.
 ROUNDS, BLOCK = 6, 1 << 16
 #: Distinct words that a task holds before it sends their counts; tokens that are learnt from or scored at once.
@@ -56,31 +59,54 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out(held)
 
 
+def _frequencies(counts: DataFrame) -> tuple[int, int, float]:
+    """Words, their tokens, and the count from which on at most LOOKED_UP words have it; counts go in steps of an eighth of a power of two."""
+    step = F.floor(F.log2("c") * 8)
+    rows = counts.groupBy(step.alias("step")).agg(F.count("*").alias("v"), F.sum("c").alias("n"), F.min("c").alias("least")).orderBy(F.col("step").desc()).collect()
+    words, least = 0, math.inf
+    for r in rows:
+        words += r.v
+        if words > LOOKED_UP:
+            break
+        least = r.least
+    return sum(r.v for r in rows), sum(r.n for r in rows), least
+
+
 def _encode(known: Broadcast):
-    """row, size, symbols, sum of log10(count + 1) over words that are symbols and the end, and rarer words with their counts in the text."""
+    """Of each text its size and symbols, sums of log10(count + 1) over symbols and over the other words in `known`, how many
+    tokens are no symbols and how many are in `known`, and all words that are not, with their counts in the text.
+
+    known: a number for each word, symbols first, the number of symbols, and log10(count + 1) by number. RARE stands for words that are not there.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbol, logs = known.value
-        get = symbol.get
+        number, n_symbols, logs = known.value
+        get = number.get
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 part = batch.slice(k, 512)
-                size, data, sums, ends, words, counts, n_rare = [], [], [], [0], [], [], []
+                size, data, symbol_logs, other_logs, ends, words, counts, n_rare, n_known = [], [], [], [], [0], [], [], [], []
                 for body in part.column("body"):
                     tokens = body.as_py().translate(LOWER).split()
-                    ids = np.array([get(w, RARE) for w in tokens] + [END], dtype=np.uint16)
-                    rare = Counter([w for w in tokens if w not in symbol]) if (ids == RARE).any() else {}
+                    ids = np.array([get(w, RARE) for w in tokens] + [END], dtype=np.int32)
+                    unknown, others = np.flatnonzero(ids == RARE), ids >= n_symbols
                     size.append(len(ids))
-                    data.append(ids.tobytes())
-                    sums.append(float(logs[ids].sum()))
-                    words += rare
-                    counts += rare.values()
+                    n_known.append(len(ids) - len(unknown))
+                    other_logs.append(float(logs[ids[others]].sum()))
+                    if len(unknown):
+                        rare = Counter([tokens[i] for i in unknown.tolist()])
+                        words += rare
+                        counts += rare.values()
                     ends.append(len(words))
-                    n_rare.append(int((ids == RARE).sum()))
+                    ids[others] = RARE
+                    symbol_logs.append(float(logs[ids].sum()))
+                    n_rare.append(len(ids) - int(np.count_nonzero(ids)))
+                    data.append(ids.astype(np.uint16).tobytes())
                 struct = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(counts, pa.int32())], names=["word", "n"])
                 rare = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), struct)
-                columns = [*(part.column(c) for c in ("row", "doc_id", "held_out")), pa.array(size, pa.int64()), pa.array(data, pa.binary()), pa.array(sums, pa.float64()), pa.array(n_rare, pa.int64()), rare]
-                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "held_out", "n_tokens", "symbols", "logs", "n_rare", "rare"])
+                numbers = (pa.array(size, pa.int64()), pa.array(data, pa.binary()), pa.array(symbol_logs, pa.float64()), pa.array(other_logs, pa.float64()), pa.array(n_rare, pa.int64()), pa.array(n_known, pa.int64()))
+                columns = [*(part.column(c) for c in ("row", "doc_id", "held_out")), *numbers, rare]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "held_out", "n_tokens", "symbols", "logs", "other_logs", "n_rare", "n_known", "rare"])
 
     return run
 
@@ -164,22 +190,27 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     counts = rows.filter("not held_out").select("body").mapInArrow(tidied(_count), "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
     counts = scratch.write(counts, "counts")
     n_train = rows.filter("not held_out").count()
-    all_words = counts.agg(F.count("*").alias("v"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
+    v_all, n_all, least = _frequencies(counts)
     top = counts.orderBy(F.col("c").desc(), "word").limit(MODELLED).collect()
     modelled = sum(r.c for r in top)
-    n_tokens, n_distinct = all_words.n + n_train, all_words.v + (n_train > 0)
-    n_rare, v_rare = all_words.n - modelled, all_words.v - len(top)
+    n_tokens, n_distinct = n_all + n_train, v_all + (n_train > 0)
+    n_rare, v_rare = n_all - modelled, v_all - len(top)
 
     frequency = np.array([n_rare, n_train, *(r.c for r in top)], dtype=np.int64)
-    logs = np.log10(frequency + 1.0)
+    number = {bytes(r.word): k + 2 for k, r in enumerate(top)}
+    known_counts = frequency.tolist()
+    for r in counts.filter(F.col("c") >= least).collect():
+        if number.setdefault(bytes(r.word), len(known_counts)) == len(known_counts):
+            known_counts.append(r.c)
+    logs = np.log10(np.array(known_counts) + 1.0)
     logs[RARE] = 0
-    known = spark.sparkContext.broadcast(({bytes(r.word): k + 2 for k, r in enumerate(top)}, logs))
+    known = spark.sparkContext.broadcast((number, len(frequency), logs))
     encoded = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "body").mapInArrow(
-        tidied(_encode(known)), "row long, doc_id long, held_out boolean, n_tokens long, symbols binary, logs double, n_rare long, rare array<struct<word:binary,n:int>>"
+        tidied(_encode(known)), "row long, doc_id long, held_out boolean, n_tokens long, symbols binary, logs double, other_logs double, n_rare long, n_known long, rare array<struct<word:binary,n:int>>"
     )
     encoded = scratch.write(encoded, "encoded")
 
-    # Rarer words that training has, with their counts: one sum a text.
+    # Words that no task has the counts of: one sum a text.
     rare = encoded.select("row", F.explode("rare").alias("w")).select("row", "w.word", "w.n")
     parts = parts_for(spark, 4 * scratch.size("encoded"))
     found = rare.repartition(parts, "word").join(counts.hint("shuffle_hash"), "word")
@@ -190,15 +221,16 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     final = spark.sparkContext.broadcast(model)
     scored = encoded.select("row", "symbols").mapInArrow(tidied(_score(final)), "row long, log10 double")
     n = lambda c: F.coalesce(c, F.lit(0))
-    out = encoded.select("row", "doc_id", "held_out", "n_tokens", "n_rare", "logs").join(scored, "row").join(sums, "row", "left")
+    out = encoded.select("row", "doc_id", "held_out", "n_tokens", "n_rare", "n_known", "logs", "other_logs").join(scored, "row").join(sums, "row", "left")
+    rare_logs = F.col("other_logs") + n("rare_logs")
     out = out.select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("n_tokens") - F.col("n_rare") + n("n_rare_known") - int(n_train == 0)).alias("n_known"),
+        (F.col("n_known") + n("n_rare_known") - int(n_train == 0)).alias("n_known"),
         F.lit(n_tokens).cast("long").alias("train_tokens"),
-        (F.col("logs") + n("rare_logs") - F.col("n_tokens") * math.log10(n_tokens + n_distinct + 1)).alias("base_score"),
-        (F.col("log10") + n("rare_logs") - F.col("n_rare") * math.log10(n_rare + v_rare + 1)).alias("score"),
+        (F.col("logs") + rare_logs - F.col("n_tokens") * math.log10(n_tokens + n_distinct + 1)).alias("base_score"),
+        (F.col("log10") + rare_logs - F.col("n_rare") * math.log10(n_rare + v_rare + 1)).alias("score"),
     )
     out = scratch.write(out, "out")
     for name in ("counts", "encoded", "sums"):

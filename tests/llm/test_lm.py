@@ -172,3 +172,58 @@ def test_outputs_are_a_softmax_over_classes_and_words():
         want.append(log_softmax(state @ a["classes"] + a["class_bias"])[c] + log_softmax(a["words"][i:j] @ state + a["word_bias"][i:j])[w - i])
     got, back = gru._outputs(a, starts, of, h, wanted)
     assert back is None and np.allclose(got, want, atol=1e-4)
+
+
+def test_frequent_words_find_their_counts_in_the_tasks(spark, monkeypatch):
+    """Only words that tasks have no counts of are dealt out; results do not depend on which these are."""
+    monkeypatch.setattr(lm, "MODELLED", 5)
+    rnd = random.Random(9)
+    rows = [(k, " ".join(f"w{int(rnd.paretovariate(0.6)) % 400}" for _ in range(rnd.randint(0, 60)))) for k in range(80)]
+    df = spark.createDataFrame([(*r, 0.0) for r in rows], DOCS).repartition(3)
+    encode, dealt = lm._encode, []
+    monkeypatch.setattr(lm, "_encode", lambda known: dealt.append(known.value) or encode(known))
+    scores = []
+    for most in (0, 20, 100_000):
+        monkeypatch.setattr(lm, "LOOKED_UP", most)
+        got = sorted((tuple(r) for r in lm.lm_scores(df).collect()), key=str)
+        assert sorted(((*r[:5], round(r[5], 6)) for r in got), key=str) == counts_by_hand(rows)
+        scores.append([r[6] for r in sorted(got)])
+    assert np.allclose(scores[0], scores[1], rtol=1e-3) and np.allclose(scores[0], scores[2], rtol=1e-3)
+    trained = Counter(t for d, text in rows if not is_held(d) for t in tokens(text) if t)
+    sizes = [len(number) for number, _, _ in dealt]
+    assert sizes[0] == 5 and 5 < sizes[1] <= 20 and sizes[2] == len(trained)
+    for number, n_symbols, logs in dealt:
+        assert n_symbols == 7 and all(math.isclose(10 ** logs[k] - 1, trained[w.decode()]) for w, k in number.items())
+        assert set(map(trained.get, (w.decode() for w in number))) >= {c for _, c in trained.most_common(len(number))}
+
+
+def test_few_lanes_go_in_long_windows(monkeypatch):
+    m, texts = model(), some_texts(10, 42, [5000, 3, 7])
+    sizes, outputs = [], gru._outputs
+    monkeypatch.setattr(gru, "_outputs", lambda a, starts, of, h, *rest: sizes.append(len(h)) or outputs(a, starts, of, h, *rest))
+    got = gru.scores(m, texts)
+    assert sum(sizes) == sum(map(len, texts)) and len(sizes) <= 2
+    assert np.allclose(got, [score_by_hand(m, t) for t in texts], rtol=1e-4)
+
+
+def test_shares_by_blocks_of_rows(monkeypatch):
+    """Gradients of outputs, by differences, whatever the blocks; logits far below their bound too."""
+    m = model(11)
+    rng = np.random.default_rng(12)
+    h, wanted = rng.uniform(-1, 1, (50, 6)).astype(np.float32), rng.integers(0, 42, 50)
+    found = []
+    for rows, safe in ((7, 60.0), (2048, 60.0), (7, 0.0)):
+        monkeypatch.setattr(gru, "ROWS", rows)
+        monkeypatch.setattr(gru, "SAFE", safe)
+        grads = {k: np.zeros_like(v) for k, v in m.arrays.items()}
+        found.append((*gru._outputs(m.arrays, m.starts, m.class_of(), h, wanted, grads, 0.5), *grads.values()))
+    for one in found[1:]:
+        assert all(np.allclose(x, y, atol=1e-5) for x, y in zip(found[0], one))
+    for i in (0, 31):
+        for k in range(6):
+            sums = []
+            for e in (1e-3, -1e-3):
+                moved = h[i].astype(float)
+                moved[k] += e
+                sums.append(next_logs(m, moved)[wanted[i]])
+            assert abs(-0.5 * (sums[0] - sums[1]) / 2e-3 - found[0][1][i, k]) < 1e-4
