@@ -19,11 +19,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, parts_for, tidied
+from .common import Scratch, by_size, parts_for, tidied
 from .gru import END, RARE, Model, learn, scores
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -31,6 +32,8 @@ LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvw
 MODELLED, CLASSES = 4096, 64
 #: Words whose counts each task has, at most; about 150 bytes each in a Python worker.
 LOOKED_UP = 100_000
+#: Bytes of texts whose words are looked up at once.
+SLICE = 8 << 20
 #: Parts of the training documents, each learnt from once; parameters of a block.
 ROUNDS, BLOCK = 6, 1 << 16
 #: Distinct words that a task holds before it sends their counts; tokens that are learnt from or scored at once.
@@ -59,6 +62,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out(held)
 
 
+def _words(bodies: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The lower-cased words of all texts, end to end, and how many the texts before each and all have. Only ASCII bytes are looked at."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(bodies.view(pa.string())))
+    words = lists.flatten()
+    full = pc.not_equal(pc.binary_length(words), 0)
+    ends = np.r_[0, np.cumsum(full.to_numpy(zero_copy_only=False))]
+    return words.filter(full), ends[np.r_[0, np.cumsum(pc.list_value_length(lists).to_numpy())]]
+
+
 def _frequencies(counts: DataFrame) -> tuple[int, int, float]:
     """Words, their tokens, and the count from which on at most LOOKED_UP words have it; counts go in steps of an eighth of a power of two."""
     step = F.floor(F.log2("c") * 8)
@@ -81,30 +93,31 @@ def _encode(known: Broadcast):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, n_symbols, logs = known.value
-        get = number.get
+        names = pa.array(list(number), pa.binary()).view(pa.string())
         for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part = batch.slice(k, 512)
-                size, data, symbol_logs, other_logs, ends, words, counts, n_rare, n_known = [], [], [], [], [0], [], [], [], []
-                for body in part.column("body"):
-                    tokens = body.as_py().translate(LOWER).split()
-                    ids = np.array([get(w, RARE) for w in tokens] + [END], dtype=np.int32)
-                    unknown, others = np.flatnonzero(ids == RARE), ids >= n_symbols
-                    size.append(len(ids))
-                    n_known.append(len(ids) - len(unknown))
-                    other_logs.append(float(logs[ids[others]].sum()))
-                    if len(unknown):
-                        rare = Counter([tokens[i] for i in unknown.tolist()])
-                        words += rare
-                        counts += rare.values()
-                    ends.append(len(words))
-                    ids[others] = RARE
-                    symbol_logs.append(float(logs[ids].sum()))
-                    n_rare.append(len(ids) - int(np.count_nonzero(ids)))
-                    data.append(ids.astype(np.uint16).tobytes())
-                struct = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(counts, pa.int32())], names=["word", "n"])
-                rare = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), struct)
-                numbers = (pa.array(size, pa.int64()), pa.array(data, pa.binary()), pa.array(symbol_logs, pa.float64()), pa.array(other_logs, pa.float64()), pa.array(n_rare, pa.int64()), pa.array(n_known, pa.int64()))
+            for part in by_size(batch, SLICE, 3):
+                words, ends = _words(part.column("body"))
+                n = part.num_rows
+                doc = np.repeat(np.arange(n), np.diff(ends))
+                ids = pc.fill_null(pc.index_in(words, value_set=names), RARE - 2).to_numpy() + 2
+                unknown, others = ids == RARE, ids >= n_symbols
+                weights = logs[ids]
+                other_logs = np.bincount(doc[others], weights=weights[others], minlength=n)
+                symbol_logs = np.bincount(doc[~others], weights=weights[~others], minlength=n) + logs[END]
+                n_unknown = np.bincount(doc[unknown], minlength=n)
+                n_rare = n_unknown + np.bincount(doc[others], minlength=n)
+                # Each unknown word of a text once.
+                coded = words.filter(pa.array(unknown)).dictionary_encode()
+                pairs, counts = np.unique(doc[unknown] * max(1, len(coded.dictionary)) + coded.indices.to_numpy(), return_counts=True)
+                of, code = np.divmod(pairs, max(1, len(coded.dictionary)))
+                struct = pa.StructArray.from_arrays([coded.dictionary.take(pa.array(code)).view(pa.binary()), pa.array(counts, pa.int32())], names=["word", "n"])
+                rare = pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(n + 1)), pa.int32()), struct)
+                ids[others] = RARE
+                symbols = np.insert(ids.astype(np.uint16), ends[1:], END)
+                places = ends + np.arange(n + 1)
+                data = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((2 * places).astype(np.int32)), pa.py_buffer(symbols)])
+                size = np.diff(places)
+                numbers = (pa.array(size, pa.int64()), data, pa.array(symbol_logs, pa.float64()), pa.array(other_logs, pa.float64()), pa.array(n_rare, pa.int64()), pa.array(size - n_unknown, pa.int64()))
                 columns = [*(part.column(c) for c in ("row", "doc_id", "held_out")), *numbers, rare]
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "held_out", "n_tokens", "symbols", "logs", "other_logs", "n_rare", "n_known", "rare"])
 

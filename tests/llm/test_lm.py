@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quillspark.llm import gru, lm, queries
@@ -227,3 +228,11 @@ def test_shares_by_blocks_of_rows(monkeypatch):
                 moved[k] += e
                 sums.append(next_logs(m, moved)[wanted[i]])
             assert abs(-0.5 * (sums[0] - sums[1]) / 2e-3 - found[0][1][i, k]) < 1e-4
+
+
+def test_words_of_texts_as_bytes_split_them():
+    bodies = [b"", b"  ", b"\xff\xfeA b\x1c x\x85", b" lead  The the ", b"\r\n", b"a\x00B\x0bc\xc2\xa0d", b"\xc3\x89T\x09\xc3\xa9"]
+    for some in (pa.array(bodies, pa.binary()), pa.array([b"cut off", *bodies], pa.binary()).slice(1)):
+        words, ends = lm._words(some)
+        got = words.view(pa.binary()).to_pylist()
+        assert [got[i:j] for i, j in zip(ends, ends[1:])] == [b.translate(lm.LOWER).split() for b in bodies]
