@@ -72,6 +72,18 @@ def test_repeated_bytes(spark, seed, hot):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_passages_of_over_50_words_go_by_their_bytes(spark):
+    """Of 51 to 60 words most have less than the contract's 400 bytes and stay; a repeat of 400 goes, one of 399 does not."""
+    rnd = random.Random(9)
+    noise = lambda n: "".join(rnd.choices("ABCDEFGHIJ", k=n))
+    passages = {n: " ".join(noise(len(w)) for w in np.array_split(np.zeros(n - 54), 55)) for n in (330, 399, 400, 430)}
+    assert all((len(p), len(p.split())) == (n, 55) for n, p in passages.items())
+    df = spark.createDataFrame([(n * 10 + k, f"{noise(300)} {k}{p}{'xy'[k]} {noise(200)}") for n, p in passages.items() for k in (0, 1)], DOCS)
+    lost = lambda width: {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(df, width=width).collect()}
+    assert lost(400) == {n * 10 + k: n * (n >= 400) for n in passages for k in (0, 1)}
+    assert lost(250) == {n * 10 + k: n for n in passages for k in (0, 1)}
+
+
 def test_repeated_words(spark, hot):
     rows = corpus(7)
     texts = [tuple((t or "").encode().split()) for _, t in rows]
